@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_enrich"]
+_MODULES = ["q_enrich", "q_training"]
 
 
 def load_all():

@@ -63,3 +63,47 @@ def enriched_ctes(qt: float = vocab.MINUTES_QUANTILE,
 def labeled_cte() -> tuple[str, str]:
     return ("labeled", f"SELECT *, CAST(coalesce(rating >= {vocab.POSITIVE_RATING}, false) "
                        "AS INTEGER) AS label FROM interactions")
+
+
+DIET_SQL = {c: t for c, t in vocab.DIET_TAGS.items()}
+
+
+def training_ctes(qt: float = vocab.MINUTES_QUANTILE, min_reviews: int = vocab.MIN_REVIEWS,
+                  min_n: int = vocab.MIN_USER_INTERACTIONS) -> list[tuple[str, str]]:
+    """enriched -> labeled -> valid -> history -> user features -> training."""
+    diet = ", ".join(
+        f"CAST(avg(CASE WHEN list_contains(list_transform(tags, lambda t: lower(t)), {q(t)}) "
+        f"THEN 1 ELSE 0 END) >= CAST({vocab.DIET_FLAG_SHARE} AS DOUBLE) AS INTEGER) AS {c}"
+        for c, t in vocab.DIET_TAGS.items())
+    flags = ", ".join(f"CAST(coalesce(list_contains(allergens, {q(a)}), false) AS INTEGER) AS has_{a}"
+                      for a in vocab.ALLERGENS_SORTED)
+    return enriched_ctes(qt, min_reviews) + [
+        labeled_cte(),
+        ("valid", "SELECT * FROM labeled WHERE recipe_id IN (SELECT recipe_id FROM enriched)"),
+        ("history", "SELECT v.*, e.calories, e.protein_g, e.carbohydrate_g, e.total_fat_g, e.cuisine, e.tags "
+                    "FROM valid v LEFT JOIN enriched e ON v.recipe_id = e.recipe_id"),
+        ("u_targets", "SELECT user_id, avg(calories) AS daily_calorie_target, avg(protein_g) AS protein_target_g, "
+                      "avg(carbohydrate_g) AS carbs_target_g, avg(total_fat_g) AS fat_target_g "
+                      "FROM history WHERE label = 1 GROUP BY user_id"),
+        ("u_diet", f"SELECT user_id, {diet} FROM history WHERE label = 1 GROUP BY user_id"),
+        ("u_active", f"SELECT user_id FROM valid GROUP BY user_id HAVING count(*) >= {min_n}"),
+        ("user_features", "SELECT t.*, " + ", ".join(vocab.DIET_TAGS) +
+         " FROM u_targets t LEFT JOIN u_diet d ON t.user_id = d.user_id "
+         "WHERE t.user_id IN (SELECT user_id FROM u_active)"),
+        ("recipe_feats", f"SELECT * EXCLUDE (tags, ingredients, description, allergens), {flags} FROM enriched"),
+        ("training", "SELECT v.user_id, v.recipe_id, v.date, v.rating, v.label, v.l_orderkey, v.l_linenumber, "
+                     "v.l_suppkey, v.l_shipdate, r.* EXCLUDE (recipe_id), u.* EXCLUDE (user_id) "
+                     "FROM valid v JOIN recipe_feats r ON v.recipe_id = r.recipe_id "
+                     "JOIN user_features u ON v.user_id = u.user_id"),
+    ]
+
+
+def split_cte(src: str = "training", name: str = "splits") -> tuple[str, str]:
+    return (name, f"""SELECT *, CASE WHEN _pos < floor(_n * CAST(0.8 AS DOUBLE)) THEN 'train'
+  WHEN _pos < floor(_n * (CAST(0.8 AS DOUBLE) + CAST(0.1 AS DOUBLE))) THEN 'val' ELSE 'test' END AS split
+FROM (SELECT *, row_number() OVER (ORDER BY date, l_orderkey, l_linenumber, recipe_id, l_suppkey, l_shipdate) - 1 AS _pos,
+  count(*) OVER () AS _n FROM {src}) s""")
+
+
+def ts(col: str) -> str:
+    return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
