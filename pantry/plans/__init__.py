@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_enrich", "q_training"]
+_MODULES = ["q_enrich", "q_training", "q_eval"]
 
 
 def load_all():

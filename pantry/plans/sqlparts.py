@@ -107,3 +107,33 @@ FROM (SELECT *, row_number() OVER (ORDER BY date, l_orderkey, l_linenumber, reci
 
 def ts(col: str) -> str:
     return f"strftime({col}, '%Y-%m-%d %H:%M:%S')"
+
+
+TIE = "recipe_id, l_orderkey, l_linenumber, l_suppkey, l_shipdate"
+
+
+def scored_test_ctes() -> list[tuple[str, str]]:
+    """training -> splits -> test rows LEFT JOIN scores (needs view scores)."""
+    return training_ctes() + [split_cte(), (
+        "scored", "SELECT s.*, sc.score FROM splits s LEFT JOIN scores sc "
+                  "ON s.user_id = sc.user_id AND s.recipe_id = sc.recipe_id WHERE s.split = 'test'")]
+
+
+def ndcg_linear_cte(src: str = "scored", name: str = "lin") -> tuple[str, str]:
+    return (name, f"""SELECT user_id, CASE WHEN sum(label / log2(_i + 1)) > 0
+    THEN sum(label / log2(_r + 1)) / sum(label / log2(_i + 1)) ELSE 0.0 END AS ndcg
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY label DESC, _r) AS _i
+      FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY score DESC, {TIE}) AS _r FROM {src}) a
+      WHERE _r <= 10) b
+GROUP BY user_id""")
+
+
+def ndcg_exp_cte(src: str = "scored", name: str = "expn") -> tuple[str, str]:
+    return (name, f"""SELECT user_id, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0.0 END AS ndcg FROM (
+  SELECT user_id,
+    sum(CASE WHEN _r <= 10 THEN (pow(2.0, label) - 1) / log2(_r + 1) ELSE 0 END) AS dcg,
+    sum(CASE WHEN _i <= 10 THEN (pow(2.0, label) - 1) / log2(_i + 1) ELSE 0 END) AS idcg
+  FROM (SELECT user_id, label,
+      row_number() OVER (PARTITION BY user_id ORDER BY score DESC, {TIE}) AS _r,
+      row_number() OVER (PARTITION BY user_id ORDER BY label DESC, {TIE}) AS _i FROM {src}) a
+  GROUP BY user_id) b""")
