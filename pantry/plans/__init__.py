@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_enrich", "q_training", "q_eval"]
+_MODULES = ["q_enrich", "q_training", "q_eval", "q_quality"]
 
 
 def load_all():

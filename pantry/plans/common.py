@@ -12,6 +12,7 @@ from ..functions import exprs as X
 from ..operators import enrich as E
 from ..operators import training as T
 from ..operators import users as U
+from ..session import cut_lineage
 from ..sources.fixtures import Catalog
 
 MACROS = vocab.NUTRITION_FIELDS + [f"{c}_g" for c in vocab.PDV_TO_ABS]
@@ -39,7 +40,9 @@ class Pipeline:
 def pipeline(spark, sf, with_pca: bool = False, qt: float = vocab.MINUTES_QUANTILE,
              k: int = vocab.MIN_REVIEWS) -> Pipeline:
     cat = Catalog(spark, sf)
-    enriched = E.enrich_recipes(cat.recipes, cat.interactions, qt, k)
+    # enriched is a dimension table consumed by 4 joins; materialise it once
+    # (reliable checkpoint in spark.checkpoint.dir) instead of recomputing it.
+    enriched = cut_lineage(E.enrich_recipes(cat.recipes, cat.interactions, qt, k))
     labeled = U.label_interactions(cat.interactions)
     valid = U.semi_valid_recipes(labeled, enriched)
     history = U.join_history(valid, enriched)
