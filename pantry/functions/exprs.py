@@ -90,8 +90,25 @@ def meal_context(ts) -> Column:
             .otherwise("snack"))
 
 
+def rnd(c, d: int = 0) -> Column:
+    """Round half up with plain IEEE arithmetic: floor(x * 10^d + 0.5) / 10^d.
+
+    Unlike ``round`` (which rounds the decimal text of the double), this gives
+    bit-identical results on every engine.  |x| >= 1e12 falls back to round().
+    """
+    x = _col(c).cast("double")
+    scale = float(10 ** d)
+    return (F.when(F.abs(x) < F.lit(1e12), F.floor(x * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale))
+            .otherwise(F.round(x, d)))
+
+
+def js_round(c) -> Column:
+    """JavaScript Math.round: floor(x + 0.5)."""
+    return F.floor(_col(c).cast("double") + F.lit(0.5))
+
+
 def round6(c) -> Column:
-    return F.round(_col(c).cast("double"), 6)
+    return rnd(c, 6)
 
 
 def safe_div(num, den) -> Column:

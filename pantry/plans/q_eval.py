@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+
 from .. import vocab
 from ..operators import evaluate as EV
 from ..operators import training as T
@@ -34,22 +36,22 @@ def scored_test(spark, sf):
 SELECT user_id, recipe_id, l_orderkey, l_linenumber, l_suppkey, label, round(score, 6) AS score FROM scored""")
 def q_join_scores(spark, sf):
     return scored_test(spark, sf).select("user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey",
-                                         "label", F.round("score", 6).alias("score"))
+                                         "label", X.rnd("score", 6).alias("score"))
 
 
 @register("ndcg_exp_per_user", sql=_w(S.ndcg_exp_cte()) + "SELECT user_id, round(ndcg, 6) AS ndcg FROM expn")
 def q_ndcg_exp_per_user(spark, sf):
-    return EV.ndcg_per_user(scored_test(spark, sf)).select("user_id", F.round("ndcg", 6).alias("ndcg"))
+    return EV.ndcg_per_user(scored_test(spark, sf)).select("user_id", X.rnd("ndcg", 6).alias("ndcg"))
 
 
 @register("ndcg_exp", sql=_w(S.ndcg_exp_cte()) + "SELECT round(coalesce(avg(ndcg), 0.0), 6) AS ndcg_at_10 FROM expn")
 def q_ndcg_exp(spark, sf):
-    return EV.ndcg_exp(scored_test(spark, sf)).select(F.round("ndcg_at_10", 6).alias("ndcg_at_10"))
+    return EV.ndcg_exp(scored_test(spark, sf)).select(X.rnd("ndcg_at_10", 6).alias("ndcg_at_10"))
 
 
 @register("ndcg_topk_linear", sql=_w(S.ndcg_linear_cte()) + "SELECT user_id, round(ndcg, 6) AS ndcg FROM lin")
 def q_ndcg_topk_linear(spark, sf):
-    return EV.ndcg_topk_linear_per_user(scored_test(spark, sf)).select("user_id", F.round("ndcg", 6).alias("ndcg"))
+    return EV.ndcg_topk_linear_per_user(scored_test(spark, sf)).select("user_id", X.rnd("ndcg", 6).alias("ndcg"))
 
 
 def _fair_ctes():
@@ -118,7 +120,7 @@ SELECT recipe_id, positive_label_count,
   round(positive_label_count / nullif((SELECT max(positive_label_count) FROM pop), 0), 6) AS score FROM pop""")
 def q_popularity(spark, sf):
     _, sp = splits(spark, sf)
-    return EV.popularity(sp.filter(F.col("split") == "train")).withColumn("score", F.round("score", 6))
+    return EV.popularity(sp.filter(F.col("split") == "train")).withColumn("score", X.rnd("score", 6))
 
 
 @register("topk_popular", sql=_w(("pop", """
@@ -128,7 +130,7 @@ SELECT recipe_id, positive_label_count,
 FROM pop ORDER BY positive_label_count DESC, recipe_id LIMIT 10""")
 def q_topk_popular(spark, sf):
     _, sp = splits(spark, sf)
-    return EV.topk_popular(sp.filter(F.col("split") == "train"), 10).withColumn("score", F.round("score", 6))
+    return EV.topk_popular(sp.filter(F.col("split") == "train"), 10).withColumn("score", X.rnd("score", 6))
 
 
 def _pop_scored_sql():
@@ -143,7 +145,7 @@ def _pop_scored_sql():
 def q_score_popularity(spark, sf):
     _, sp = splits(spark, sf)
     scored = EV.score_popularity(sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test"))
-    return EV.ndcg_exp(scored).select(F.round("ndcg_at_10", 6).alias("ndcg_at_10"))
+    return EV.ndcg_exp(scored).select(X.rnd("ndcg_at_10", 6).alias("ndcg_at_10"))
 
 
 @register("model_gates", sql=with_views("model_runs") + """

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+
 from ..operators import quality as Q
 from ..operators import training as T
 from ..sources.fixtures import Catalog
@@ -65,7 +67,7 @@ _ALIAS = {"enriched_recipes": "enriched", "train": "tr", "val": "va", "test": "t
 def q_dq_rule_suite(spark, sf):
     p, _, sp = _splits(spark, sf)
     r = Q.run_rule_suite({"enriched_recipes": p.enriched, **sp})
-    return r.withColumn("actual", F.round("actual", 6))
+    return r.withColumn("actual", X.rnd("actual", 6))
 
 
 @register("dq_builtin_suite", sql=_w() + checks_sql(Q.builtin_checks(None), "enriched", "enriched_recipes")
@@ -74,7 +76,7 @@ def q_dq_rule_suite(spark, sf):
 FROM (SELECT max(date) AS a FROM tr) x, (SELECT min(date) AS b FROM te) y""")
 def q_dq_builtin_suite(spark, sf):
     p, _, sp = _splits(spark, sf)
-    return Q.run_builtin_suite(p.enriched, sp).withColumn("actual", F.round("actual", 6))
+    return Q.run_builtin_suite(p.enriched, sp).withColumn("actual", X.rnd("actual", 6))
 
 
 @register("dq_recipe_schema", sql=with_views("recipes") + """
@@ -117,7 +119,7 @@ def q_dq_null_rate(spark, sf):
     c = Catalog(spark, sf)
     r = Q.null_profile(c.recipes.select(*_RCOLS), "recipes").unionByName(
         Q.null_profile(c.interactions.select(*_ICOLS), "interactions"))
-    return r.withColumn("null_rate", F.round("null_rate", 6))
+    return r.withColumn("null_rate", X.rnd("null_rate", 6))
 
 
 _NUMERIC = [c for c in TRAIN_OUT if c not in ("date", "name", "cuisine", "label")]
@@ -128,7 +130,7 @@ _NUMERIC = [c for c in TRAIN_OUT if c not in ("date", "name", "cuisine", "label"
     f"coalesce(stddev_samp(CAST({c} AS DOUBLE)) = 0, false) AS zero_variance FROM tr" for c in _NUMERIC))
 def q_dq_zero_variance(spark, sf):
     _, _, sp = _splits(spark, sf)
-    return Q.zero_variance(sp["train"].select(*_NUMERIC, "label")).withColumn("std", F.round("std", 6))
+    return Q.zero_variance(sp["train"].select(*_NUMERIC, "label")).withColumn("std", X.rnd("std", 6))
 
 
 @register("dq_label_balance", sql=_w() + """
@@ -137,7 +139,7 @@ SELECT round(avg(CAST(label AS DOUBLE)), 6) AS positive_rate,
 def q_dq_label_balance(spark, sf):
     _, _, sp = _splits(spark, sf)
     r = Q.label_balance_check(sp["train"])
-    return r.withColumn("positive_rate", F.round("positive_rate", 6))
+    return r.withColumn("positive_rate", X.rnd("positive_rate", 6))
 
 
 @register("dq_negative_range", sql=_w() + " UNION ALL ".join(
@@ -173,4 +175,4 @@ _LEAK = [c for c in TRAIN_OUT if c.startswith(("daily_", "user_"))]
     f"coalesce(abs(corr(CAST({c} AS DOUBLE), CAST(label AS DOUBLE))) > 0.9, false) AS flagged FROM tr" for c in _LEAK))
 def q_dq_leakage_corr(spark, sf):
     _, _, sp = _splits(spark, sf)
-    return Q.leakage_corr(sp["train"].select(*_LEAK, "label")).withColumn("corr", F.round("corr", 6))
+    return Q.leakage_corr(sp["train"].select(*_LEAK, "label")).withColumn("corr", X.rnd("corr", 6))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import exprs as X
+
 from .. import vocab
 from ..operators import training as T
 from ..operators import users as U
@@ -102,7 +104,7 @@ def q_label_balance(spark, sf):
     t = pipeline(spark, sf).training
     return t.agg(F.sum("label").cast("bigint").alias("positives"),
                  (F.count(F.lit(1)) - F.sum("label")).cast("bigint").alias("negatives"),
-                 F.round(F.avg("label"), 6).alias("share"),
+                 X.rnd(F.avg("label"), 6).alias("share"),
                  F.countDistinct("user_id").alias("n_users"),
                  F.countDistinct("recipe_id").alias("n_recipes"))
 
@@ -181,4 +183,4 @@ def q_dataset_manifest(spark, sf):
     sp = sp.withColumn("date", F.col("date").cast("timestamp"))
     splits = {n: sp.filter(F.col("split") == n) for n in ("train", "val", "test")}
     m = T.dataset_manifest(splits, _HASH_COLS)
-    return m.withColumn("label_mean", F.round("label_mean", 6))
+    return m.withColumn("label_mean", X.rnd("label_mean", 6))
