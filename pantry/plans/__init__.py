@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_enrich", "q_training", "q_eval", "q_quality", "q_candidates"]
+_MODULES = ["q_enrich", "q_training", "q_eval", "q_quality", "q_candidates", "q_monitor"]
 
 
 def load_all():
