@@ -278,3 +278,11 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: list[
         else:
             out.append(F.when(new_row, inc_c).otherwise(F.col(f"_c_{c}")).alias(c))
     return j.select(*out)
+
+
+def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, pos: str, n: int) -> DataFrame:
+    """Within each group drop duplicate ``key`` values keeping the LAST row (by
+    ``pos``), then keep the first ``n`` rows by position (head(n))."""
+    last = df.groupBy(*group_cols, key).agg(F.max(pos).alias(pos))
+    w = Window.partitionBy(*group_cols).orderBy(pos)
+    return last.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")

@@ -197,3 +197,13 @@ def dataset_manifest(splits: dict[str, DataFrame], hash_cols: list[str],
     ver = allh.select(F.substring(F.sha2(F.array_join(F.transform("_all", lambda s: s["content_hash"]), ":"), 256),
                                   1, 12).alias("version"))
     return m.drop("_h").crossJoin(ver)
+
+
+def replay_window(df: DataFrame, days: int, date_col: str = "date") -> DataFrame:
+    """Rows of the last ``days`` days relative to the newest date, with a ``day``
+    text column; without any date all rows are kept as day 'undated'."""
+    mx = df.agg(F.max(date_col).alias("_mx"))  # one row
+    j = df.crossJoin(mx)
+    keep = F.col("_mx").isNull() | (F.col(date_col) >= F.col("_mx") - F.make_dt_interval(F.lit(days)))
+    day = F.when(F.col("_mx").isNull(), F.lit("undated")).otherwise(F.date_format(date_col, "yyyy-MM-dd"))
+    return j.filter(keep).withColumn("day", day).drop("_mx")
