@@ -142,3 +142,43 @@ GOAL_DEFAULTS = {"calories": 2000.0, "protein": 50.0, "carbs": 250.0, "fat": 65.
 # Online feature path fallback for unknown users.
 ONLINE_DEFAULT_TARGETS = {"daily_calorie_target": 2000.0, "protein_target_g": 50.0,
                           "carbs_target_g": 275.0, "fat_target_g": 65.0}
+
+# ---- FIXED VALUES: display names for explanations (feature name otherwise) ---
+FEATURE_DISPLAY_NAMES: dict[str, str] = {
+    "minutes": "Cooking time (min)",
+    "n_ingredients": "Number of ingredients",
+    "n_steps": "Number of steps",
+    "avg_rating": "Average community rating",
+    "n_reviews": "Number of reviews",
+    "cuisine": "Cuisine type",
+    "calories": "Calories",
+    "protein": "Protein content",
+    "carbohydrate": "Carbohydrates",
+    "total_fat": "Total fat",
+    "sugar": "Sugar",
+    "sodium": "Sodium",
+    "daily_calorie_target": "Your calorie target",
+    "protein_target_g": "Your protein target",
+    "carbs_target_g": "Your carbs target",
+    "fat_target_g": "Your fat target",
+    "user_vegetarian": "Vegetarian preference",
+    "user_vegan": "Vegan preference",
+    "user_gluten_free": "Gluten-free preference",
+    "user_dairy_free": "Dairy-free preference",
+    "user_low_sodium": "Low sodium preference",
+    "user_low_fat": "Low fat preference",
+    "has_egg": "Contains eggs",
+    "has_fish": "Contains fish",
+    "has_milk": "Contains dairy",
+    "has_nuts": "Contains nuts",
+    "has_wheat": "Contains gluten",
+    "history_pc1": "Your cooking history (style 1)",
+    "history_pc2": "Your cooking history (style 2)",
+    "history_pc3": "Your cooking history (style 3)",
+}
+
+# ---- FIXED VALUES: synthetic expansion and replay -----------------------------
+EXPAND_FACTOR = 2
+NOISE_STD = 0.05
+REPLAY_DAYS = 7
+CANDIDATE_POOL_SIZE = 12
