@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ["q_enrich", "q_training", "q_eval", "q_quality", "q_candidates", "q_monitor", "q_io", "q_ml"]
+_MODULES = ["q_enrich", "q_training", "q_eval", "q_quality", "q_candidates", "q_monitor", "q_io", "q_ml", "q_stream"]
 
 
 def load_all():
