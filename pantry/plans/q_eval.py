@@ -11,7 +11,7 @@ from ..operators import evaluate as EV
 from ..operators import training as T
 from ..sources.fixtures import Catalog
 from . import sqlparts as S
-from .common import pipeline
+from .common import split_training, pipeline
 from .registry import register, with_views
 
 V = ("interactions", "recipes", "scores")
@@ -23,7 +23,7 @@ def _w(*extra):
 
 def splits(spark, sf):
     p = pipeline(spark, sf)
-    return p, T.time_split(p.training)
+    return p, split_training(p)
 
 
 def scored_test(spark, sf):

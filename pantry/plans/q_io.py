@@ -14,7 +14,7 @@ from ..operators import users as U
 from ..sources import io as IO
 from ..sources.fixtures import Catalog, production_split
 from . import sqlparts as S
-from .common import TARGET_COLS, out, pipeline
+from .common import split_training, TARGET_COLS, out, pipeline
 from .registry import register, with_views
 
 RECIPE_CSV_SCHEMA = StructType([
@@ -65,7 +65,7 @@ def q_union_production(spark, sf):
 
 
 def _splits(spark, sf):
-    return T.time_split(pipeline(spark, sf).training)
+    return split_training(pipeline(spark, sf))
 
 
 _SPLIT_COUNT_SQL = with_views("interactions", "recipes", extra=S.training_ctes() + [S.split_cte()])

@@ -10,7 +10,7 @@ from ..operators import quality as Q
 from ..operators import training as T
 from ..sources.fixtures import Catalog
 from . import sqlparts as S
-from .common import TRAIN_OUT, pipeline
+from .common import split_training, TRAIN_OUT, pipeline
 from .registry import register, with_views
 
 V = ("interactions", "recipes")
@@ -24,7 +24,7 @@ def _w(*extra):
 
 def _splits(spark, sf):
     p = pipeline(spark, sf)
-    sp = T.time_split(p.training)
+    sp = split_training(p)
     return p, sp, {n: sp.filter(F.col("split") == n) for n in ("train", "val", "test")}
 
 

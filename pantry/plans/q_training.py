@@ -10,7 +10,7 @@ from .. import vocab
 from ..operators import training as T
 from ..operators import users as U
 from . import sqlparts as S
-from .common import DIET_COLS, DOUBLE_OUT, PC_COLS, TARGET_COLS, TRAIN_OUT, out, pipeline, sql_out
+from .common import split_training, DIET_COLS, DOUBLE_OUT, PC_COLS, TARGET_COLS, TRAIN_OUT, out, pipeline, sql_out
 from .registry import register, with_views
 
 V = ("interactions", "recipes")
@@ -111,7 +111,7 @@ def q_label_balance(spark, sf):
 
 @register("time_split", sql=_w(S.split_cte()) + "SELECT user_id, recipe_id, l_orderkey, l_linenumber, l_suppkey, split FROM splits")
 def q_time_split(spark, sf):
-    return T.time_split(pipeline(spark, sf).training).select(*KEYS, "split")
+    return split_training(pipeline(spark, sf)).select(*KEYS, "split")
 
 
 @register("time_split_raw", sql=with_views(*V, extra=[S.split_cte("interactions")])
@@ -138,7 +138,7 @@ SELECT s.user_id, s.recipe_id, s.l_orderkey, s.l_linenumber, s.l_suppkey, s.spli
   coalesce(voc.idx, -1.0) AS cuisine
 FROM splits s LEFT JOIN voc ON coalesce(s.cuisine, 'unknown') = voc.v""")
 def q_label_encode(spark, sf):
-    sp = T.time_split(pipeline(spark, sf).training)
+    sp = split_training(pipeline(spark, sf))
     enc = T.label_encode_column(sp, "cuisine", F.col("split") == "train")
     return enc.select(*KEYS, "split", "cuisine")
 
@@ -179,7 +179,7 @@ SELECT split, count(*) AS rows, strftime(min(date), '%Y-%m-%d %H:%M:%S') AS min_
 FROM splits GROUP BY split""")) + """
 SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) FROM m)), 1, 12) AS version FROM m""")
 def q_dataset_manifest(spark, sf):
-    sp = T.time_split(pipeline(spark, sf).training)
+    sp = split_training(pipeline(spark, sf))
     sp = sp.withColumn("date", F.col("date").cast("timestamp"))
     splits = {n: sp.filter(F.col("split") == n) for n in ("train", "val", "test")}
     m = T.dataset_manifest(splits, _HASH_COLS)

@@ -100,3 +100,11 @@ def publish(spark: SparkSession, datasets: dict[str, DataFrame], root: str, vers
 def resolve_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
     ptr = spark.read.parquet(f"{root.rstrip('/')}/latest").first()  # one row
     return spark.read.parquet(f"{ptr['path']}/{name}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a parquet table in the shared output folder and
+    scanning it back (columnar: later passes read only the columns they use)."""
+    path = output_root(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
