@@ -90,7 +90,7 @@ def exclude_recent_meals(candidates: DataFrame, recent: DataFrame) -> DataFrame:
 
 def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float = 50.0,
                     allergen_flags: dict[str, str] | None = None,
-                    low: float = 0.5, high: float = 1.5) -> DataFrame:
+                    low: float = 0.5, high: float = 1.5, salts: int = 8) -> DataFrame:
     """Per request: recipes with low*cal <= calories <= high*cal, minutes <= limit and
     none of the requested allergens.  Bucketed range join (see module notes).
 
@@ -102,13 +102,19 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
     hi = F.col("calorie_target") * F.lit(high)
     req = requests.withColumn("_b", F.explode(F.sequence(F.floor(lo / bucket_width).cast("bigint"),
                                                          F.floor(hi / bucket_width).cast("bigint"))))
+    # Salt: a calorie bucket is a coarse key (few distinct values); each recipe
+    # goes to one of ``salts`` sub-keys and requests are replicated to all of
+    # them, so a popular bucket is split over ``salts`` reducers when the
+    # recipe side is too large to broadcast.
+    req = req.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rec = recipes.filter(F.col("calories").isNotNull()).withColumn(
-        "_b", F.floor(F.col("calories") / bucket_width).cast("bigint"))
-    j = req.join(rec, "_b", "inner")
+        "_b", F.floor(F.col("calories") / bucket_width).cast("bigint")).withColumn(
+        "_s", F.pmod(F.xxhash64("recipe_id"), F.lit(salts)).cast("int"))
+    j = req.join(rec, ["_b", "_s"], "inner")
     cond = (F.col("calories") >= lo) & (F.col("calories") <= hi) & (F.col("minutes") <= F.col("time_limit"))
     for req_col, flag in allergen_flags.items():
         cond = cond & ~(F.coalesce(F.col(req_col), F.lit(False)) & (F.col(flag) == 1))
-    return j.filter(cond).drop("_b")
+    return j.filter(cond).drop("_b", "_s")
 
 
 def candidate_features(cands: DataFrame, user_feats: DataFrame, meal_type: str = "dinner",
@@ -280,9 +286,15 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: list[
     return j.select(*out)
 
 
-def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, pos: str, n: int) -> DataFrame:
-    """Within each group drop duplicate ``key`` values keeping the LAST row (by
-    ``pos``), then keep the first ``n`` rows by position (head(n))."""
-    last = df.groupBy(*group_cols, key).agg(F.max(pos).alias(pos))
-    w = Window.partitionBy(*group_cols).orderBy(pos)
-    return last.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, order_cols: list[str], n: int) -> DataFrame:
+    """Within each group drop duplicate ``key`` values keeping the LAST row in
+    ``order_cols`` order, then keep the first ``n`` rows (head(n)).
+
+    "Last" is ``max_by`` on the order key (partial aggregation) and the head is
+    a top-n per group (WindowGroupLimit), so no window ever numbers all rows
+    of a group."""
+    ok = F.struct(*[F.col(c) for c in order_cols])
+    last = df.groupBy(*group_cols, key).agg(F.max(ok).alias("_ok"))
+    w = Window.partitionBy(*group_cols).orderBy("_ok")
+    return (last.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+            .select(*group_cols, key, *[F.col(f"_ok.{c}").alias(c) for c in order_cols]))

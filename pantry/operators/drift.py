@@ -120,8 +120,8 @@ def lookback_window(log: DataFrame, state: DataFrame, ts_col: str = "ts", hours:
                         F.coalesce(F.col("last_trigger_at"), F.col("now") - F.make_dt_interval(hours=F.lit(hours))))
     j = log.crossJoin(state.select("now", "last_trigger_at", cutoff.alias("cutoff")))
     win = j.filter(F.col(ts_col) >= F.col("cutoff"))
-    n = F.count(F.lit(1)).over(Window.partitionBy(F.lit(1)))
-    return win.withColumn("n_window", n).withColumn("skipped", F.col("n_window") < min_rows)
+    n = win.agg(F.count(F.lit(1)).alias("n_window"))  # one row, not a single-partition window
+    return win.crossJoin(n).withColumn("skipped", F.col("n_window") < min_rows)
 
 
 def retention_split(df: DataFrame, ts_col: str, now: DataFrame, days: int = 90) -> DataFrame:

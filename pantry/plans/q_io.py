@@ -154,17 +154,20 @@ def q_alert_intersection(spark, sf):
                                          "alertname")
 
 
+_ORDER = ["date", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"]
+
+
 @register("dedupe_keep_last", sql=with_views("interactions") + """
-SELECT user_id, recipe_id, pos FROM (SELECT user_id, recipe_id, pos,
-  row_number() OVER (PARTITION BY user_id ORDER BY pos) AS rn FROM (
-    SELECT user_id, recipe_id, max(pos) AS pos FROM (
-      SELECT user_id, recipe_id, row_number() OVER (PARTITION BY user_id ORDER BY date, l_orderkey, l_linenumber, l_suppkey, l_shipdate) AS pos
-      FROM interactions) a GROUP BY user_id, recipe_id) b) c WHERE rn <= 20""")
+SELECT user_id, recipe_id, strftime(date, '%Y-%m-%d %H:%M:%S') AS date, l_orderkey, l_linenumber, l_suppkey FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY date, l_orderkey, l_linenumber, l_suppkey, l_shipdate) AS rn FROM (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, recipe_id
+      ORDER BY date DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC, l_shipdate DESC) AS last_rn
+      FROM interactions) a WHERE last_rn = 1) b) c WHERE rn <= 20""")
 def q_dedupe_keep_last(spark, sf):
     i = Catalog(spark, sf).interactions
-    w = Window.partitionBy("user_id").orderBy("date", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate")
-    pos = i.withColumn("pos", F.row_number().over(w))
-    return C.dedupe_keep_last(pos, ["user_id"], "recipe_id", "pos", 20)
+    r = C.dedupe_keep_last(i, ["user_id"], "recipe_id", _ORDER, 20)
+    return r.select("user_id", "recipe_id", F.date_format("date", "yyyy-MM-dd HH:mm:ss").alias("date"),
+                    "l_orderkey", "l_linenumber", "l_suppkey")
 
 
 @register("last_n_positive", sql=with_views("interactions", "recipes", extra=S.training_ctes()) + """
