@@ -46,11 +46,20 @@ def training_table(valid: DataFrame, enriched: DataFrame, user_features: DataFra
             .join(user_features, "user_id", "inner"))
 
 
-def _date_offsets(df: DataFrame, date_col: str, train_frac: float, val_frac: float) -> DataFrame:
-    """One row per distinct date: count, rows before it, split thresholds."""
-    counts = df.groupBy(date_col).agg(F.count(F.lit(1)).alias("_cnt"))
-    # Window over the per-date table only (one row per date, bounded by the calendar).
-    w = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
+def _day_key(df: DataFrame, date_col: str):
+    """Order-preserving coarsening of the first sort key: its calendar day, so
+    the per-key table stays bounded by the calendar even for fine timestamps."""
+    t = dict(df.dtypes)[date_col]
+    if t.startswith("timestamp") or t == "date":
+        return F.date_trunc("day", F.col(date_col))
+    return F.col(date_col)
+
+
+def _date_offsets(df: DataFrame, train_frac: float, val_frac: float) -> DataFrame:
+    """One row per day: count, rows before it, split thresholds."""
+    counts = df.groupBy("_day").agg(F.count(F.lit(1)).alias("_cnt"))
+    # Windows over the per-day table only (one row per day, bounded by the calendar).
+    w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(1))
     n = F.sum("_cnt").over(whole)
     return (counts
@@ -73,38 +82,39 @@ def time_split(df: DataFrame, order_keys: list[str] | None = None,
     first key is the date."""
     keys = order_keys or ORDER_KEYS
     date_col = keys[0]
-    offs = _date_offsets(df, date_col, train_frac, val_frac)
+    dd = df.withColumn("_day", _day_key(df, date_col))
+    offs = _date_offsets(dd, train_frac, val_frac)
     marked = offs.withColumn(
         "_boundary",
         ~(((F.col("_start") + F.col("_cnt")) <= F.col("_train_end"))
           | ((F.col("_start") >= F.col("_train_end")) & ((F.col("_start") + F.col("_cnt")) <= F.col("_val_end")))
           | (F.col("_start") >= F.col("_val_end"))))
-    joined = df.join(marked, date_col, "inner")
+    joined = dd.join(marked, "_day", "inner")
 
     whole = joined.filter(~F.col("_boundary")).withColumn(
         "split", _split_of(F.col("_start"), F.col("_train_end"), F.col("_val_end")))
     edge = joined.filter(F.col("_boundary"))
-    # Rows of boundary dates: global range sort on the full key spreads a hot
-    # date over many partitions; positions = partition offset + index.
+    # Rows of boundary days: global range sort on the full key spreads a hot
+    # day over many partitions; positions = partition offset + index.
     ranked = cut_lineage(edge.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id()))
     ranked = ranked.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     pcounts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
-    pw = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pw = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     poffs = pcounts.withColumn("_poff", F.coalesce(F.sum("_pc").over(pw), F.lit(0)))
-    # rank within the boundary subset -> rank within the date
-    bdates = marked.filter(F.col("_boundary")).select(date_col, "_cnt")
-    dw = Window.orderBy(date_col).rowsBetween(Window.unboundedPreceding, -1)
-    before = bdates.withColumn("_before", F.coalesce(F.sum("_cnt").over(dw), F.lit(0))).select(
-        date_col, "_before")
+    # rank within the boundary subset -> rank within the day
+    bdays = marked.filter(F.col("_boundary")).select("_day", "_cnt")
+    dw = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # <= 2 rows
+    before = bdays.withColumn("_before", F.coalesce(F.sum("_cnt").over(dw), F.lit(0))).select(
+        "_day", "_before")
     pos = F.col("_start") + F.col("_poff") + F.col("_idx") - F.col("_before")
-    edge_out = (ranked.join(poffs.select("_pid", "_poff"), "_pid").join(before, date_col)
+    edge_out = (ranked.join(poffs.select("_pid", "_poff"), "_pid").join(before, "_day")
                 .withColumn("_pos", pos)
                 .withColumn("split", _split_of(F.col("_pos"), F.col("_train_end"), F.col("_val_end"))))
     cols = df.columns + ["split"]
     if with_position:
-        # Positions for interior rows need the per-date row_number; only on request.
-        iw = Window.partitionBy(date_col).orderBy(*keys[1:])
+        # Positions for interior rows need the per-day row_number; only on request.
+        iw = Window.partitionBy("_day").orderBy(*keys)
         whole = whole.withColumn("_pos", F.col("_start") + F.row_number().over(iw) - 1)
         cols = cols + ["_pos"]
     return whole.select(*cols).unionByName(edge_out.select(*cols))

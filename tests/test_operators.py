@@ -160,3 +160,12 @@ def test_synthetic_expand_invariants(spark):
     assert syn.filter(F.col("name").isNotNull() & ~F.col("name").startswith("[Synthetic] ")).count() == 0
     again = ML.synthetic_expand(r, seed=3).filter("is_synthetic")
     assert sorted(map(tuple, syn.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_time_split_fine_timestamps(spark):
+    """Second-resolution event times (many per day, some equal): exact split."""
+    rows = [(f"2021-03-0{1 + k % 3} {k % 24:02d}:{(k * 7) % 60:02d}:{(k * 13) % 60:02d}", k) for k in range(700)]
+    df = spark.createDataFrame(rows, "d string, k int").withColumn("date", F.to_timestamp("d")).drop("d")
+    got = T.time_split(df, ["date", "k"])
+    exp = _positions(df, ["date", "k"])
+    assert got.join(exp.select("k", "exp"), "k").filter(F.col("split") != F.col("exp")).count() == 0
