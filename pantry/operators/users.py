@@ -106,15 +106,35 @@ def semi_active_users(df: DataFrame, interactions: DataFrame,
     return df.join(active_users(interactions, min_n), "user_id", "left_semi")
 
 
+def user_aggregates(history: DataFrame, with_mix: bool = False,
+                    share: float = vocab.DIET_FLAG_SHARE) -> DataFrame:
+    """Every per-user feature in ONE grouped pass over the history: activity
+    count (all labels), positive count, macro targets and diet flags over the
+    positive rows (``avg(when(label = 1, x))`` ignores the others), and
+    optionally the cuisine mix used by the PCA."""
+    pos = F.col("label") == 1
+    aggs = [F.count(F.lit(1)).alias("_n_all"), F.count(F.when(pos, 1)).alias("_n_pos")]
+    aggs += [F.avg(F.when(pos, F.col(s))).alias(t) for s, t in TARGETS]
+    aggs += [(F.avg(F.when(pos, _has_tag(t))) >= F.lit(float(share))).cast("int").alias(c)
+             for c, t in vocab.DIET_TAGS.items()]
+    if with_mix:
+        aggs += [F.avg(F.when(pos, (F.col("cuisine") == F.lit(c)).cast("double"))).alias(f"cuisine_{c}")
+                 for c in vocab.CUISINES]
+    return history.groupBy("user_id").agg(*aggs)
+
+
 def derive_user_features(valid: DataFrame, enriched: DataFrame, with_pca: bool = True,
                          min_n: int = vocab.MIN_USER_INTERACTIONS) -> DataFrame:
     """targets + diet flags (+ history PCA fitted on all users with a positive
-    interaction), restricted to active users."""
+    interaction), restricted to users with >= min_n interactions."""
     history = join_history(valid, enriched)
-    feats = user_targets(history).join(user_diet_flags(history), "user_id", "left")
+    agg = user_aggregates(history, with_mix=with_pca).filter(F.col("_n_pos") > 0)
+    feats = agg.filter(F.col("_n_all") >= min_n).select(
+        "user_id", *[t for _, t in TARGETS], *vocab.DIET_TAGS)
     if with_pca:
-        feats = feats.join(history_pca(user_cuisine_mix(history)), "user_id", "left")
-    return semi_active_users(feats, valid, min_n)
+        mix = agg.select("user_id", *[f"cuisine_{c}" for c in vocab.CUISINES])
+        feats = feats.join(history_pca(mix), "user_id", "left")
+    return feats
 
 
 def last_n_positive(interactions: DataFrame, enriched: DataFrame, n: int = 100,
