@@ -92,13 +92,47 @@ def run_checks(df: DataFrame, checks: list[Check], table: str) -> DataFrame:
     return base.select(F.inline(F.array(*rows)))
 
 
-def run_rule_suite(tables: dict[str, DataFrame], rules: dict[str, list[str]] | None = None) -> DataFrame:
+def run_checks_by(df: DataFrame, group_col: str, checks_by_value: dict[str, list[Check]],
+                  extra_aggs: list[Column] | None = None) -> DataFrame:
+    """Checks for several slices of one table (e.g. train / val / test of the
+    split-tagged table) in ONE grouped aggregate pass; each slice's checks are
+    unpivoted from its row.  Slices without rows still report (row_count 0)."""
+    keys: dict[tuple, str] = {}
+    for checks in checks_by_value.values():
+        for c in checks:
+            keys.setdefault((c.metric, c.column), f"_m{len(keys)}")
+    aggs = [_metric_expr(Check("", m, col, "=", 0)).alias(a) for (m, col), a in keys.items()]
+    base = df.groupBy(group_col).agg(*aggs, *(extra_aggs or []))
+    grid = df.sparkSession.createDataFrame([(v,) for v in checks_by_value], f"{group_col} string")
+    base = grid.join(base, group_col, "left").fillna(0.0, subset=[a for (m, _), a in keys.items()
+                                                                  if m in ("row_count", "missing_count")])
+    arrays = None
+    for v, checks in checks_by_value.items():
+        arr = F.array(*[_row(v, c.name, F.col(keys[(c.metric, c.column)]),
+                             F.coalesce(_passed(F.col(keys[(c.metric, c.column)]), c), F.lit(False)))
+                        for c in checks])
+        arrays = F.when(F.col(group_col) == v, arr) if arrays is None else arrays.when(F.col(group_col) == v, arr)
+    return base.select(F.inline(arrays))
+
+
+def run_rule_suite(tables: dict[str, DataFrame], rules: dict[str, list[str]] | None = None,
+                   tagged: DataFrame | None = None, split_col: str = "split") -> DataFrame:
+    """Rule file over named tables.  Slices of ``tagged`` (train / val / test)
+    are checked together in one grouped pass instead of one pass each."""
     rules = rules or RULES_TEXT
     out = None
+    sliced = {}
     for t, texts in rules.items():
+        checks = [parse_rule(x) for x in texts]
+        if tagged is not None and t in ("train", "val", "test"):
+            sliced[t] = checks
+            continue
         if t not in tables:
             continue
-        r = run_checks(tables[t], [parse_rule(x) for x in texts], t)
+        r = run_checks(tables[t], checks, t)
+        out = r if out is None else out.unionByName(r)
+    if sliced:
+        r = run_checks_by(tagged, split_col, sliced)
         out = r if out is None else out.unionByName(r)
     return out
 
@@ -123,17 +157,19 @@ def builtin_checks(split: str | None) -> list[Check]:
             + [Check(f"{split}_balance", "avg", "label", "between_excl", 0.05, 0.95)])
 
 
-def run_builtin_suite(enriched: DataFrame, splits: dict[str, DataFrame], date_col: str = "date") -> DataFrame:
+def run_builtin_suite(enriched: DataFrame, tagged: DataFrame, split_col: str = "split",
+                      date_col: str = "date") -> DataFrame:
+    """Built-in thresholds: one pass over enriched recipes, one grouped pass over
+    the split-tagged table (which also yields the temporal check's dates)."""
     out = run_checks(enriched, builtin_checks(None), "enriched_recipes")
-    for s in ("train", "val", "test"):
-        out = out.unionByName(run_checks(splits[s], builtin_checks(s), s))
-    tmax = splits["train"].agg(F.max(date_col).alias("_a"))
-    tmin = splits["test"].agg(F.min(date_col).alias("_b"))
-    temporal = tmax.crossJoin(tmin).select(
+    per = run_checks_by(tagged, split_col, {s: builtin_checks(s) for s in ("train", "val", "test")})
+    dates = tagged.groupBy(split_col).agg(F.max(date_col).alias("_mx"), F.min(date_col).alias("_mn"))
+    temporal = dates.agg(F.max(F.when(F.col(split_col) == "train", F.col("_mx"))).alias("_a"),
+                         F.min(F.when(F.col(split_col) == "test", F.col("_mn"))).alias("_b")).select(
         F.lit("splits").alias("table_name"), F.lit("temporal").alias("check_name"),
         (F.unix_timestamp("_b") - F.unix_timestamp("_a")).cast("double").alias("actual"),
         F.coalesce(F.col("_a") < F.col("_b"), F.lit(False)).alias("passed"))
-    return out.unionByName(temporal)
+    return out.unionByName(per).unionByName(temporal)
 
 
 def _row(table, check, actual, passed):
@@ -196,12 +232,10 @@ def label_balance_check(train: DataFrame, lo: float = 0.02, hi: float = 0.98) ->
         "passed", (F.col("positive_rate") >= lo) & (F.col("positive_rate") <= hi))
 
 
-def negative_range(splits: dict[str, DataFrame], column: str = "calories") -> DataFrame:
-    out = None
-    for name, df in splits.items():
-        r = df.agg(F.lit(name).alias("split"), F.count_if(F.col(column) < 0).alias("negative_rows"))
-        out = r if out is None else out.unionByName(r)
-    return out.withColumn("passed", F.col("negative_rows") == 0)
+def negative_range(tagged: DataFrame, column: str = "calories", split_col: str = "split") -> DataFrame:
+    """Negative values per split, one grouped pass over the split-tagged table."""
+    return (tagged.groupBy(split_col).agg(F.count_if(F.col(column) < 0).alias("negative_rows"))
+            .withColumn("passed", F.col("negative_rows") == 0))
 
 
 def split_sanity(tagged: DataFrame, split_col: str = "split", date_col: str = "date",

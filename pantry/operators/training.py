@@ -183,32 +183,45 @@ def row_fingerprint(cols: list[str]):
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def dataset_manifest(splits: dict[str, DataFrame], hash_cols: list[str],
-                     date_col: str = "date", label_col: str = "label") -> DataFrame:
-    """Per split: rows, min/max date, label mean and an order-insensitive content
-    hash (sum of per-row SHA-256 prefixes + row count), so the fingerprint does
-    not depend on part-file layout.  ``version`` = first 12 hex of SHA-256 over
-    the split hashes in split-name order (computed from the small manifest)."""
-    parts = []
-    for name, df in splits.items():
-        parts.append(df.agg(
-            F.lit(name).alias("split"),
-            F.count(F.lit(1)).alias("rows"),
+def _manifest_aggs(date_col: str, label_col: str, hash_cols: list[str]):
+    return [F.count(F.lit(1)).alias("rows"),
             F.date_format(F.min(date_col), "yyyy-MM-dd HH:mm:ss").alias("min_date"),
             F.date_format(F.max(date_col), "yyyy-MM-dd HH:mm:ss").alias("max_date"),
             F.avg(F.col(label_col).cast("double")).alias("label_mean"),
-            F.sum(row_fingerprint(hash_cols)).alias("_h")))
-    m = parts[0]
-    for p in parts[1:]:
-        m = m.unionByName(p)
+            F.sum(row_fingerprint(hash_cols)).alias("_h")]
+
+
+def _finish_manifest(m: DataFrame) -> DataFrame:
     m = m.withColumn("content_hash", F.sha2(F.concat_ws(":", F.col("rows").cast("string"),
                                                         F.coalesce(F.col("_h").cast("string"), F.lit("0"))), 256))
+    # version over the (three) split hashes in split-name order: a bounded list
     allh = m.agg(F.sort_array(F.collect_list(F.struct("split", "content_hash"))).alias("_all"))
     ver = allh.select(F.substring(F.sha2(F.array_join(F.transform("_all", lambda s: s["content_hash"]), ":"), 256),
                                   1, 12).alias("version"))
     return m.drop("_h").crossJoin(ver)
 
 
+def dataset_manifest(splits: dict[str, DataFrame], hash_cols: list[str],
+                     date_col: str = "date", label_col: str = "label") -> DataFrame:
+    """Per split: rows, min/max date, label mean and an order-insensitive content
+    hash (sum of per-row SHA-256 prefixes + row count), so the fingerprint does
+    not depend on part-file layout.  ``version`` = first 12 hex of SHA-256 over
+    the split hashes in split-name order."""
+    parts = [df.agg(F.lit(name).alias("split"), *_manifest_aggs(date_col, label_col, hash_cols))
+             for name, df in splits.items()]
+    m = parts[0]
+    for p in parts[1:]:
+        m = m.unionByName(p)
+    return _finish_manifest(m)
+
+
+def dataset_manifest_tagged(tagged: DataFrame, hash_cols: list[str], split_col: str = "split",
+                            date_col: str = "date", label_col: str = "label") -> DataFrame:
+    """Same manifest from the split-tagged table in ONE grouped pass."""
+    m = tagged.groupBy(F.col(split_col).alias("split")).agg(*_manifest_aggs(date_col, label_col, hash_cols))
+    return _finish_manifest(m)
+
+
 def replay_window(df: DataFrame, days: int, date_col: str = "date") -> DataFrame:
     """Rows of the last ``days`` days relative to the newest date, with a ``day``
     text column; without any date all rows are kept as day 'undated'."""

@@ -65,8 +65,8 @@ _ALIAS = {"enriched_recipes": "enriched", "train": "tr", "val": "va", "test": "t
 @register("dq_rule_suite", sql=_w() + " UNION ALL ".join(
     checks_sql([Q.parse_rule(x) for x in texts], _ALIAS[t], t) for t, texts in Q.RULES_TEXT.items()))
 def q_dq_rule_suite(spark, sf):
-    p, _, sp = _splits(spark, sf)
-    r = Q.run_rule_suite({"enriched_recipes": p.enriched, **sp})
+    p, tagged, _ = _splits(spark, sf)
+    r = Q.run_rule_suite({"enriched_recipes": p.enriched}, tagged=tagged)
     return r.withColumn("actual", X.rnd("actual", 6))
 
 
@@ -75,8 +75,8 @@ def q_dq_rule_suite(spark, sf):
           + """ UNION ALL SELECT 'splits', 'temporal', CAST(epoch(b) - epoch(a) AS DOUBLE), coalesce(a < b, false)
 FROM (SELECT max(date) AS a FROM tr) x, (SELECT min(date) AS b FROM te) y""")
 def q_dq_builtin_suite(spark, sf):
-    p, _, sp = _splits(spark, sf)
-    return Q.run_builtin_suite(p.enriched, sp).withColumn("actual", X.rnd("actual", 6))
+    p, tagged, _ = _splits(spark, sf)
+    return Q.run_builtin_suite(p.enriched, tagged).withColumn("actual", X.rnd("actual", 6))
 
 
 @register("dq_recipe_schema", sql=with_views("recipes") + """
@@ -146,8 +146,8 @@ def q_dq_label_balance(spark, sf):
     f"SELECT '{n}' AS split, count(*) FILTER (WHERE calories < 0) AS negative_rows, "
     f"count(*) FILTER (WHERE calories < 0) = 0 AS passed FROM {a}" for a, n in SPLIT_TABLES))
 def q_dq_negative_range(spark, sf):
-    _, _, sp = _splits(spark, sf)
-    return Q.negative_range(sp)
+    _, tagged, _ = _splits(spark, sf)
+    return Q.negative_range(tagged)
 
 
 @register("dq_split_sanity", sql=_w() + """

@@ -181,6 +181,5 @@ SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) F
 def q_dataset_manifest(spark, sf):
     sp = split_training(pipeline(spark, sf))
     sp = sp.withColumn("date", F.col("date").cast("timestamp"))
-    splits = {n: sp.filter(F.col("split") == n) for n in ("train", "val", "test")}
-    m = T.dataset_manifest(splits, _HASH_COLS)
+    m = T.dataset_manifest_tagged(sp, _HASH_COLS)
     return m.withColumn("label_mean", X.rnd("label_mean", 6))
