@@ -40,7 +40,25 @@ def q_latency_histogram_stream(spark, sf):
     return r.withColumn("window_start", _ts("window_start")).drop("window_end")
 
 
-@register("p95_latency_histogram")  # bounded-state estimate; compare decisions with p95_latency_5m
+def _p95_hist_sql():
+    b = "time_bucket(INTERVAL '300 seconds', ts, TIMESTAMP '1970-01-01 00:00:00')"
+    bounds = M.LATENCY_BUCKETS
+    cum = " UNION ALL ".join(
+        f"SELECT ws, {i} AS i, {0.0 if i == 0 else float(bounds[i - 1])} AS lo_b, {float(x)} AS hi_b, "
+        f"count(*) FILTER (WHERE latency_s <= {x}) AS hi_c, "
+        f"{'0' if i == 0 else f'count(*) FILTER (WHERE latency_s <= {bounds[i - 1]})'} AS lo_c, count(latency_s) AS total "
+        f"FROM (SELECT {b} AS ws, latency_s FROM request_log) r GROUP BY ws" for i, x in enumerate(bounds))
+    return with_views("request_log", extra=[("cum", cum), ("hit", """
+SELECT ws, arg_min(CASE WHEN hi_c = lo_c THEN hi_b
+                        ELSE lo_b + (hi_b - lo_b) * (0.95 * total - lo_c) / (hi_c - lo_c) END, i) AS q
+FROM cum WHERE hi_c >= 0.95 * total GROUP BY ws"""), ("tot", "SELECT DISTINCT ws, total FROM cum")]) + f"""
+SELECT strftime(t.ws, '%Y-%m-%d %H:%M:%S') AS window_start,
+  round(CASE WHEN t.total > 0 THEN coalesce(h.q, {float(bounds[-1])}) END, 6) AS p95_latency_s,
+  CASE WHEN t.total > 0 THEN coalesce(h.q, {float(bounds[-1])}) END > 0.5 AS firing
+FROM tot t LEFT JOIN hit h ON t.ws = h.ws"""
+
+
+@register("p95_latency_histogram", sql=_p95_hist_sql())  # bounded-state estimate (histogram_quantile)
 def q_p95_hist(spark, sf):
     log = Catalog(spark, sf).request_log
     b = M.bucket_counts(log, "latency_s", M.LATENCY_BUCKETS, [F.window("ts", "5 minutes")])
