@@ -45,6 +45,11 @@ def kolmogorov_q(lam: Column, terms: int = 100) -> Column:
     return F.when(lam < F.lit(0.2), F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.greatest(F.lit(0.0), series)))
 
 
+KS_SCHEMA = ("feature string, n_baseline bigint, n_live bigint, tested boolean, ks_statistic double, "
+             "p_value double, drift_detected boolean, baseline_mean double, live_mean double, "
+             "baseline_std double, live_std double")
+
+
 def ks_drift(baseline: DataFrame, live: DataFrame, features: list[str],
              p_threshold: float = vocab.KS_P_THRESHOLD, min_stat: float = vocab.KS_MIN_STATISTIC,
              n_buckets: int = 64) -> DataFrame:
@@ -52,6 +57,8 @@ def ks_drift(baseline: DataFrame, live: DataFrame, features: list[str],
     baseline / live mean and population std.  Features with < 2 values on a
     side are reported as not tested."""
     feats = [f for f in features if f in baseline.columns and f in live.columns]
+    if not feats:
+        return baseline.sparkSession.createDataFrame([], KS_SCHEMA)
     longf = _long(baseline, feats, 0).unionByName(_long(live, feats, 1))
     moments = longf.groupBy("feature").agg(
         F.count(F.when(F.col("side") == 0, 1)).alias("n_baseline"),
@@ -76,11 +83,11 @@ def ks_drift(baseline: DataFrame, live: DataFrame, features: list[str],
            .withColumn("_cum0", F.col("_o0") + F.sum("c0").over(wv))
            .withColumn("_cum1", F.col("_o1") + F.sum("c1").over(wv))
            .join(moments.select("feature", "n_baseline", "n_live"), "feature"))
-    d = cdf.groupBy("feature").agg(F.max(F.abs(F.col("_cum0") / F.col("n_baseline")
-                                               - F.col("_cum1") / F.col("n_live"))).alias("_d"))
+    d = cdf.groupBy("feature").agg(F.max(F.abs(F.col("_cum0") / F.nullif(F.col("n_baseline"), F.lit(0))
+                                               - F.col("_cum1") / F.nullif(F.col("n_live"), F.lit(0)))).alias("_d"))
     out = moments.join(d, "feature", "left")
     tested = (F.col("n_baseline") >= 2) & (F.col("n_live") >= 2)
-    en = F.col("n_baseline") * F.col("n_live") / (F.col("n_baseline") + F.col("n_live"))
+    en = F.col("n_baseline") * F.col("n_live") / F.nullif(F.col("n_baseline") + F.col("n_live"), F.lit(0))
     p = kolmogorov_q(F.sqrt(en) * F.col("_d"))
     return out.select(
         "feature", "n_baseline", "n_live", tested.alias("tested"),
