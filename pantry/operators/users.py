@@ -75,9 +75,10 @@ def history_pca(mix: DataFrame, k: int = vocab.HISTORY_PCA_COMPONENTS) -> DataFr
     components (k < 6) are NULL columns, like the reference's left merge.
     """
     feats = [c for c in mix.columns if c.startswith("cuisine_")]
-    present = mix.agg(*[F.max(F.col(c)).alias(c) for c in feats]).first()
+    # one small job: which cuisines occur, and how many users (bounded result)
+    present = mix.agg(F.count(F.lit(1)).alias("_n"), *[F.max(F.col(c)).alias(c) for c in feats]).first()
     used = [c for c in feats if present[c] is not None and present[c] > 0]
-    n_users = mix.count()
+    n_users = present["_n"]
     kk = min(k, len(used), n_users)
     out_cols = [f"history_pc{i + 1}" for i in range(k)]
     if kk == 0:

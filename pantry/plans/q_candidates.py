@@ -10,6 +10,7 @@ from .. import vocab
 from ..functions import exprs as X
 from ..operators import candidates as C
 from ..operators import evaluate as EV
+from ..operators import ml as ML
 from ..sources.fixtures import Catalog
 from . import sqlparts as S
 from .common import pipeline
@@ -314,9 +315,9 @@ SELECT user_id AS request_id, recipe_id, round(score, 4) AS score,
   row_number() OVER (PARTITION BY user_id ORDER BY score DESC, recipe_id) AS rank FROM scores""")
 def q_rank_predictions(spark, sf):
     s = Catalog(spark, sf).scores
-    w = Window.partitionBy("user_id").orderBy(F.desc("score"), "recipe_id")
-    return s.select(F.col("user_id").alias("request_id"), "recipe_id", X.rnd("score", 4).alias("score"),
-                    F.row_number().over(w).alias("rank"))
+    # full ranking of every candidate of a request: skew-safe range-sorted rank
+    r = ML.rank_within_group(s, ["user_id"], [F.desc("score"), F.asc("recipe_id")])
+    return r.select(F.col("user_id").alias("request_id"), "recipe_id", X.rnd("score", 4).alias("score"), "rank")
 
 
 @register("topn_scored", sql=with_views("scores", "recipes") + """

@@ -169,3 +169,13 @@ def test_time_split_fine_timestamps(spark):
     got = T.time_split(df, ["date", "k"])
     exp = _positions(df, ["date", "k"])
     assert got.join(exp.select("k", "exp"), "k").filter(F.col("split") != F.col("exp")).count() == 0
+
+
+def test_rank_within_group_hot_group(spark):
+    from pantry.operators import ml as ML
+    rows = [(0 if k % 4 else k % 7, k, float((k * 37) % 101)) for k in range(900)]  # group 0 holds ~3/4
+    df = spark.createDataFrame(rows, "g int, k int, s double")
+    got = ML.rank_within_group(df, ["g"], [F.desc("s"), F.asc("k")])
+    w = Window.partitionBy("g").orderBy(F.desc("s"), F.asc("k"))
+    exp = df.withColumn("exp", F.row_number().over(w))
+    assert got.join(exp, ["g", "k"]).filter(F.col("rank") != F.col("exp")).count() == 0
