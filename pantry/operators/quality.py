@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import vocab
 
 
 @dataclass(frozen=True)
@@ -273,4 +272,3 @@ def leakage_corr(train: DataFrame, label_col: str = "label", threshold: float =
 EXPECTED_RECIPE_COLS = ["name", "recipe_id", "minutes", "tags", "nutrition", "n_steps", "n_ingredients",
                         "ingredients", "description"]
 EXPECTED_INTER_COLS = ["user_id", "recipe_id", "date", "rating"]
-_ = vocab  # thresholds shared with the drift monitor live in vocab

@@ -12,7 +12,6 @@ from ..functions import exprs as X
 from ..operators import enrich as E
 from ..operators import training as T
 from ..operators import users as U
-from ..session import cut_lineage
 from ..sources.fixtures import Catalog
 from ..sources.io import materialize
 

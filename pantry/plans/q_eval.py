@@ -8,7 +8,6 @@ from ..functions import exprs as X
 
 from .. import vocab
 from ..operators import evaluate as EV
-from ..operators import training as T
 from ..sources.fixtures import Catalog
 from . import sqlparts as S
 from .common import split_training, pipeline

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 
 from ..operators import quality as Q
-from ..operators import training as T
 from ..sources.fixtures import Catalog
 from . import sqlparts as S
 from .common import split_training, TRAIN_OUT, pipeline

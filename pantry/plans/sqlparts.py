@@ -65,8 +65,6 @@ def labeled_cte() -> tuple[str, str]:
                        "AS INTEGER) AS label FROM interactions")
 
 
-DIET_SQL = {c: t for c, t in vocab.DIET_TAGS.items()}
-
 
 def training_ctes(qt: float = vocab.MINUTES_QUANTILE, min_reviews: int = vocab.MIN_REVIEWS,
                   min_n: int = vocab.MIN_USER_INTERACTIONS) -> list[tuple[str, str]]:
