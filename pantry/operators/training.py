@@ -76,10 +76,15 @@ def _split_of(pos, train_end, val_end):
 
 def time_split(df: DataFrame, order_keys: list[str] | None = None,
                train_frac: float = 0.8, val_frac: float = 0.1,
-               with_position: bool = False) -> DataFrame:
+               with_position: bool = False, method: str = "sort", n_buckets: int = 256) -> DataFrame:
     """Add ``split`` (train / val / test): first floor(n*0.8) rows by time, next
     up to floor(n*(0.8+0.1)), rest.  ``order_keys`` must be a total order whose
-    first key is the date."""
+    first key is the date.
+
+    ``method`` positions the rows of the (at most two) boundary days:
+    "sort" (default) range-sorts them on the full key and checkpoints - robust
+    to any hot value and measured faster; "buckets" is fully lazy (quantile
+    buckets of the leading varying key) and avoids the extra job."""
     keys = order_keys or ORDER_KEYS
     date_col = keys[0]
     dd = df.withColumn("_day", _day_key(df, date_col))
@@ -94,8 +99,57 @@ def time_split(df: DataFrame, order_keys: list[str] | None = None,
     whole = joined.filter(~F.col("_boundary")).withColumn(
         "split", _split_of(F.col("_start"), F.col("_train_end"), F.col("_val_end")))
     edge = joined.filter(F.col("_boundary"))
-    # Rows of boundary days: global range sort on the full key spreads a hot
-    # day over many partitions; positions = partition offset + index.
+    if method == "buckets":
+        edge_out = _edge_positions_buckets(edge, keys, n_buckets)
+    else:
+        edge_out = _edge_positions_sorted(edge, keys, marked)
+    cols = df.columns + ["split"]
+    if with_position:
+        # Positions for interior rows need the per-day row_number; only on request.
+        iw = Window.partitionBy("_day").orderBy(*keys)
+        whole = whole.withColumn("_pos", F.col("_start") + F.row_number().over(iw) - 1)
+        cols = cols + ["_pos"]
+    return whole.select(*cols).unionByName(edge_out.select(*cols))
+
+
+def _monotone_double(df: DataFrame, col: str):
+    """Order-preserving double of a numeric / date / timestamp column."""
+    t = dict(df.dtypes)[col]
+    c = F.col(col)
+    if t == "date" or t.startswith("timestamp"):
+        return c.cast("timestamp").cast("double")
+    return c.cast("double")
+
+
+def _edge_positions_buckets(edge: DataFrame, keys: list[str], n_buckets: int) -> DataFrame:
+    """Lazy positions for boundary-day rows.  Within a day rows are ordered by
+    keys[0] then keys[1:]; the bucket column is keys[0] where it varies inside
+    the day (exact min < max test) and keys[1] where keys[0] is constant, so
+    buckets always follow the row order.  Order-preserving buckets come from
+    approximate quantiles per day; prefix counts on the tiny (day, bucket)
+    table; row_number inside each (day, bucket).  Exact; balanced unless one
+    value of the bucket column holds most of a day."""
+    k0 = _monotone_double(edge, keys[0])
+    k1 = _monotone_double(edge, keys[1])
+    e = edge.withColumn("_k0", k0).withColumn("_k1", k1)
+    varies = e.groupBy("_day").agg((F.min("_k0") < F.max("_k0")).alias("_varies"))
+    e = e.join(varies, "_day").withColumn("_bv", F.when(F.col("_varies"), F.col("_k0")).otherwise(F.col("_k1")))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = e.groupBy("_day").agg(F.percentile_approx(F.col("_bv"), probs, 10000).alias("_bounds"))
+    b = (e.join(bounds, "_day")
+         .withColumn("_bkt", F.size(F.filter("_bounds", lambda x: x < F.col("_bv")))).drop("_bounds"))
+    cnt = b.groupBy("_day", "_bkt").agg(F.count(F.lit(1)).alias("_bc"))
+    wb = Window.partitionBy("_day").orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    boff = cnt.select("_day", "_bkt", F.coalesce(F.sum("_bc").over(wb), F.lit(0)).alias("_boff"))
+    wr = Window.partitionBy("_day", "_bkt").orderBy(*keys)
+    pos = F.col("_start") + F.col("_boff") + F.row_number().over(wr) - 1
+    return (b.join(boff, ["_day", "_bkt"]).withColumn("_pos", pos)
+            .withColumn("split", _split_of(F.col("_pos"), F.col("_train_end"), F.col("_val_end"))))
+
+
+def _edge_positions_sorted(edge: DataFrame, keys: list[str], marked: DataFrame) -> DataFrame:
+    """Positions for boundary-day rows by a global range sort on the full key
+    (robust to any hot value), numbered by partition offsets on a checkpoint."""
     ranked = cut_lineage(edge.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id()))
     ranked = ranked.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
@@ -108,16 +162,9 @@ def time_split(df: DataFrame, order_keys: list[str] | None = None,
     before = bdays.withColumn("_before", F.coalesce(F.sum("_cnt").over(dw), F.lit(0))).select(
         "_day", "_before")
     pos = F.col("_start") + F.col("_poff") + F.col("_idx") - F.col("_before")
-    edge_out = (ranked.join(poffs.select("_pid", "_poff"), "_pid").join(before, "_day")
-                .withColumn("_pos", pos)
-                .withColumn("split", _split_of(F.col("_pos"), F.col("_train_end"), F.col("_val_end"))))
-    cols = df.columns + ["split"]
-    if with_position:
-        # Positions for interior rows need the per-day row_number; only on request.
-        iw = Window.partitionBy("_day").orderBy(*keys)
-        whole = whole.withColumn("_pos", F.col("_start") + F.row_number().over(iw) - 1)
-        cols = cols + ["_pos"]
-    return whole.select(*cols).unionByName(edge_out.select(*cols))
+    return (ranked.join(poffs.select("_pid", "_poff"), "_pid").join(before, "_day")
+            .withColumn("_pos", pos)
+            .withColumn("split", _split_of(F.col("_pos"), F.col("_train_end"), F.col("_val_end"))))
 
 
 def split_by_days(df: DataFrame, date_col: str = "date", test_days: int = 14,

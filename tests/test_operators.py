@@ -32,11 +32,12 @@ def test_time_split_equals_global_row_number(spark):
     assert j.filter(F.col("split") != F.col("exp")).count() == 0
 
 
-def test_time_split_hot_date(spark):
-    """One date holding most rows: boundary positions still exact."""
+@pytest.mark.parametrize("method", ["buckets", "sort"])
+def test_time_split_hot_date(spark, method):
+    """One date holding most rows: boundary positions still exact (both methods)."""
     rows = [(f"2020-01-0{1 + (k % 3 == 0)}", k) for k in range(500)]
     df = spark.createDataFrame(rows, "d string, k int").withColumn("date", F.to_timestamp("d")).drop("d")
-    got = T.time_split(df, ["date", "k"])
+    got = T.time_split(df, ["date", "k"], method=method, n_buckets=16)
     exp = _positions(df, ["date", "k"])
     j = got.join(exp.select("k", "exp"), "k")
     assert j.filter(F.col("split") != F.col("exp")).count() == 0
@@ -166,9 +167,10 @@ def test_time_split_fine_timestamps(spark):
     """Second-resolution event times (many per day, some equal): exact split."""
     rows = [(f"2021-03-0{1 + k % 3} {k % 24:02d}:{(k * 7) % 60:02d}:{(k * 13) % 60:02d}", k) for k in range(700)]
     df = spark.createDataFrame(rows, "d string, k int").withColumn("date", F.to_timestamp("d")).drop("d")
-    got = T.time_split(df, ["date", "k"])
-    exp = _positions(df, ["date", "k"])
-    assert got.join(exp.select("k", "exp"), "k").filter(F.col("split") != F.col("exp")).count() == 0
+    for method in ("buckets", "sort"):
+        got = T.time_split(df, ["date", "k"], method=method)
+        exp = _positions(df, ["date", "k"])
+        assert got.join(exp.select("k", "exp"), "k").filter(F.col("split") != F.col("exp")).count() == 0
 
 
 def test_rank_within_group_hot_group(spark):
