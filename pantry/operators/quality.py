@@ -202,10 +202,15 @@ def interaction_checks(df: DataFrame, required: list[str], lo: int = 0, hi: int
         _row(t, "rating_out_of_range", F.col("_x"), F.col("_x") == 0))))
 
 
-def null_profile(df: DataFrame, table: str, threshold: float = 0.5, min_rows: int = 100) -> DataFrame:
+def null_profile(df: DataFrame, table: str, threshold: float = 0.5, min_rows: int = 100,
+                 sample_first: int | None = None, order_cols: list[str] | None = None) -> DataFrame:
     """Null rate of every column in one pass; flagged when > threshold; the
-    table fails when it has fewer than min_rows rows."""
+    table fails when it has fewer than min_rows rows.  ``sample_first`` reproduces
+    the reference's "first n rows" mode with an explicit order (the limit is the
+    feature); by default all rows are profiled."""
     cols = df.columns
+    if sample_first is not None:
+        df = df.orderBy(*(order_cols or cols[:1])).limit(sample_first)
     row = df.agg(F.count(F.lit(1)).alias("_rows"),
                  *[F.avg(F.col(c).isNull().cast("double")).alias(f"_n{i}") for i, c in enumerate(cols)])
     return row.select(F.inline(F.array(*[

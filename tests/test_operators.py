@@ -181,3 +181,13 @@ def test_rank_within_group_hot_group(spark):
     w = Window.partitionBy("g").orderBy(F.desc("s"), F.asc("k"))
     exp = df.withColumn("exp", F.row_number().over(w))
     assert got.join(exp, ["g", "k"]).filter(F.col("rank") != F.col("exp")).count() == 0
+
+
+def test_null_profile_sampled_mode(spark):
+    from pantry.operators import quality as Q
+    rows = [(k, None if k >= 10 else "x") for k in range(40)]
+    df = spark.createDataFrame(rows, "k int, v string")
+    full = {r.column_name: r for r in Q.null_profile(df, "t").collect()}
+    head = {r.column_name: r for r in Q.null_profile(df, "t", sample_first=10, order_cols=["k"]).collect()}
+    assert full["v"].null_rate == 0.75 and full["v"].flagged and not full["v"].enough_rows
+    assert head["v"].null_rate == 0.0 and not head["v"].flagged
