@@ -283,28 +283,31 @@ def q_join_feedback_context(spark, sf):
 
 
 @register("sink_upsert", sql=with_views("request_log") + """
+, t AS (SELECT min(ts) AS t0, max(ts) AS now FROM request_log)
 , cur AS (SELECT request_id AS id, CAST(user_id AS VARCHAR) AS request_ref, score, model_version,
-          ts + INTERVAL 1 DAY AS expires_at, ts AS created_at FROM request_log WHERE request_id % 2 = 0)
+          ts + INTERVAL 1 DAY AS expires_at, ts AS created_at FROM request_log, t WHERE ts < t0 + INTERVAL 20 DAY)
 , inc AS (SELECT request_id AS id, 'r-' || CAST(request_id AS VARCHAR) AS request_ref, score * 2 AS score, 'v9' AS model_version
-          FROM request_log WHERE request_id % 3 = 0)
-, nw AS (SELECT max(ts) AS now FROM request_log)
+          FROM request_log, t WHERE ts >= t0 + INTERVAL 10 DAY)
 SELECT coalesce(c.id, i.id) AS id,
   CASE WHEN i.id IS NOT NULL THEN i.request_ref ELSE c.request_ref END AS request_ref,
   round(CASE WHEN i.id IS NOT NULL THEN i.score ELSE c.score END, 6) AS score,
   CASE WHEN i.id IS NOT NULL THEN i.model_version ELSE c.model_version END AS model_version,
-  strftime(CASE WHEN i.id IS NOT NULL THEN (SELECT now FROM nw) + INTERVAL 1 DAY ELSE c.expires_at END, '%Y-%m-%d %H:%M:%S') AS expires_at,
+  strftime(CASE WHEN i.id IS NOT NULL THEN (SELECT now FROM t) + INTERVAL 1 DAY ELSE c.expires_at END, '%Y-%m-%d %H:%M:%S') AS expires_at,
   strftime(CASE WHEN c.id IS NULL THEN NULL ELSE c.created_at END, '%Y-%m-%d %H:%M:%S') AS created_at
 FROM cur c FULL OUTER JOIN inc i ON c.id = i.id""")
 def q_sink_upsert(spark, sf):
+    """Current cache = the first 20 days of the log; incoming batch = everything
+    from day 10 on, re-scored: the overlap updates, the rest inserts."""
     log = Catalog(spark, sf).request_log
-    cur = log.filter(F.pmod("request_id", F.lit(2)) == 0).select(
+    t = log.agg(F.min("ts").alias("_t0"), F.max("ts").alias("_now"))  # one row
+    lt = log.crossJoin(t)
+    cur = lt.filter(F.col("ts") < F.col("_t0") + F.make_dt_interval(F.lit(20))).select(
         F.col("request_id").alias("id"), F.col("user_id").cast("string").alias("request_ref"), "score",
         "model_version", (F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("expires_at"), F.col("ts").alias("created_at"))
-    inc = log.filter(F.pmod("request_id", F.lit(3)) == 0).select(
+    inc = lt.filter(F.col("ts") >= F.col("_t0") + F.make_dt_interval(F.lit(10))).select(
         F.col("request_id").alias("id"), F.concat(F.lit("r-"), F.col("request_id").cast("string")).alias("request_ref"),
-        (F.col("score") * 2).alias("score"), F.lit("v9").alias("model_version"))
-    now = log.agg(F.max("ts").alias("_now"))
-    merged = C.upsert(cur, inc.crossJoin(now), "id", ["request_ref", "score", "model_version"], F.col("_i__now"))
+        (F.col("score") * 2).alias("score"), F.lit("v9").alias("model_version"), "_now")
+    merged = C.upsert(cur, inc, "id", ["request_ref", "score", "model_version"], F.col("_i__now"))
     return merged.select("id", "request_ref", X.rnd("score", 6).alias("score"), "model_version",
                          F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss").alias("expires_at"),
                          F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
