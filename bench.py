@@ -26,7 +26,7 @@ def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     names = sys.argv[1:] or HEADLINE
-    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="pantry-bench")
+    spark = build_session(master=f"local[{cpus}]", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", 2 * cpus)), app_name="pantry-bench")
     reg = load_all()
     # warm-up (JIT / codegen caches) on the smallest fixture, not timed
     warm = "/root/testdata/sf0.001"
