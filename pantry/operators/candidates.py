@@ -298,3 +298,29 @@ def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, order_cols:
     w = Window.partitionBy(*group_cols).orderBy("_ok")
     return (last.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
             .select(*group_cols, key, *[F.col(f"_ok.{c}").alias(c) for c in order_cols]))
+
+
+def sample_candidates(users: DataFrame, meal_agg: DataFrame, recent: DataFrame, k: int = 200,
+                      seed: int = 17, per_bucket: int = 4) -> DataFrame:
+    """Per user: up to k candidate meals drawn from (own meals UNION public
+    meals) minus the recently logged ones, in a seeded pseudo-random order
+    (the reference's ORDER BY RANDOM() LIMIT k).
+
+    No user x public-meal cross product: public meals and users are hashed
+    into B buckets with B = public / (per_bucket * k), so each user meets about
+    per_bucket * k public meals (bounded), and a top-k by hash per user
+    (WindowGroupLimit) keeps k of them together with the user's own meals."""
+    public = meal_agg.filter(F.col("is_public"))
+    n_public = public.count()  # one number: sizes the bucket count
+    b = max(1, n_public // max(1, per_bucket * k))
+    pub = public.select("meal_id", F.pmod(F.xxhash64(F.lit(seed), F.col("meal_id")), F.lit(b)).alias("_b"))
+    us = users.select("user_id").distinct().withColumn(
+        "_b", F.pmod(F.xxhash64(F.lit(seed), F.col("user_id")), F.lit(b)))
+    public_pairs = us.join(pub, "_b").select("user_id", "meal_id")
+    own_pairs = users.select("user_id").distinct().join(
+        meal_agg.select("user_id", "meal_id"), "user_id")
+    pairs = public_pairs.unionByName(own_pairs).distinct()
+    pairs = exclude_recent_meals(pairs, recent)
+    w = Window.partitionBy("user_id").orderBy(F.xxhash64(F.lit(seed), F.col("user_id"), F.col("meal_id")),
+                                              F.col("meal_id"))
+    return pairs.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= k)

@@ -89,6 +89,16 @@ def q_distinct_logged(spark, sf):
     return _recent(Catalog(spark, sf))
 
 
+@register("candidate_meals_sampled")  # seeded sample: rows-only check + tests/test_semantics.py
+def q_candidate_meals_sampled(spark, sf):
+    cat = Catalog(spark, sf)
+    meals = _meal_agg(cat)
+    users = cat.contexts.select("user_id")
+    s = C.sample_candidates(users, meals, _recent(cat), k=200)
+    return s.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_candidates"),
+                                    F.countDistinct("meal_id").alias("n_distinct"))
+
+
 @register("exclude_recent_meals", sql=with_views("meals", extra=[_RECENT_SQL]) + """
 SELECT m.user_id, m.id AS meal_id FROM meals m
 WHERE NOT EXISTS (SELECT 1 FROM recent r WHERE r.user_id = m.user_id AND r.meal_id = m.id)""")

@@ -83,3 +83,20 @@ def test_manifest_independent_of_partitioning(spark):
     a = T.dataset_manifest_tagged(df.repartition(1), cols).orderBy("split").collect()
     b = T.dataset_manifest_tagged(df.repartition(7, "recipe_id"), cols).orderBy("split").collect()
     assert [tuple(x) for x in a] == [tuple(x) for x in b]
+
+
+def test_sample_candidates_bounds(spark):
+    from conftest import SF_SMALL
+    from pantry.sources.fixtures import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    meals = C.meal_nutrients(cat.meals, cat.meal_foods, cat.food_variants)
+    recent = C.recently_logged(cat.meals.select("user_id", F.col("id").alias("meal_template_id"), "entry_date"), 30)
+    s = C.sample_candidates(cat.contexts.select("user_id"), meals, recent, k=20)
+    per = s.groupBy("user_id").agg(F.count(F.lit(1)).alias("c"), F.countDistinct("meal_id").alias("d"))
+    assert per.filter((F.col("c") > 20) | (F.col("c") != F.col("d"))).count() == 0
+    # visibility: every candidate is public or owned by the user; none recently logged
+    j = s.join(meals.select("meal_id", F.col("user_id").alias("owner"), "is_public"), "meal_id")
+    assert j.filter(~F.col("is_public") & (F.col("owner") != F.col("user_id"))).count() == 0
+    assert s.join(recent, ["user_id", "meal_id"]).count() == 0
+    again = C.sample_candidates(cat.contexts.select("user_id"), meals, recent, k=20)
+    assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
