@@ -177,7 +177,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY abs(coalesce(pr
 def q_fallback_rank(spark, sf):
     meals, goals = _own(Catalog(spark, sf))
     r = C.fallback_rank(meals, goals, 10)
-    return r.select("user_id", "meal_id", X.rnd("score", 6).alias("score"), "rank")
+    return r.select("user_id", "meal_id", X.rnd("score", 6).alias("score"), F.col("rank").cast("bigint").alias("rank"))
 
 
 @register("recommendation_reason", sql=with_views(*_MV, extra=[_GOALS_SQL, _MEALS_SQL, _OWN_SQL]) + """
@@ -358,4 +358,5 @@ def q_topk_per_user(spark, sf):
     df = scored_test(spark, sf).filter(F.col("user_vegan") == 1)
     w = Window.partitionBy("user_id").orderBy(F.desc("score"), *EV.TIE_BREAK)
     return (df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= 5)
-            .select("user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey", "rank"))
+            .select("user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey",
+                    F.col("rank").cast("bigint").alias("rank")))

@@ -68,9 +68,9 @@ SELECT recipe_id, len({S.string_list('tags')}) AS n_tags,
 FROM recipes""")
 def q_parse_list_columns(spark, sf):
     r = E.parse_list_columns(Catalog(spark, sf).recipes)
-    return r.select("recipe_id", F.size("tags").alias("n_tags"),
+    return r.select("recipe_id", F.size("tags").cast("bigint").alias("n_tags"),
                     F.array_join("tags", "|").alias("tag_text"),
-                    F.size("ingredients").alias("n_ingr"),
+                    F.size("ingredients").cast("bigint").alias("n_ingr"),
                     F.array_join("ingredients", "|").alias("ingr_text"))
 
 

@@ -102,7 +102,8 @@ def q_sink_log_append(spark, sf):
     path = IO.output_root(spark, "prediction-log")
     for parity in (0, 1):  # two appended batches
         IO.append_log(log.filter(F.pmod("request_id", F.lit(2)) == parity), path, LOG_SCHEMA)
-    return spark.read.parquet(path).groupBy("log_date").agg(F.count(F.lit(1)).alias("rows"))
+    back = spark.read.parquet(path)  # partition values come back typed (date)
+    return back.groupBy(F.col("log_date").cast("string").alias("log_date")).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("sink_versioned_release", sql=_SPLIT_COUNT_SQL + "SELECT split, count(*) AS rows FROM splits GROUP BY split")
