@@ -90,7 +90,8 @@ def exclude_recent_meals(candidates: DataFrame, recent: DataFrame) -> DataFrame:
 
 def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float = 50.0,
                     allergen_flags: dict[str, str] | None = None,
-                    low: float = 0.5, high: float = 1.5, salts: int = 8) -> DataFrame:
+                    low: float = 0.5, high: float = 1.5, salts: int = 8,
+                    broadcast_max_rows: int = 2_000_000) -> DataFrame:
     """Per request: recipes with low*cal <= calories <= high*cal, minutes <= limit and
     none of the requested allergens.  Bucketed range join (see module notes).
 
@@ -102,19 +103,23 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
     hi = F.col("calorie_target") * F.lit(high)
     req = requests.withColumn("_b", F.explode(F.sequence(F.floor(lo / bucket_width).cast("bigint"),
                                                          F.floor(hi / bucket_width).cast("bigint"))))
-    # Salt: a calorie bucket is a coarse key (few distinct values); each recipe
-    # goes to one of ``salts`` sub-keys and requests are replicated to all of
-    # them, so a popular bucket is split over ``salts`` reducers when the
-    # recipe side is too large to broadcast.
-    req = req.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rec = recipes.filter(F.col("calories").isNotNull()).withColumn(
-        "_b", F.floor(F.col("calories") / bucket_width).cast("bigint")).withColumn(
-        "_s", F.pmod(F.xxhash64("recipe_id"), F.lit(salts)).cast("int"))
-    j = req.join(rec, ["_b", "_s"], "inner")
+        "_b", F.floor(F.col("calories") / bucket_width).cast("bigint"))
+    # Size check: a recipe side within ``broadcast_max_rows`` (counted, so the
+    # bound is proven) is broadcast and the join needs no shuffle.  Beyond it,
+    # a calorie bucket is a coarse key (few distinct values), so recipes are
+    # salted into ``salts`` sub-keys and requests replicated to all of them:
+    # a popular bucket is split over ``salts`` reducers of a shuffled join.
+    if rec.count() <= broadcast_max_rows:
+        j = req.join(F.broadcast(rec), "_b", "inner")
+    else:
+        req = req.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        rec = rec.withColumn("_s", F.pmod(F.xxhash64("recipe_id"), F.lit(salts)).cast("int"))
+        j = req.join(rec, ["_b", "_s"], "inner").drop("_s")
     cond = (F.col("calories") >= lo) & (F.col("calories") <= hi) & (F.col("minutes") <= F.col("time_limit"))
     for req_col, flag in allergen_flags.items():
         cond = cond & ~(F.coalesce(F.col(req_col), F.lit(False)) & (F.col(flag) == 1))
-    return j.filter(cond).drop("_b", "_s")
+    return j.filter(cond).drop("_b")
 
 
 def candidate_features(cands: DataFrame, user_feats: DataFrame, meal_type: str = "dinner",

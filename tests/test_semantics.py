@@ -100,3 +100,24 @@ def test_sample_candidates_bounds(spark):
     assert s.join(recent, ["user_id", "meal_id"]).count() == 0
     again = C.sample_candidates(cat.contexts.select("user_id"), meals, recent, k=20)
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_rule_candidates_broadcast_and_salted_paths_agree(spark):
+    req = spark.createDataFrame([(1, 600, 60, True, False, False), (2, 300, 20, False, True, True)],
+                                "request_id int, calorie_target int, time_limit int, no_milk boolean, "
+                                "no_egg boolean, no_wheat boolean")
+    rec = spark.createDataFrame([(10 + k, float(150 + 37 * k % 800), k % 70, k % 2, k % 3 == 0, k % 5 == 0)
+                                 for k in range(300)],
+                                "recipe_id int, calories double, minutes int, has_milk int, has_egg boolean, "
+                                "has_wheat boolean").withColumn("has_egg", F.col("has_egg").cast("int")) \
+        .withColumn("has_wheat", F.col("has_wheat").cast("int"))
+    a = C.rule_candidates(req, rec).select("request_id", "recipe_id")
+    b = C.rule_candidates(req, rec, broadcast_max_rows=0).select("request_id", "recipe_id")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    # brute force
+    r = rec.collect()
+    exp = sorted((q.request_id, x.recipe_id) for q in req.collect() for x in r
+                 if 0.5 * q.calorie_target <= x.calories <= 1.5 * q.calorie_target and x.minutes <= q.time_limit
+                 and not (q.no_milk and x.has_milk == 1) and not (q.no_egg and x.has_egg == 1)
+                 and not (q.no_wheat and x.has_wheat == 1))
+    assert sorted(map(tuple, a.collect())) == exp
