@@ -179,12 +179,21 @@ def split_by_days(df: DataFrame, date_col: str = "date", test_days: int = 14,
             .drop("_t"))
 
 
+def _index_vocabulary(vocab_df: DataFrame, window_max: int = 1_000_000) -> DataFrame:
+    """0-based index of each distinct value in sorted order.  A counted small
+    vocabulary is numbered with one window; a large one with the distributed
+    range-sort dense index (no single task holds it)."""
+    if vocab_df.count() <= window_max:
+        return vocab_df.withColumn("_idx", (F.row_number().over(Window.orderBy("_v")) - 1).cast("double"))
+    from .ml import dense_index
+    return dense_index(vocab_df, ["_v"], "_i").select("_v", F.col("_i").cast("double").alias("_idx"))
+
+
 def label_encode(train: DataFrame, frames: dict[str, DataFrame], column: str) -> dict[str, DataFrame]:
     """Sorted distinct train values (NULL -> 'unknown') -> 0..k-1; unseen -> -1.0."""
     vocab_df = (train.select(F.coalesce(F.col(column).cast("string"), F.lit("unknown")).alias("_v"))
                 .distinct())
-    # The vocabulary is a distinct set (bounded by the column's cardinality).
-    idx = vocab_df.withColumn("_idx", (F.row_number().over(Window.orderBy("_v")) - 1).cast("double"))
+    idx = _index_vocabulary(vocab_df)
     out = {}
     for name, f in frames.items():
         j = f.withColumn("_v", F.coalesce(F.col(column).cast("string"), F.lit("unknown")))
@@ -198,7 +207,7 @@ def label_encode_column(df: DataFrame, column: str, fit_rows) -> DataFrame:
     ``fit_rows`` holds (e.g. split = 'train'), applied to every row; one scan."""
     v = F.coalesce(F.col(column).cast("string"), F.lit("unknown"))
     vocab_df = df.filter(fit_rows).select(v.alias("_v")).distinct()
-    idx = vocab_df.withColumn("_idx", (F.row_number().over(Window.orderBy("_v")) - 1).cast("double"))
+    idx = _index_vocabulary(vocab_df)
     j = df.withColumn("_v", v).join(idx, "_v", "left")
     return j.withColumn(column, F.coalesce(F.col("_idx"), F.lit(-1.0))).drop("_v", "_idx")
 

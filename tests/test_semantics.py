@@ -121,3 +121,10 @@ def test_rule_candidates_broadcast_and_salted_paths_agree(spark):
                  and not (q.no_milk and x.has_milk == 1) and not (q.no_egg and x.has_egg == 1)
                  and not (q.no_wheat and x.has_wheat == 1))
     assert sorted(map(tuple, a.collect())) == exp
+
+
+def test_vocabulary_index_paths_agree(spark):
+    v = spark.createDataFrame([(f"w{k:04d}",) for k in range(300)], "_v string")
+    a = sorted(map(tuple, T._index_vocabulary(v).collect()))
+    b = sorted(map(tuple, T._index_vocabulary(v, window_max=0).collect()))
+    assert a == b and a[0] == ("w0000", 0.0) and a[-1] == ("w0299", 299.0)
