@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, packing, quality, sharding, warc
+from . import chat, decontamination, licenses, packing, quality, sharding, toxicity, warc
 from .common import crc32_text, shared_path, table, utf8_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+@query()
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fitted model has no SQL; tests check decoding and held-out accuracy."""
+    out = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 OP3_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
