@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, packing, quality, sharding, toxicity, warc
+from . import chat, decontamination, licenses, near_duplicates, packing, quality, sharding, toxicity, warc
 from .common import crc32_text, shared_path, table, utf8_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +82,13 @@ def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+@query()
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs are too much for SQL; tests compare with brute force."""
+    return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), k=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
