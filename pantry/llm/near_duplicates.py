@@ -10,9 +10,10 @@ its band's upper end joins in the next band too.
 
 The sketch is sparse (2**64 places a chunk), so a chunk's contents are the
 exclusive or of its shingles' hashes.  Documents with equal sets are one class
-from the start.  A key's classes are first compared with its smallest class;
-where that leaves a key's classes in several components, its other pairs across
-components are compared too, so no link is lost and pairs of copies are never made.
+from the start.  A key's classes are first compared with one of them, its pivot;
+links between the others, where they are still in different components, are
+found by how they differ from it (``across``).  So no link between components is
+lost, and the pairs of a group are never listed.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from .words import BLANK, gram_hashes, mixed, slices, word_hashes
 SKETCH_BITS = 1024
 #: Bits of the filters that spare rows a shuffle; a full one lets all rows pass.
 FILTER_BITS = 1 << 25
+#: Counters of shingle frequencies, which only decide the order of a set's chunks.
+COUNTERS = 1 << 18
 
 
 def shingle_sets(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
@@ -57,10 +60,32 @@ def band(size: int) -> int:
     return size.bit_length() - 1
 
 
-def chunk_keys(s: np.ndarray, percent: int) -> np.ndarray:
-    """Keys of which two sets with Jaccard of ``percent`` or more share one."""
+def frequency_levels(docs: DataFrame, k: int) -> np.ndarray:
+    """Base-2 logarithm of how often the shingles of each counter occur in all texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(COUNTERS, np.int64)
+        for batch in batches:
+            for at, to in slices(batch.column(0)):
+                grams = gram_hashes(word_hashes(batch.column(0).slice(at, to - at), BLANK)[0], k)
+                total += np.bincount((grams % np.uint64(COUNTERS)).astype(np.int64), minlength=COUNTERS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["counter", "n"])
+
+    got = docs.mapInArrow(run, "counter int, n long").groupBy("counter").agg(F.sum("n").alias("n")).toPandas()
+    out = np.ones(COUNTERS, np.int64)
+    out[got["counter"].to_numpy(np.int64)] = got["n"].to_numpy(np.int64)
+    return np.log2(out).astype(np.uint8)
+
+
+def chunk_keys(s: np.ndarray, percent: int, levels: np.ndarray) -> np.ndarray:
+    """Keys of which two sets with Jaccard of ``percent`` or more share one.
+
+    Any order that depends on a chunk's contents alone will do.  Chunks with a
+    rare shingle come first, then full ones, so that what many texts share
+    (a common passage, an empty chunk) is seldom a key."""
     n, out = len(s), []
     own = mixed(s ^ np.uint64(0x2545F4914F6CDD1D))
+    level = levels[(s % np.uint64(COUNTERS)).astype(np.int64)]
     for t in (band(n), band(n) + 1):
         # the largest partner in this band, and the most that it can differ by
         largest = min(100 * n // percent, (2 << t) - 1)
@@ -78,8 +103,9 @@ def chunk_keys(s: np.ndarray, percent: int) -> np.ndarray:
         content = np.zeros(chunks, np.uint64)
         content[full] = np.bitwise_xor.reduceat(own[order], (np.cumsum(count) - count)[full])
         keys = mixed(content + mixed(np.arange(chunks, dtype=np.uint64) + np.uint64(t << 40)))
-        # fullest chunks first: they tell most; the order is the same for equal chunks
-        out.append(keys[np.lexsort((keys, -count))[:differ + 1]])
+        rarest = np.full(chunks, 255, np.uint8)
+        rarest[full] = np.minimum.reduceat(level[order], (np.cumsum(count) - count)[full])
+        out.append(keys[np.lexsort((keys, -count, rarest))[:differ + 1]])
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
@@ -88,13 +114,13 @@ def parity_sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.int64)
 
 
-def sketched(docs: DataFrame, k: int, percent: int) -> DataFrame:
+def sketched(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataFrame:
     """doc_id, place, n_shingles, class, keys, sketch of rows doc_id, text, place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, to in slices(batch.column(1)):
                 sets = list(shingle_sets(batch.column(1).slice(at, to - at), k))
-                keys = [chunk_keys(s, percent) if len(s) else s for s in sets]
+                keys = [chunk_keys(s, percent, levels) if len(s) else s for s in sets]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in keys])]).astype(np.int32)
                 flat = np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)
                 yield pa.RecordBatch.from_arrays([
@@ -164,6 +190,62 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def pivoted(members: DataFrame) -> DataFrame:
+    """key, class and the key's pivot ``a``: of its classes the one that meets most
+    others over all its keys, which in a group of copies is near the middle."""
+    weight = members.join(members.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key").groupBy("class").agg(F.sum("n").alias("w"))
+    weighed = members.join(weight, "class")
+    pivot = weighed.groupBy("key").agg(F.max(F.struct("w", "class")).alias("p")).select("key", F.col("p.class").alias("a"))
+    return written(members.join(pivot, "key"), "pivoted")
+
+
+def across(members: DataFrame, roots: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+    """Links between classes that share a key, but are in different components
+    after each was compared with the key's pivot.
+
+    Let D(x) be the difference of x and the pivot p.  Two sets differ
+    by |D(x)| + |D(y)| - 2 |D(x) and D(y)|, so a link across components needs a
+    common element of D(x) and D(y) (one of the two is no link of p).  With the
+    elements in one order (those that p lacks first, then by rarity) d + 1 of each
+    are enough, and the first common one at places i and j bounds what may follow.  So the many sets of a
+    hot key meet only where they differ from its pivot alike.
+    """
+    at = members.where("class <> a").join(roots, members["class"] == roots["node"], "left").select(
+        "key", "class", "a", F.coalesce("root", "class").alias("root"))
+    torn = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+    at = at.join(torn, "key", "left_semi").select("class", "a", "root").distinct()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for i in range(batch.num_rows):
+                x, p = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint64) for c in (3, 4))
+                d = np.setxor1d(x, p, assume_unique=True)
+                d = d[np.lexsort((d, levels[(d % np.uint64(COUNTERS)).astype(np.int64)], np.isin(d, p, assume_unique=True)))]
+                most = (len(x) + 100 * len(x) // percent) * (100 - percent) // (100 + percent)
+                parts.append((i, d[:most + 1], len(d), len(x)))
+            sizes = np.array([len(e) for _, e, _, _ in parts], np.int64)
+            take = pa.array(np.repeat(np.arange(len(parts)), sizes))
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c).take(take) for c in (0, 1, 2)),
+                pa.array(np.concatenate([e for _, e, _, _ in parts]).view(np.int64)),
+                pa.array((np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)),
+                pa.array(np.repeat(np.array([n for *_, n, _ in parts], np.int64), sizes)),
+                pa.array(np.repeat(np.array([n for *_, n in parts], np.int64), sizes))],
+                names=["class", "a", "root", "element", "i", "d", "n"])
+
+    full = lambda c, h: sets.select(F.col("class").alias(c), F.col("hashes").alias(h))
+    pairs = at.join(full("class", "own"), "class").join(full("a", "pivot"), "a").select("class", "a", "root", "own", "pivot")
+    rows = written(pairs.mapInArrow(run, "class long, a long, root long, element long, i int, d long, n long"), "differences")
+    x = rows.select("a", "element", *[F.col(c).alias(f"{c}_x") for c in ("class", "root", "i", "d", "n")])
+    y = rows.select("a", "element", *[F.col(c).alias(f"{c}_y") for c in ("class", "root", "i", "d", "n")])
+    common = F.least(F.col("d_x") - F.col("i_x"), F.col("d_y") - F.col("i_y"))  # at most, if this is the first
+    enough = (F.col("d_x") + F.col("d_y") - 2 * common) * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent)
+    found = x.join(y, (x["a"] == y["a"]) & (x["element"] == y["element"]) & (F.col("class_x") < F.col("class_y"))
+                   & (F.col("root_x") != F.col("root_y")) & enough)
+    return linked(found.select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct(), sets, percent)
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
     """For each document: doc_id, place, n_shingles, component_id.
 
@@ -176,12 +258,13 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     empty table gives no rows.
     """
     rows = placed(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    base = written(sketched(rows, k, percent), "sketches")
+    levels = frequency_levels(rows.select("text"), k)
+    base = written(sketched(rows, k, percent, levels), "sketches")
     sets = base.where("n_shingles > 0")
     keys = sets.select(F.explode("keys").alias("key"), "class")
-    shared = written(keys.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z").drop("z"), "shared-keys")
-    members = may_hold(keys, "key", filter_bits(shared.select("key"))).distinct()
-    members = written(members.join(shared, "key"), "members")
+    shared = written(keys.groupBy("key").agg(F.min("class").alias("a"), F.max("class").alias("z")).where("a < z").select("key"), "shared-keys")
+    members = may_hold(keys, "key", filter_bits(shared)).distinct()
+    members = pivoted(written(members.join(shared, "key", "left_semi"), "members"))
     # one document stands for each class that shares a key
     needed = members.select("class").distinct()
     chosen = sets.join(needed, "class", "left_semi").groupBy("class").agg(F.min(F.struct(*PLACE)).alias("p"))
@@ -189,15 +272,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     hashes = written(whole_sets(rows, chosen, k), "sets")
     links = written(linked(members.where("class <> a").select("a", F.col("class").alias("b")).distinct(), hashes, percent), "links")
     roots = components(links)
-    # keys whose classes are still in several components: all pairs across them
-    at = members.join(roots, members["class"] == roots["node"], "left").select(
-        "key", "class", "a", F.coalesce("root", "class").alias("root"))
-    torn = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    at = written(at.join(torn, "key"), "torn-keys")
-    x = at.where("class <> a").select("key", F.col("class").alias("a"), F.col("root").alias("ra"))
-    y = at.where("class <> a").select("key", F.col("class").alias("b"), F.col("root").alias("rb"))
-    across = x.join(y, "key").where("a < b and ra <> rb").select("a", "b").distinct()
-    links = links.unionByName(linked(across, hashes, percent))
+    links = links.unionByName(across(members, components(links), hashes, levels, percent))
     return members_of(base, components(links))
 
 
