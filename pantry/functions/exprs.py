@@ -19,10 +19,14 @@ def _col(c) -> Column:
 def parse_string_list(c) -> Column:
     """Python list literal text -> array<string>; malformed or NULL -> [].
 
-    ``from_json`` accepts single-quoted items (allowSingleQuotes) and
-    apostrophes inside double-quoted ones.
+    ``from_json`` accepts single-quoted items (allowSingleQuotes) and apostrophes
+    inside double-quoted ones.  Tuples, a trailing comma and ``\\xNN`` escapes are
+    put in JSON's form first.
     """
-    parsed = F.from_json(_col(c), "array<string>", {"allowSingleQuotes": "true"})
+    text = F.regexp_replace(F.trim(_col(c)), r"^\((.*)\)$", "[$1]")
+    text = F.regexp_replace(text, r",\s*\]$", "]")
+    text = F.regexp_replace(text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    parsed = F.from_json(text, "array<string>", {"allowSingleQuotes": "true"})
     return F.coalesce(parsed, F.array().cast("array<string>"))
 
 
@@ -71,8 +75,9 @@ def allergen_list(ingredients_array) -> Column:
 
 
 def label_from_rating(rating="rating", threshold: int = vocab.POSITIVE_RATING) -> Column:
-    """int(rating >= threshold); a NULL rating is a negative (pandas semantics)."""
-    return F.coalesce((_col(rating) >= F.lit(threshold)).cast("int"), F.lit(0))
+    """int(rating >= threshold); a NULL or NaN rating is a negative (pandas semantics)."""
+    r = _col(rating).cast("double")
+    return F.when(F.isnan(r), F.lit(0)).otherwise(F.coalesce((r >= F.lit(float(threshold))).cast("int"), F.lit(0)))
 
 
 def stable_id(c) -> Column:

@@ -90,14 +90,20 @@ def exclude_recent_meals(candidates: DataFrame, recent: DataFrame) -> DataFrame:
 
 def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float = 50.0,
                     allergen_flags: dict[str, str] | None = None,
-                    low: float = 0.5, high: float = 1.5, salts: int = 8,
-                    broadcast_max_rows: int = 2_000_000) -> DataFrame:
+                    low: float = 0.5, high: float = 1.5) -> DataFrame:
     """Per request: recipes with low*cal <= calories <= high*cal, minutes <= limit and
     none of the requested allergens.  Bucketed range join (see module notes).
 
     requests: request_id, calorie_target, time_limit and boolean exclusion
-    columns named in ``allergen_flags`` (column -> has_* flag of the recipe).
+    columns named in ``allergen_flags`` (column -> has_* flag of the recipe).  A
+    request without a target or limit has the defaults of 600 kcal and 120 minutes.
+
+    The planner picks the join by measured sizes; a popular bucket of a shuffled
+    join is split by AQE.
     """
+    requests = requests.withColumns({
+        "calorie_target": F.coalesce(F.col("calorie_target").cast("double"), F.lit(vocab.DEFAULT_CALORIE_TARGET)),
+        "time_limit": F.coalesce(F.col("time_limit").cast("double"), F.lit(vocab.DEFAULT_TIME_LIMIT))})
     allergen_flags = allergen_flags or {"no_milk": "has_milk", "no_egg": "has_egg", "no_wheat": "has_wheat"}
     lo = F.col("calorie_target") * F.lit(low)
     hi = F.col("calorie_target") * F.lit(high)
@@ -105,17 +111,7 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
                                                          F.floor(hi / bucket_width).cast("bigint"))))
     rec = recipes.filter(F.col("calories").isNotNull()).withColumn(
         "_b", F.floor(F.col("calories") / bucket_width).cast("bigint"))
-    # Size check: a recipe side within ``broadcast_max_rows`` (counted, so the
-    # bound is proven) is broadcast and the join needs no shuffle.  Beyond it,
-    # a calorie bucket is a coarse key (few distinct values), so recipes are
-    # salted into ``salts`` sub-keys and requests replicated to all of them:
-    # a popular bucket is split over ``salts`` reducers of a shuffled join.
-    if rec.count() <= broadcast_max_rows:
-        j = req.join(F.broadcast(rec), "_b", "inner")
-    else:
-        req = req.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        rec = rec.withColumn("_s", F.pmod(F.xxhash64("recipe_id"), F.lit(salts)).cast("int"))
-        j = req.join(rec, ["_b", "_s"], "inner").drop("_s")
+    j = req.join(rec, "_b", "inner")
     cond = (F.col("calories") >= lo) & (F.col("calories") <= hi) & (F.col("minutes") <= F.col("time_limit"))
     for req_col, flag in allergen_flags.items():
         cond = cond & ~(F.coalesce(F.col(req_col), F.lit(False)) & (F.col(flag) == 1))
@@ -125,8 +121,10 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
 def candidate_features(cands: DataFrame, user_feats: DataFrame, meal_type: str = "dinner",
                        time_of_day: str = "evening") -> DataFrame:
     """Candidate rows + user features + meal/time one-hots + cuisine one-hots
-    over the fixed vocabulary (no dynamic pivot); NULL -> 0."""
+    over the fixed vocabulary (no dynamic pivot).  An unknown user has the default
+    targets; any other NULL -> 0."""
     j = cands.join(user_feats, "user_id", "left")
+    j = j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(d)) for c, d in vocab.TARGET_DEFAULTS.items() if c in j.columns})
     extra = {f"meal_{m}": F.lit(1 if m == meal_type else 0)
              for m in ["breakfast", "lunch", "dinner", "snack", "dessert"]}
     extra["time_morning"] = F.lit(1 if time_of_day == "morning" else 0)
@@ -136,18 +134,26 @@ def candidate_features(cands: DataFrame, user_feats: DataFrame, meal_type: str =
     return j.fillna(0)
 
 
+def with_goals(cands: DataFrame, goals: DataFrame, prefix: str = "goal_") -> DataFrame:
+    """Candidates with their user's goals; users without goals have the defaults."""
+    g = goals.select("user_id", *[F.col(c).alias(f"{prefix}{c}") for c in GOAL_COLS])
+    return cands.join(g, "user_id", "left").withColumns({
+        f"{prefix}{c}": F.coalesce(F.col(f"{prefix}{c}"), F.lit(vocab.GOAL_DEFAULTS[c])) for c in GOAL_COLS})
+
+
 def fallback_rank(meal_cands: DataFrame, goals: DataFrame, limit: int = 10) -> DataFrame:
     """Heuristic ranking when the model is down: order each user's candidates by
     |protein - 0.3 * protein goal|; keep ``limit``; score = max(0, 1 - idx / len)."""
-    j = meal_cands.join(goals.select("user_id", F.col("protein").alias("_goal_p")), "user_id", "inner")
-    dist = F.abs(F.coalesce(F.col("protein"), F.lit(0.0)) - F.col("_goal_p") * F.lit(0.3))
+    j = with_goals(meal_cands, goals, "_goal_")
+    dist = F.abs(F.coalesce(F.col("protein"), F.lit(0.0)) - F.col("_goal_protein") * F.lit(0.3))
     w = Window.partitionBy("user_id").orderBy(dist, F.col("meal_id"))
-    top = j.withColumn("_idx", F.row_number().over(w) - 1).filter(F.col("_idx") < limit)
+    # a rank bounded from above, so that Spark keeps only ``limit`` rows of each user before the shuffle
+    top = j.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= limit).withColumn("_idx", F.col("_rank") - 1)
     n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
     return (top.withColumn("_len", n)
             .withColumn("score", F.greatest(F.lit(0.0), F.lit(1.0) - F.col("_idx") / F.col("_len")))
             .withColumn("rank", F.col("_idx") + 1)
-            .drop("_goal_p", "_idx", "_len"))
+            .drop(*[f"_goal_{c}" for c in GOAL_COLS], "_idx", "_rank", "_len"))
 
 
 def recommendation_reason(protein, calories, goal_protein, goal_calories) -> Column:
@@ -157,12 +163,14 @@ def recommendation_reason(protein, calories, goal_protein, goal_calories) -> Col
     pct = F.when(goal_calories > 0, X.js_round(cal / goal_calories * 100)).otherwise(F.lit(0.0))
     gp = goal_protein
     num = lambda c: X.js_round(c).cast("bigint").cast("string")
+    # goals are printed as they are: whole ones without a fraction
+    raw = lambda c: F.when(c == F.floor(c), F.floor(c).cast("string")).otherwise(c.cast("string"))
     return (F.when((p >= 25) & (p >= gp * 0.3),
                    F.concat(F.lit("High protein ("), num(p), F.lit(" g) — fits your "),
-                            num(gp), F.lit(" g target")))
+                            raw(gp), F.lit(" g target")))
             .when((cal > 0) & (pct >= 20) & (pct <= 35),
                   F.concat(F.lit("Balanced meal — ~"), pct.cast("bigint").cast("string"),
-                           F.lit("% of your daily "), num(goal_calories), F.lit(" kcal goal")))
+                           F.lit("% of your daily "), raw(goal_calories), F.lit(" kcal goal")))
             .when((cal > 0) & (cal <= goal_calories * 0.2),
                   F.concat(F.lit("Light option — only "), num(cal), F.lit(" kcal")))
             .otherwise(F.lit("Matches your nutritional profile")))
@@ -179,7 +187,7 @@ def meal_feature_vector(meal_cands: DataFrame, goals: DataFrame) -> DataFrame:
     Calories are sent as % of 2000 (not kcal, unlike training), sodium mg -> g,
     unknown fields get constants; all NULL nutrients count as 0.
     """
-    j = meal_cands.join(goals.select("user_id", *[F.col(c).alias(f"goal_{c}") for c in GOAL_COLS]), "user_id")
+    j = with_goals(meal_cands, goals)
     z = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0))
     pdv = lambda v, ref: v / F.lit(ref) * F.lit(100.0)
     sodium_g = z("sodium") / F.lit(1000.0)
@@ -219,7 +227,7 @@ def rule_explanation(df: DataFrame) -> DataFrame:
 
 
 PRODUCT_SCHEMA = ("struct<product_name:string, product_name_en:string, brands:string, "
-                  "serving_quantity:double, nutriments:map<string,double>>")
+                  "serving_quantity:string, nutriments:map<string,string>>")
 
 
 def product_normalise(products: DataFrame, doc_col: str = "doc", auto_scale: bool = True) -> DataFrame:
@@ -228,8 +236,10 @@ def product_normalise(products: DataFrame, doc_col: str = "doc", auto_scale: boo
     language fallback for the name; first brand trimmed)."""
     p = F.from_json(F.col(doc_col), PRODUCT_SCHEMA)
     d = products.withColumn("_p", p)
-    nut = lambda k: F.coalesce(F.col("_p.nutriments")[k], F.lit(0.0))
-    serving = (F.when(F.coalesce(F.col("_p.serving_quantity"), F.lit(0.0)) > 0, F.col("_p.serving_quantity"))
+    # values may be numbers or quoted ones; texts such as units are no values
+    nut = lambda k: F.coalesce(F.try_element_at("_p.nutriments", F.lit(k)).try_cast("double"), F.lit(0.0))
+    quantity = F.col("_p.serving_quantity").try_cast("double")
+    serving = (F.when(F.coalesce(quantity, F.lit(0.0)) > 0, quantity)
                .otherwise(F.lit(100.0))) if auto_scale else F.lit(100.0)
     d = d.withColumn("serving_size", serving).withColumn("_s", F.col("serving_size") / 100.0)
     r0 = lambda c: X.js_round(c).cast("double")
@@ -238,7 +248,7 @@ def product_normalise(products: DataFrame, doc_col: str = "doc", auto_scale: boo
     brand = F.trim(F.split(F.coalesce(F.col("_p.brands"), F.lit("")), ",").getItem(0))
     return d.select(
         F.col("code"),
-        F.coalesce(F.col("_p.product_name_en"), F.col("_p.product_name")).alias("name"),
+        F.coalesce(F.nullif(F.col("_p.product_name_en"), F.lit("")), F.col("_p.product_name")).alias("name"),
         F.coalesce(brand, F.lit("")).alias("brand"), "serving_size",
         r0(nut("energy-kcal_100g") * F.col("_s")).alias("calories"),
         r1("proteins_100g").alias("protein"), r1("carbohydrates_100g").alias("carbs"),
@@ -271,6 +281,9 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: list[
     """INSERT ... ON CONFLICT (key) DO UPDATE: incoming rows replace the listed
     columns and refresh expires_at = now + ttl; other columns keep the current
     value; rows without a match are inserted.  Full outer join on the key."""
+    # of incoming rows with one key a single one counts (the largest), as one statement may touch a row once
+    order = F.struct(*[F.col(c) for c in incoming.columns])
+    incoming = incoming.groupBy(key).agg(F.max(order).alias("_r")).select("_r.*")
     cur = current.select([F.col(c).alias(f"_c_{c}") for c in current.columns])
     inc = incoming.select([F.col(c).alias(f"_i_{c}") for c in incoming.columns])
     j = cur.join(inc, F.col(f"_c_{key}") == F.col(f"_i_{key}"), "full_outer")
@@ -306,26 +319,35 @@ def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, order_cols:
 
 
 def sample_candidates(users: DataFrame, meal_agg: DataFrame, recent: DataFrame, k: int = 200,
-                      seed: int = 17, per_bucket: int = 4) -> DataFrame:
-    """Per user: up to k candidate meals drawn from (own meals UNION public
-    meals) minus the recently logged ones, in a seeded pseudo-random order
-    (the reference's ORDER BY RANDOM() LIMIT k).
-
-    No user x public-meal cross product: public meals and users are hashed
-    into B buckets with B = public / (per_bucket * k), so each user meets about
-    per_bucket * k public meals (bounded), and a top-k by hash per user
-    (WindowGroupLimit) keeps k of them together with the user's own meals."""
-    public = meal_agg.filter(F.col("is_public"))
-    n_public = public.count()  # one number: sizes the bucket count
-    b = max(1, n_public // max(1, per_bucket * k))
-    pub = public.select("meal_id", F.pmod(F.xxhash64(F.lit(seed), F.col("meal_id")), F.lit(b)).alias("_b"))
-    us = users.select("user_id").distinct().withColumn(
-        "_b", F.pmod(F.xxhash64(F.lit(seed), F.col("user_id")), F.lit(b)))
-    public_pairs = us.join(pub, "_b").select("user_id", "meal_id")
-    own_pairs = users.select("user_id").distinct().join(
-        meal_agg.select("user_id", "meal_id"), "user_id")
-    pairs = public_pairs.unionByName(own_pairs).distinct()
-    pairs = exclude_recent_meals(pairs, recent)
-    w = Window.partitionBy("user_id").orderBy(F.xxhash64(F.lit(seed), F.col("user_id"), F.col("meal_id")),
-                                              F.col("meal_id"))
-    return pairs.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= k)
+                      seed: int = 17) -> DataFrame:
+    """Per user: up to k meals drawn without replacement from all meals that the
+    user may see (public ones, and own private ones), less the recently logged
+    ones, in a seeded order (the reference's ORDER BY RANDOM() LIMIT k).
+
+    Public meals have dense numbers 0..n-1.  A user's draw j is the number
+    (a j + b) mod p, with p the least prime of at least n and a, b from a hash of
+    the user: a walk over all numbers that meets none twice.  So k draws, and as
+    many more as the user logged recently or as p exceeds n, are enough for k
+    meals, and no user meets the whole table.  Own private meals join the draw
+    with hashed places."""
+    from .ml import dense_index, uniform
+
+    public = dense_index(meal_agg.filter(F.col("is_public")).select("meal_id"), ["meal_id"], "_n")
+    n = public.count()
+    p = next(q for q in range(max(n, 2), 2 * max(n, 2) + 1) if all(q % d for d in range(2, int(q ** 0.5) + 1)))
+    us = users.select("user_id").distinct()
+    logged = recent.groupBy("user_id").agg(F.count(F.lit(1)).alias("_logged"))
+    us = us.join(logged, "user_id", "left")
+    draws = F.least(F.lit(p), F.coalesce("_logged", F.lit(0)) + F.lit(k + p - n))
+    step = F.pmod(F.xxhash64(F.lit(seed), F.col("user_id")), F.lit(p - 1)) + 1
+    start = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("user_id")), F.lit(p))
+    walk = us.withColumns({"_a": step, "_b": start, "_draws": draws}).select(
+        "user_id", "_a", "_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_draws") - 1)).alias("_j"))
+    number = ((F.col("_a").cast("decimal(20,0)") * F.col("_j") + F.col("_b")) % F.lit(p)).cast("bigint")
+    drawn = walk.select("user_id", number.alias("_n"), ((F.col("_j") + 0.5) / F.lit(float(p))).alias("_place"))
+    drawn = drawn.join(public, "_n").select("user_id", "meal_id", "_place")
+    own = us.select("user_id").join(meal_agg.filter(~F.coalesce("is_public", F.lit(False))).select("user_id", "meal_id"), "user_id")
+    own = own.select("user_id", "meal_id", uniform(seed + 2, F.col("user_id"), F.col("meal_id")).alias("_place"))
+    pairs = exclude_recent_meals(drawn.unionByName(own), recent)
+    w = Window.partitionBy("user_id").orderBy("_place", F.col("meal_id"))
+    return pairs.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= k).drop("_place")

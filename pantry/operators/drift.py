@@ -109,6 +109,8 @@ def feature_moments(baseline: DataFrame, live: DataFrame, features: list[str]) -
 
 def drift_summary(ks: DataFrame, share: float = vocab.DRIFT_SHARE) -> DataFrame:
     """n checked / drifted, drift rate (3 dp), overall drift when rate > share."""
+    # a feature without values on either side was not checked
+    ks = ks.where((F.col("n_baseline") > 0) & (F.col("n_live") > 0)) if {"n_baseline", "n_live"} <= set(ks.columns) else ks
     s = ks.agg(F.count(F.lit(1)).alias("n_features_checked"),
                F.count(F.when(F.col("drift_detected"), 1)).alias("n_drifted"),
                F.sort_array(F.collect_list(F.when(F.col("drift_detected"), F.col("feature"))))

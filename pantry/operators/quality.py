@@ -100,11 +100,16 @@ def run_checks_by(df: DataFrame, group_col: str, checks_by_value: dict[str, list
     for checks in checks_by_value.values():
         for c in checks:
             keys.setdefault((c.metric, c.column), f"_m{len(keys)}")
-    aggs = [_metric_expr(Check("", m, col, "=", 0)).alias(a) for (m, col), a in keys.items()]
-    base = df.groupBy(group_col).agg(*aggs, *(extra_aggs or []))
+    aggs = [e.alias(a) for (m, col), a in keys.items() if (e := _metric_expr(Check("", m, col, "=", 0))) is not None]
+    base = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_rows"), *aggs, *(extra_aggs or [])).drop("_rows")
+    for (m, col), a in keys.items():
+        if m == "duplicate_count":  # two levels of counts; the second has one row per slice
+            d = (df.filter(F.col(col).isNotNull()).groupBy(group_col, col).agg(F.count(F.lit(1)).alias("_n"))
+                 .groupBy(group_col).agg(F.count_if(F.col("_n") > 1).cast("double").alias(a)))
+            base = base.join(d, group_col, "left")
     grid = df.sparkSession.createDataFrame([(v,) for v in checks_by_value], f"{group_col} string")
     base = grid.join(base, group_col, "left").fillna(0.0, subset=[a for (m, _), a in keys.items()
-                                                                  if m in ("row_count", "missing_count")])
+                                                                  if m in ("row_count", "missing_count", "duplicate_count")])
     arrays = None
     for v, checks in checks_by_value.items():
         arr = F.array(*[_row(v, c.name, F.col(keys[(c.metric, c.column)]),

@@ -15,7 +15,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -55,11 +55,16 @@ def _day_key(df: DataFrame, date_col: str):
     return F.col(date_col)
 
 
+def _undated_last(dated: Column, day: str = "_day") -> list[Column]:
+    """Join and sort key of a day: rows without a date are a day of their own, after all others."""
+    return [dated.isNull().alias("_undated"), dated.alias(day)]
+
+
 def _date_offsets(df: DataFrame, train_frac: float, val_frac: float) -> DataFrame:
     """One row per day: count, rows before it, split thresholds."""
-    counts = df.groupBy("_day").agg(F.count(F.lit(1)).alias("_cnt"))
+    counts = df.groupBy("_undated", "_day").agg(F.count(F.lit(1)).alias("_cnt"))
     # Windows over the per-day table only (one row per day, bounded by the calendar).
-    w = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.orderBy("_undated", "_day").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(F.lit(1))
     n = F.sum("_cnt").over(whole)
     return (counts
@@ -87,14 +92,15 @@ def time_split(df: DataFrame, order_keys: list[str] | None = None,
     buckets of the leading varying key) and avoids the extra job."""
     keys = order_keys or ORDER_KEYS
     date_col = keys[0]
-    dd = df.withColumn("_day", _day_key(df, date_col))
+    dd = df.select("*", *_undated_last(_day_key(df, date_col)))
     offs = _date_offsets(dd, train_frac, val_frac)
     marked = offs.withColumn(
         "_boundary",
         ~(((F.col("_start") + F.col("_cnt")) <= F.col("_train_end"))
           | ((F.col("_start") >= F.col("_train_end")) & ((F.col("_start") + F.col("_cnt")) <= F.col("_val_end")))
           | (F.col("_start") >= F.col("_val_end"))))
-    joined = dd.join(marked, "_day", "inner")
+    days = marked.withColumnRenamed("_day", "_d").withColumnRenamed("_undated", "_u")
+    joined = dd.join(days, (F.col("_undated") == F.col("_u")) & F.col("_day").eqNullSafe(F.col("_d"))).drop("_d", "_u")
 
     whole = joined.filter(~F.col("_boundary")).withColumn(
         "split", _split_of(F.col("_start"), F.col("_train_end"), F.col("_val_end")))
@@ -106,7 +112,7 @@ def time_split(df: DataFrame, order_keys: list[str] | None = None,
     cols = df.columns + ["split"]
     if with_position:
         # Positions for interior rows need the per-day row_number; only on request.
-        iw = Window.partitionBy("_day").orderBy(*keys)
+        iw = Window.partitionBy("_undated", "_day").orderBy(*keys)
         whole = whole.withColumn("_pos", F.col("_start") + F.row_number().over(iw) - 1)
         cols = cols + ["_pos"]
     return whole.select(*cols).unionByName(edge_out.select(*cols))
@@ -132,6 +138,7 @@ def _edge_positions_buckets(edge: DataFrame, keys: list[str], n_buckets: int) ->
     k0 = _monotone_double(edge, keys[0])
     k1 = _monotone_double(edge, keys[1])
     e = edge.withColumn("_k0", k0).withColumn("_k1", k1)
+    e = e.withColumn("_day", F.coalesce("_day", F.lit("9999-12-31").cast(dict(edge.dtypes)["_day"])))
     varies = e.groupBy("_day").agg((F.min("_k0") < F.max("_k0")).alias("_varies"))
     e = e.join(varies, "_day").withColumn("_bv", F.when(F.col("_varies"), F.col("_k0")).otherwise(F.col("_k1")))
     probs = [i / n_buckets for i in range(1, n_buckets)]
@@ -150,19 +157,20 @@ def _edge_positions_buckets(edge: DataFrame, keys: list[str], n_buckets: int) ->
 def _edge_positions_sorted(edge: DataFrame, keys: list[str], marked: DataFrame) -> DataFrame:
     """Positions for boundary-day rows by a global range sort on the full key
     (robust to any hot value), numbered by partition offsets on a checkpoint."""
-    ranked = cut_lineage(edge.orderBy(*keys).withColumn("_mid", F.monotonically_increasing_id()))
+    ranked = cut_lineage(edge.orderBy("_undated", "_day", *keys).withColumn("_mid", F.monotonically_increasing_id()))
     ranked = ranked.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     pcounts = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_pc"))
     pw = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     poffs = pcounts.withColumn("_poff", F.coalesce(F.sum("_pc").over(pw), F.lit(0)))
     # rank within the boundary subset -> rank within the day
-    bdays = marked.filter(F.col("_boundary")).select("_day", "_cnt")
-    dw = Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)  # <= 2 rows
+    bdays = marked.filter(F.col("_boundary")).select("_undated", "_day", "_cnt")
+    dw = Window.orderBy("_undated", "_day").rowsBetween(Window.unboundedPreceding, -1)  # <= 2 rows
     before = bdays.withColumn("_before", F.coalesce(F.sum("_cnt").over(dw), F.lit(0))).select(
-        "_day", "_before")
+        F.col("_undated").alias("_u"), F.col("_day").alias("_d"), "_before")
     pos = F.col("_start") + F.col("_poff") + F.col("_idx") - F.col("_before")
-    return (ranked.join(poffs.select("_pid", "_poff"), "_pid").join(before, "_day")
+    return (ranked.join(poffs.select("_pid", "_poff"), "_pid")
+            .join(before, (F.col("_undated") == F.col("_u")) & F.col("_day").eqNullSafe(F.col("_d")))
             .withColumn("_pos", pos)
             .withColumn("split", _split_of(F.col("_pos"), F.col("_train_end"), F.col("_val_end"))))
 
@@ -179,12 +187,9 @@ def split_by_days(df: DataFrame, date_col: str = "date", test_days: int = 14,
             .drop("_t"))
 
 
-def _index_vocabulary(vocab_df: DataFrame, window_max: int = 1_000_000) -> DataFrame:
-    """0-based index of each distinct value in sorted order.  A counted small
-    vocabulary is numbered with one window; a large one with the distributed
-    range-sort dense index (no single task holds it)."""
-    if vocab_df.count() <= window_max:
-        return vocab_df.withColumn("_idx", (F.row_number().over(Window.orderBy("_v")) - 1).cast("double"))
+def _index_vocabulary(vocab_df: DataFrame) -> DataFrame:
+    """0-based index of each distinct value in sorted order, by the range-sorted
+    dense index: no task holds the vocabulary, whatever its size."""
     from .ml import dense_index
     return dense_index(vocab_df, ["_v"], "_i").select("_v", F.col("_i").cast("double").alias("_idx"))
 
@@ -222,9 +227,8 @@ def feature_contract(df: DataFrame, features: list[str] | None = None,
     def num(c):
         if c not in types:
             return F.lit(0.0)
-        if types[c] == "string":
-            return F.coalesce(F.col(c).try_cast("double"), F.lit(0.0))
-        return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        x = F.col(c).try_cast("double") if types[c] == "string" else F.col(c).cast("double")
+        return F.when(x.isNull() | F.isnan(x), F.lit(0.0)).otherwise(x)
 
     return df.select(*[F.col(k) for k in keep if k in types], *[num(c).alias(c) for c in features])
 
@@ -233,13 +237,28 @@ def infer_feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in vocab.NON_FEATURE_COLUMNS]
 
 
-def row_fingerprint(cols: list[str]):
-    """Per-row 60-bit hash of a canonical text of ``cols`` (SHA-256 prefix)."""
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+def canonical_text(c: str, kind: str) -> Column:
+    """One text per value: doubles in millionths, rounded half up; null: \\N."""
+    x = F.col(c)
+    if kind in ("double", "float"):
+        whole = F.floor(x * 1000000.0 + 0.5).cast("string")
+        text = F.when(F.isnan(x) | (F.abs(x) >= 9e12), x.cast("string")).otherwise(whole)
+    else:
+        text = F.to_json(F.struct(x)) if kind.startswith(("array", "map", "struct")) else x.cast("string")
+    return F.coalesce(text, F.lit("\\N"))
+
+
+def row_fingerprint(cols: list[tuple[str, str]]):
+    """Per-row 60-bit hash of the canonical text of (column, type) (SHA-256 prefix)."""
+    text = F.concat_ws("|", *[canonical_text(*c) for c in cols])
     return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
 
 
-def _manifest_aggs(date_col: str, label_col: str, hash_cols: list[str]):
+def _hash_columns(df: DataFrame, leave_out: tuple[str, ...] = ()) -> list[tuple[str, str]]:
+    return sorted((c, t) for c, t in df.dtypes if c not in leave_out)
+
+
+def _manifest_aggs(date_col: str, label_col: str, hash_cols: list[tuple[str, str]]):
     return [F.count(F.lit(1)).alias("rows"),
             F.date_format(F.min(date_col), "yyyy-MM-dd HH:mm:ss").alias("min_date"),
             F.date_format(F.max(date_col), "yyyy-MM-dd HH:mm:ss").alias("max_date"),
@@ -257,13 +276,13 @@ def _finish_manifest(m: DataFrame) -> DataFrame:
     return m.drop("_h").crossJoin(ver)
 
 
-def dataset_manifest(splits: dict[str, DataFrame], hash_cols: list[str],
+def dataset_manifest(splits: dict[str, DataFrame],
                      date_col: str = "date", label_col: str = "label") -> DataFrame:
     """Per split: rows, min/max date, label mean and an order-insensitive content
-    hash (sum of per-row SHA-256 prefixes + row count), so the fingerprint does
-    not depend on part-file layout.  ``version`` = first 12 hex of SHA-256 over
+    hash (sum of per-row SHA-256 prefixes over all columns + row count), so any
+    changed value changes it and part-file layout does not.  ``version`` = first 12 hex of SHA-256 over
     the split hashes in split-name order."""
-    parts = [df.agg(F.lit(name).alias("split"), *_manifest_aggs(date_col, label_col, hash_cols))
+    parts = [df.agg(F.lit(name).alias("split"), *_manifest_aggs(date_col, label_col, _hash_columns(df)))
              for name, df in splits.items()]
     m = parts[0]
     for p in parts[1:]:
@@ -271,10 +290,11 @@ def dataset_manifest(splits: dict[str, DataFrame], hash_cols: list[str],
     return _finish_manifest(m)
 
 
-def dataset_manifest_tagged(tagged: DataFrame, hash_cols: list[str], split_col: str = "split",
+def dataset_manifest_tagged(tagged: DataFrame, split_col: str = "split",
                             date_col: str = "date", label_col: str = "label") -> DataFrame:
     """Same manifest from the split-tagged table in ONE grouped pass."""
-    m = tagged.groupBy(F.col(split_col).alias("split")).agg(*_manifest_aggs(date_col, label_col, hash_cols))
+    m = tagged.groupBy(F.col(split_col).alias("split")).agg(
+        *_manifest_aggs(date_col, label_col, _hash_columns(tagged, (split_col,))))
     return _finish_manifest(m)
 
 

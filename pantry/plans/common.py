@@ -83,6 +83,7 @@ def sql_out(cols: list[str], doubles: set[str], stamps: set[str] = frozenset({"d
 def split_training(p: Pipeline) -> DataFrame:
     """train / val / test tagging of the materialised training table.
 
-    The training table is not materialised first: inside one plan Spark
-    reuses the shared exchanges, which measured faster than writing it."""
-    return T.time_split(p.training)
+    Both the training table and the tagged split are written once to the shared
+    folder; whatever evaluates, checks or fits them scans the columns it needs
+    and never runs the joins again."""
+    return materialize(T.time_split(materialize(p.training, "training")), "splits")

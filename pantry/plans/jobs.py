@@ -51,8 +51,7 @@ def build_training_dataset(spark: SparkSession, sf_dir: str, out_root: str | Non
     sanity = Q.split_sanity(tagged).first()  # one row
     if not (sanity["no_empty_split"] and sanity["temporal_ok"] and sanity["keys_ok"]):
         raise ValueError(f"split validation failed: {sanity.asDict()}")
-    manifest = T.dataset_manifest_tagged(tagged.withColumn("date", F.col("date").cast("timestamp")),
-                                         ["user_id", "recipe_id", "date", "rating", "label"])
+    manifest = T.dataset_manifest_tagged(tagged.withColumn("date", F.col("date").cast("timestamp")))
     version = manifest.select("version").first()[0]
     parts = {n: tagged.filter(F.col("split") == n).drop("split") for n in ("train", "val", "test")}
     parts["enriched_recipes"] = enriched
@@ -67,8 +66,7 @@ def retrain(spark: SparkSession, release_root: str, production_ndcg: float | Non
     train = IO.resolve_latest(spark, release_root, "train").withColumn("split", F.lit("train"))
     test = IO.resolve_latest(spark, release_root, "test").withColumn("split", F.lit("test"))
     keys = ["user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate"]
-    prep = IO.materialize(ML.prepare_features(train.unionByName(test), F.col("split") == "train",
-                                              keep=keys + ["label", "split"]), "prepared")
+    prep = IO.materialize(ML.prepare_features(train.unionByName(test), keep=keys + ["label", "split"]), "prepared")
     weights, _ = ML.train_ranker(prep.filter(F.col("split") == "train"))
     scored = ML.score_candidates(prep.filter(F.col("split") == "test"), weights, tie=keys[1:])
     ranker = EV.ndcg_exp(scored).first()["ndcg_at_10"]
@@ -86,10 +84,13 @@ def retrain(spark: SparkSession, release_root: str, production_ndcg: float | Non
 
 
 def drift_check(spark: SparkSession, release_root: str, sf_dir: str, features: list[str] | None = None,
-                log_root: str | None = None) -> DataFrame:
+                log_root: str | None = None, full: bool = False) -> DataFrame:
+    """KS drift of the look-back window against the oldest 5000 training rows (the
+    reference's limit), or with ``full`` against all of them."""
     features = features or vocab.DRIFT_FEATURES
     train = IO.resolve_latest(spark, release_root, "train")
-    baseline = D.baseline_head(train, ["date", "l_orderkey", "l_linenumber", "recipe_id", "l_suppkey"], 5000)
+    baseline = train if full else D.baseline_head(
+        train, ["date", "l_orderkey", "l_linenumber", "recipe_id", "l_suppkey"], 5000)
     log = Catalog(spark, sf_dir).request_log
     state = log.agg(F.max("ts").alias("now"), F.lit(None).cast("timestamp").alias("last_trigger_at"))
     live_rows = D.lookback_window(log, state)

@@ -113,7 +113,8 @@ def _rule_ctes():
                       for a in ("milk", "egg", "wheat"))
     return [("rec", f"SELECT recipe_id, calories, minutes, {flags} FROM enriched"),
             ("cand", """SELECT c.request_id, r.recipe_id, r.calories FROM contexts c JOIN rec r
-  ON r.calories >= c.calorie_target * 0.5 AND r.calories <= c.calorie_target * 1.5 AND r.minutes <= c.time_limit
+  ON r.calories >= coalesce(c.calorie_target, 600) * 0.5 AND r.calories <= coalesce(c.calorie_target, 600) * 1.5
+  AND r.minutes <= coalesce(c.time_limit, 120)
   AND NOT (c.no_milk AND r.has_milk = 1) AND NOT (c.no_egg AND r.has_egg = 1) AND NOT (c.no_wheat AND r.has_wheat = 1)""")]
 
 
@@ -142,7 +143,7 @@ def q_rule_candidates(spark, sf):
 
 @register("candidate_features", sql=with_views("interactions", "recipes", "contexts",
                                                extra=S.training_ctes() + _rule_ctes()) + """
-SELECT c.request_id, count(*) AS n_candidates, round(sum(coalesce(u.daily_calorie_target, 0.0)), 6) AS sum_calorie_target,
+SELECT c.request_id, count(*) AS n_candidates, round(sum(coalesce(u.daily_calorie_target, 2000.0)), 6) AS sum_calorie_target,
   CAST(sum(coalesce(u.user_vegan, 0)) AS BIGINT) AS sum_user_vegan,
   CAST(sum(CASE WHEN e.cuisine = 'italian' THEN 1 ELSE 0 END) AS BIGINT) AS n_italian, CAST(count(*) AS BIGINT) AS n_dinner
 FROM cand c JOIN contexts x ON c.request_id = x.request_id JOIN enriched e ON c.recipe_id = e.recipe_id
@@ -160,8 +161,8 @@ def q_candidate_features(spark, sf):
         F.sum("meal_dinner").cast("bigint").alias("n_dinner"))
 
 
-_OWN_SQL = ("own", "SELECT a.*, g.calories AS goal_calories, g.protein AS goal_protein, g.carbs AS goal_carbs, "
-                   "g.fat AS goal_fat FROM meal_agg a JOIN goals g ON a.user_id = g.user_id")
+_OWN_SQL = ("own", "SELECT a.*, " + ", ".join(f"coalesce(g.{c}, {vocab.GOAL_DEFAULTS[c]}) AS goal_{c}" for c in C.GOAL_COLS)
+            + " FROM meal_agg a LEFT JOIN goals g ON a.user_id = g.user_id")
 
 
 def _own(cat):
@@ -184,18 +185,17 @@ def q_fallback_rank(spark, sf):
 SELECT user_id, meal_id, CASE
   WHEN coalesce(protein, 0.0) >= 25 AND coalesce(protein, 0.0) >= goal_protein * 0.3
     THEN 'High protein (' || CAST(CAST(floor(coalesce(protein, 0.0) + 0.5) AS BIGINT) AS VARCHAR) || ' g) — fits your '
-         || CAST(CAST(floor(goal_protein + 0.5) AS BIGINT) AS VARCHAR) || ' g target'
+         || CASE WHEN goal_protein = floor(goal_protein) THEN CAST(CAST(goal_protein AS BIGINT) AS VARCHAR) ELSE CAST(goal_protein AS VARCHAR) END || ' g target'
   WHEN coalesce(calories, 0.0) > 0 AND floor(coalesce(calories, 0.0) / goal_calories * 100 + 0.5) BETWEEN 20 AND 35
     THEN 'Balanced meal — ~' || CAST(CAST(floor(coalesce(calories, 0.0) / goal_calories * 100 + 0.5) AS BIGINT) AS VARCHAR)
-         || '% of your daily ' || CAST(CAST(floor(goal_calories + 0.5) AS BIGINT) AS VARCHAR) || ' kcal goal'
+         || '% of your daily ' || CASE WHEN goal_calories = floor(goal_calories) THEN CAST(CAST(goal_calories AS BIGINT) AS VARCHAR) ELSE CAST(goal_calories AS VARCHAR) END || ' kcal goal'
   WHEN coalesce(calories, 0.0) > 0 AND coalesce(calories, 0.0) <= goal_calories * 0.2
     THEN 'Light option — only ' || CAST(CAST(floor(coalesce(calories, 0.0) + 0.5) AS BIGINT) AS VARCHAR) || ' kcal'
   ELSE 'Matches your nutritional profile' END AS reason
 FROM own""")
 def q_recommendation_reason(spark, sf):
     meals, goals = _own(Catalog(spark, sf))
-    j = meals.join(goals.select("user_id", F.col("calories").alias("goal_calories"),
-                                F.col("protein").alias("goal_protein")), "user_id")
+    j = C.with_goals(meals, goals)
     return j.select("user_id", "meal_id", C.recommendation_reason(
         F.col("protein"), F.col("calories"), F.col("goal_protein"), F.col("goal_calories")).alias("reason"))
 

@@ -75,15 +75,15 @@ def q_drift_stream(spark, sf):
     return out.select("batch_id", "feature", "n_baseline", "n_live", "ks_statistic", "p_value", "drift_detected")
 
 
-@register("feedback_attribution_stream")
+@register("feedback_attribution_stream", sql=REGISTRY["feedback_attribution"].sql)
 def q_feedback_stream(spark, sf):
-    """Rows-only check: unmatched feedback is emitted once the watermark passes
-    its time bound, so the tail of the last hour stays in state until newer
-    events arrive (the batch query ``feedback_attribution`` has the oracle)."""
-    path = SM.stage_events_by_day(spark, sf)
-    log = SM.read_request_log_stream(spark, path)
+    """The stream loses no row: its watermark spans the replay, and the end marker
+    gives out the feedback that still waits for a match."""
+    path = SM.stage_events_by_day(spark, sf, end_marker=True)
+    delay = SM.replay_span(spark, path)
+    log = SM.read_request_log_stream(spark, path).withWatermark("ts", delay)
     ev_schema = spark.read.parquet(path).schema
-    ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 5).parquet(path)
+    ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 5).parquet(path).withWatermark("ts", delay)
     fb = ev.filter(F.col("event_type").isin("click", "purchase")).select(
         "event_id", (F.col("event_id") - 1).alias("request_id"),
         F.pmod(F.col("event_id") - 1, F.lit(2000)).alias("recipe_id"), F.col("ts").alias("feedback_ts"))
@@ -93,4 +93,3 @@ def q_feedback_stream(spark, sf):
                       "feedback-stream")
     return r.select("event_id", "request_id", _ts("served_ts").alias("served_ts"), "model_version",
                     X.round6("served_score").alias("served_score"))
-

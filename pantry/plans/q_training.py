@@ -167,19 +167,25 @@ def q_feature_contract(spark, sf):
     return out(fc, fc.columns)
 
 
-_HASH_COLS = ["user_id", "recipe_id", "date", "rating", "label"]
+def _canonical_sql(c):
+    if c in DOUBLE_OUT:
+        text = f"CAST(CAST(floor({c} * 1000000.0 + 0.5) AS BIGINT) AS VARCHAR)"
+    elif c == "date":
+        text = "strftime(date, '%Y-%m-%d %H:%M:%S')"
+    else:
+        text = f"CAST({c} AS VARCHAR)"
+    return f"coalesce({text}, '\\N')"
 
 
 @register("dataset_manifest", sql=_w(S.split_cte(), ("m", """
 SELECT split, count(*) AS rows, strftime(min(date), '%Y-%m-%d %H:%M:%S') AS min_date,
   strftime(max(date), '%Y-%m-%d %H:%M:%S') AS max_date, round(avg(CAST(label AS DOUBLE)), 6) AS label_mean,
   sha256(CAST(count(*) AS VARCHAR) || ':' || CAST(coalesce(sum(CAST(('0x' || substr(sha256(concat_ws('|',
-    CAST(user_id AS VARCHAR), CAST(recipe_id AS VARCHAR), strftime(date, '%Y-%m-%d %H:%M:%S'),
-    coalesce(CAST(rating AS VARCHAR), '\\N'), CAST(label AS VARCHAR))), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS content_hash
+    """ + ", ".join(map(_canonical_sql, sorted(TRAIN_OUT))) + """)), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS content_hash
 FROM splits GROUP BY split""")) + """
 SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) FROM m)), 1, 12) AS version FROM m""")
 def q_dataset_manifest(spark, sf):
     sp = split_training(pipeline(spark, sf))
-    sp = sp.withColumn("date", F.col("date").cast("timestamp"))
-    m = T.dataset_manifest_tagged(sp, _HASH_COLS)
+    sp = sp.select(*TRAIN_OUT, "split").withColumn("date", F.col("date").cast("timestamp"))
+    m = T.dataset_manifest_tagged(sp)
     return m.withColumn("label_mean", X.rnd("label_mean", 6))

@@ -21,12 +21,12 @@ SESSION_CONF = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "pantry") -> SparkSession:
-    """Local/test session.  On a cluster the submitter supplies master and sizes."""
-    master = master or os.environ.get("PANTRY_MASTER", "local[*]")
-    builder = (SparkSession.builder.master(master).appName(app_name)
-               .config("spark.ui.enabled", "false")
-               .config("spark.ui.showConsoleProgress", "false")
-               .config("spark.driver.memory", os.environ.get("PANTRY_DRIVER_MEMORY", "16g")))
+    """A session with the settings above.  Without ``master`` the submitter's
+    master, memory and sizes hold; tests and benchmarks name a local one."""
+    builder = (SparkSession.builder.appName(app_name).config("spark.ui.enabled", "false")
+               .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        builder = builder.master(master).config("spark.driver.memory", os.environ.get("PANTRY_DRIVER_MEMORY", "16g"))
     for k, v in SESSION_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions is not None:
@@ -46,8 +46,9 @@ def ensure_session(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (spark.checkpoint.dir).
 
-    Only when the session has none (local tests) do we create one, under the
-    system temp folder.  Jobs never pick a machine-local folder on their own.
+    Only a local master (tests) may have none; then one is made under the system
+    temp folder.  Elsewhere an unset folder is an error: executors and driver
+    would each write to a disk of their own.
     """
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -56,6 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="pantry-ckpt-")
     sc.setCheckpointDir(configured)
     return configured

@@ -22,20 +22,28 @@ def output_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/pantry-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: StructType, rename: dict[str, str] | None = None) -> DataFrame:
     """Header-normalising CSV scan: header names are stripped and lower-cased,
     columns are matched by name (any order) and typed with ``try_cast`` so a
-    bad cell becomes NULL instead of failing the job."""
-    raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-           .option("mode", "PERMISSIVE").csv(path))
-    raw = raw.toDF(*[c.strip().lower() for c in raw.columns])
-    cols = []
-    for f in schema.fields:
-        if f.name in raw.columns:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return raw.select(*cols)
+    bad cell becomes NULL instead of failing the job.  Files are grouped by their
+    own header line, so files whose columns differ in order or number are read
+    each by its own.  ``rename`` maps header names to schema names (id ->
+    recipe_id, say) where the file lacks the latter."""
+    lines = spark.read.text(path)
+    meta = lines.metadataColumn("_metadata")
+    first = lines.where(meta["file_block_start"] == 0).select(meta["file_path"].alias("file"), F.monotonically_increasing_id().alias("at"), "value")
+    first = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # a name for each file
+    out = None
+    for g in sorted(groups, key=lambda g: g["header"]):
+        raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+               .option("mode", "PERMISSIVE").csv(sorted(g["files"])))
+        names = [c.strip().lower() for c in raw.columns]
+        raw = raw.toDF(*[(rename or {}).get(c, c) if (rename or {}).get(c, c) not in names else c for c in names])
+        part = raw.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
+                             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else spark.createDataFrame([], schema)
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
@@ -69,11 +77,12 @@ def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def write_shards(df: DataFrame, path: str, n: int, key: str = "user_id",
-                 sort_cols: tuple[str, ...] = ("user_id", "recipe_id")) -> str:
-    """Hash-shard rows by ``key % n`` into ``shard=i`` folders, sorted inside each
-    shard; one shuffle (repartition on the shard column)."""
+                 sort_cols: tuple[str, ...] = ("user_id", "recipe_id"), files: int = 8) -> str:
+    """Hash-shard rows by ``key % n`` into ``shard=i`` folders of ``files`` files,
+    each sorted; one shuffle, whose tasks are shards times files."""
     sharded = df.withColumn("shard", F.pmod(F.col(key), F.lit(n)))
-    (sharded.repartition(n, "shard").sortWithinPartitions("shard", *sort_cols)
+    part = F.pmod(F.xxhash64(*sort_cols), F.lit(files))
+    (sharded.repartition(n * files, F.col("shard"), part).sortWithinPartitions("shard", *sort_cols)
      .write.mode("overwrite").partitionBy("shard").parquet(path))
     return path
 
@@ -87,19 +96,20 @@ def append_log(df: DataFrame, path: str, schema: StructType, date_col: str = "lo
 
 
 def publish(spark: SparkSession, datasets: dict[str, DataFrame], root: str, version: str) -> str:
-    """Write every dataset under ``root/v{version}/name`` first, then move the
-    ``latest`` pointer (a one-row table) - readers never see a partial release."""
+    """Write every dataset under ``root/v{version}/name`` first, then append a row to
+    the ``latest`` table, whose newest row is the pointer.  Nothing is deleted, so
+    readers see the old release or the new one and never a part of one."""
     base = f"{root.rstrip('/')}/v{version}"
     for name, df in datasets.items():
         df.write.mode("overwrite").parquet(f"{base}/{name}")
-    spark.createDataFrame([(version, base)], "version string, path string") \
-        .write.mode("overwrite").parquet(f"{root.rstrip('/')}/latest")
+    spark.createDataFrame([(version, base)], "version string, path string").withColumn(
+        "published_at", F.current_timestamp()).write.mode("append").parquet(f"{root.rstrip('/')}/latest")
     return base
 
 
 def resolve_latest(spark: SparkSession, root: str, name: str) -> DataFrame:
-    ptr = spark.read.parquet(f"{root.rstrip('/')}/latest").first()  # one row
-    return spark.read.parquet(f"{ptr['path']}/{name}")
+    ptr = spark.read.parquet(f"{root.rstrip('/')}/latest").agg(F.max_by("path", "published_at")).first()  # one row
+    return spark.read.parquet(f"{ptr[0]}/{name}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -21,16 +21,26 @@ from ..sources.fixtures import VIEW_SQL
 from ..sources.io import output_root
 
 WATERMARK = "10 minutes"
+END = "end_of_replay"
 
 
-def stage_events_by_day(spark: SparkSession, sf_dir: str) -> str:
+def stage_events_by_day(spark: SparkSession, sf_dir: str, end_marker: bool = False) -> str:
     """Write the events table as day-sliced parquet files (a replayable stream
-    source derived from the given table)."""
+    source derived from the given table); a busy day is spread over many files.
+
+    With ``end_marker`` one event without a user follows, later than all others
+    by twice the replay's span and two hours: it moves the watermark past every
+    event, so that joins give out all that still waits."""
     path = output_root(spark, "events-stream")
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     # event time must be TIMESTAMP (not NTZ) for watermarks; session TZ is UTC
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
-    ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartition("day") \
+    if end_marker:
+        gap = (F.max("ts").cast("double") - F.min("ts").cast("double")) * 2 + 7200
+        last = ev.agg((F.max("ts").cast("double") + gap).cast("timestamp").alias("ts"))
+        ev = ev.unionByName(last.select(*[F.col("ts") if f.name == "ts" else F.lit(END if f.name == "event_type" else None)
+                                          .cast(f.dataType).alias(f.name) for f in ev.schema.fields]))
+    ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartitionByRange("ts") \
         .write.partitionBy("day").parquet(path)
     return path
 
@@ -99,8 +109,18 @@ def drift_stream(spark: SparkSession, log: DataFrame, baseline: DataFrame, featu
     return spark.read.parquet(out)
 
 
+def replay_span(spark: SparkSession, events_path: str) -> str:
+    """A watermark that fits a replay: files of a finished table come in any
+    order, so an event may be late by the whole span of the table.  A live
+    source has a bound of its own, such as WATERMARK."""
+    span = spark.read.parquet(events_path).where(F.col("event_type") != END).agg(
+        F.max("ts").cast("double") - F.min("ts").cast("double")).first()[0]
+    return f"{int(span or 0) + 1} seconds"
+
+
 def feedback_attribution_stream(feedback: DataFrame, served: DataFrame, max_delay_s: int = 3600) -> DataFrame:
-    """Stream-stream LEFT join: watermarks on both sides + event-time bound, so
-    state for served rows is dropped once no feedback can match them."""
-    return M.feedback_attribution(feedback.withWatermark("feedback_ts", WATERMARK),
-                                  served.withWatermark("ts", WATERMARK), max_delay_s)
+    """Stream-stream LEFT join of two streams that carry watermarks, with an
+    event-time bound, so state for served rows is dropped once no feedback can
+    match them.  The watermarks' delay decides which late rows are lost: none,
+    if it is as long as the source's disorder."""
+    return M.feedback_attribution(feedback, served, max_delay_s)

@@ -182,3 +182,9 @@ EXPAND_FACTOR = 2
 NOISE_STD = 0.05
 REPLAY_DAYS = 7
 CANDIDATE_POOL_SIZE = 12
+
+# FIXED VALUES: defaults of requests, and of users without features.
+DEFAULT_CALORIE_TARGET = 600.0
+DEFAULT_TIME_LIMIT = 120.0
+TARGET_DEFAULTS: dict[str, float] = {
+    "daily_calorie_target": 2000.0, "protein_target_g": 50.0, "carbs_target_g": 275.0, "fat_target_g": 65.0}

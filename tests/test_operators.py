@@ -135,19 +135,6 @@ def test_popularity_and_gates(spark):
     assert not g[1].improvement_passed and g[3].improvement_passed and not g[3].all_passed
 
 
-@pytest.mark.parametrize("n", [3, 12])
-def test_candidate_pool_bounds(spark, n):
-    from pantry.operators import ml as ML
-    rows = T.replay_window(Catalog(spark, SF_SMALL).interactions, 60)
-    pool = ML.candidate_pool(rows, n, seed=7)
-    per = pool.groupBy("t_user_id", "t_recipe_id", "t_l_orderkey", "t_l_linenumber", "t_l_suppkey").agg(
-        F.count(F.lit(1)).alias("c"), F.countDistinct("cand_recipe").alias("d"))
-    assert per.filter((F.col("c") > n) | (F.col("c") != F.col("d"))).count() == 0
-    assert per.count() == rows.count()
-    again = ML.candidate_pool(rows, n, seed=7)
-    assert sorted(map(tuple, pool.collect())) == sorted(map(tuple, again.collect()))
-
-
 def test_synthetic_expand_invariants(spark):
     from pantry.operators import ml as ML
     r = Catalog(spark, SF_SMALL).recipes

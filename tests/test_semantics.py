@@ -1,9 +1,12 @@
 """Unit semantics of the smaller operators (hand-written frames)."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
 from pantry import vocab
+from pantry.functions import exprs as X
 from pantry.operators import candidates as C
 from pantry.operators import monitor as M
 from pantry.operators import quality as Q
@@ -79,9 +82,8 @@ def test_manifest_independent_of_partitioning(spark):
             for u in range(40) for r in range(5)]
     df = spark.createDataFrame(rows, "user_id int, recipe_id int, d string, rating int, label int, split string") \
         .withColumn("date", F.to_timestamp("d")).drop("d")
-    cols = ["user_id", "recipe_id", "date", "rating", "label"]
-    a = T.dataset_manifest_tagged(df.repartition(1), cols).orderBy("split").collect()
-    b = T.dataset_manifest_tagged(df.repartition(7, "recipe_id"), cols).orderBy("split").collect()
+    a = T.dataset_manifest_tagged(df.repartition(1)).orderBy("split").collect()
+    b = T.dataset_manifest_tagged(df.repartition(7, "recipe_id")).orderBy("split").collect()
     assert [tuple(x) for x in a] == [tuple(x) for x in b]
 
 
@@ -98,11 +100,16 @@ def test_sample_candidates_bounds(spark):
     j = s.join(meals.select("meal_id", F.col("user_id").alias("owner"), "is_public"), "meal_id")
     assert j.filter(~F.col("is_public") & (F.col("owner") != F.col("user_id"))).count() == 0
     assert s.join(recent, ["user_id", "meal_id"]).count() == 0
+    # no one gets fewer than k while more are visible
+    public = meals.filter("is_public").select("meal_id")
+    visible = s.select("user_id").distinct().crossJoin(public).join(recent, ["user_id", "meal_id"], "left_anti").groupBy("user_id").count()
+    short = per.join(visible, "user_id").filter(F.col("c") < F.least(F.lit(20), F.col("count")))
+    assert short.count() == 0
     again = C.sample_candidates(cat.contexts.select("user_id"), meals, recent, k=20)
     assert sorted(map(tuple, s.collect())) == sorted(map(tuple, again.collect()))
 
 
-def test_rule_candidates_broadcast_and_salted_paths_agree(spark):
+def test_rule_candidates_equal_brute_force(spark):
     req = spark.createDataFrame([(1, 600, 60, True, False, False), (2, 300, 20, False, True, True)],
                                 "request_id int, calorie_target int, time_limit int, no_milk boolean, "
                                 "no_egg boolean, no_wheat boolean")
@@ -112,8 +119,6 @@ def test_rule_candidates_broadcast_and_salted_paths_agree(spark):
                                 "has_wheat boolean").withColumn("has_egg", F.col("has_egg").cast("int")) \
         .withColumn("has_wheat", F.col("has_wheat").cast("int"))
     a = C.rule_candidates(req, rec).select("request_id", "recipe_id")
-    b = C.rule_candidates(req, rec, broadcast_max_rows=0).select("request_id", "recipe_id")
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     # brute force
     r = rec.collect()
     exp = sorted((q.request_id, x.recipe_id) for q in req.collect() for x in r
@@ -123,8 +128,86 @@ def test_rule_candidates_broadcast_and_salted_paths_agree(spark):
     assert sorted(map(tuple, a.collect())) == exp
 
 
-def test_vocabulary_index_paths_agree(spark):
+def test_vocabulary_index(spark):
     v = spark.createDataFrame([(f"w{k:04d}",) for k in range(300)], "_v string")
     a = sorted(map(tuple, T._index_vocabulary(v).collect()))
-    b = sorted(map(tuple, T._index_vocabulary(v, window_max=0).collect()))
-    assert a == b and a[0] == ("w0000", 0.0) and a[-1] == ("w0299", 299.0)
+    assert a[0] == ("w0000", 0.0) and a[-1] == ("w0299", 299.0)
+
+
+def test_manifest_sees_every_column(spark):
+    rows = [("train", 1, 10, dt.datetime(2020, 1, 1), 1, 100.0, ["a"]), ("test", 2, 10, dt.datetime(2020, 1, 2), 0, 5.0, ["b"])]
+    kind = "split string, user_id int, recipe_id int, date timestamp, label int, calories double, tags array<string>"
+    a = T.dataset_manifest_tagged(spark.createDataFrame(rows, kind)).first()["version"]
+    for at, value in ((5, 999.0), (6, ["c"]), (4, 0)):
+        changed = [tuple(value if i == at else v for i, v in enumerate(rows[0])), rows[1]]
+        assert T.dataset_manifest_tagged(spark.createDataFrame(changed, kind)).first()["version"] != a
+
+
+def test_time_split_puts_undated_rows_last(spark):
+    rows = [(dt.datetime(2020, 1, 1 + i % 20), i) for i in range(80)] + [(None, 80 + i) for i in range(20)]
+    df = spark.createDataFrame(rows, "date timestamp, k int")
+    for method in ("sort", "buckets"):
+        out = T.time_split(df, ["date", "k"], method=method).collect()
+        n = {s: sum(r["split"] == s for r in out) for s in ("train", "val", "test")}
+        assert n == {"train": 80, "val": 10, "test": 10}
+        assert all(r["date"] is not None for r in out if r["split"] == "train")
+
+
+def test_lists_as_python_writes_them(spark):
+    given = ["['a\\xa0b','vegan']", "['caf\\xe9']", "('a','b')", "['a',]", "[]", None, "[\"it's\", 'b']", "nonsense"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(given)], "i int, t string")
+    got = {r["i"]: list(r["x"]) for r in df.select("i", X.parse_string_list("t").alias("x")).collect()}
+    assert [got[i] for i in range(8)] == [["a\xa0b", "vegan"], ["caf\xe9"], ["a", "b"], ["a"], [], [], ["it's", "b"], []]
+
+
+def test_nan_is_no_rating_and_no_feature(spark):
+    df = spark.createDataFrame([(float("nan"), "nan"), (5.0, "7"), (None, None)], "rating double, minutes string")
+    assert [r[0] for r in df.select(X.label_from_rating("rating")).collect()] == [0, 1, 0]
+    assert [r["minutes"] for r in T.feature_contract(df, ["minutes"]).collect()] == [0.0, 7.0, 0.0]
+
+
+def test_products_with_units_and_quoted_numbers(spark):
+    doc = ('{"product_name": "x", "product_name_en": "", "brands": "b, c", "serving_quantity": "50", '
+           '"nutriments": {"energy-kcal_100g": "200", "energy-kcal_unit": "kcal", "proteins_100g": 10}}')
+    r = C.product_normalise(spark.createDataFrame([("1", doc)], "code string, doc string")).first()
+    assert (r["name"], r["brand"], r["serving_size"], r["calories"], r["protein"]) == ("x", "b", 50.0, 100.0, 5.0)
+
+
+def test_users_without_goals_and_requests_without_limits(spark):
+    meals = spark.createDataFrame([(1, i, f"m{i}", True, 3, *[float(10 * i)] * 8) for i in range(15)], (
+        "user_id int, meal_id int, meal_name string, is_public boolean, n_ingredients int, calories double, protein double, carbs double, "
+        "fat double, saturated_fat double, sugars double, sodium double, dietary_fiber double"))
+    goals = spark.createDataFrame([], "user_id int, calories double, protein double, carbs double, fat double")
+    ranked = C.fallback_rank(meals, goals, 10)
+    assert ranked.count() == 10 and C.meal_feature_vector(meals, goals).count() == 15
+    assert "WindowGroupLimit" in ranked._jdf.queryExecution().executedPlan().toString()
+    req = spark.createDataFrame([(1, None, None, False, False, False)], (
+        "request_id int, calorie_target int, time_limit int, no_milk boolean, no_egg boolean, no_wheat boolean"))
+    rec = spark.createDataFrame([(1, 300.0, 120, 0, 0, 0), (2, 901.0, 10, 0, 0, 0), (3, 600.0, 121, 0, 0, 0)], (
+        "recipe_id int, calories double, minutes int, has_milk int, has_egg int, has_wheat int"))
+    assert [r["recipe_id"] for r in C.rule_candidates(req, rec).collect()] == [1]
+
+
+def test_upsert_takes_one_of_equal_keys(spark):
+    cur = spark.createDataFrame([(1, "old")], "id int, v string")
+    inc = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (2, "c")], "id int, v string")
+    got = sorted(map(tuple, C.upsert(cur, inc, "id", ["v"], F.current_timestamp()).collect()))
+    assert got == [(1, "b"), (2, "c")]
+
+
+def test_csv_files_with_columns_in_different_order(spark, tmp_path):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+
+    from pantry.sources import io as IO
+    (tmp_path / "a.csv").write_text("user_id,Recipe_ID,name\n1,10,x\n")
+    (tmp_path / "b.csv").write_text('id,user_id,name\n20,2,"two\nlines"\n')
+    schema = StructType([StructField("user_id", IntegerType()), StructField("recipe_id", IntegerType()), StructField("name", StringType())])
+    got = sorted(map(tuple, IO.read_csv(spark, str(tmp_path), schema, rename={"id": "recipe_id"}).collect()))
+    assert got == [(1, 10, "x"), (2, 20, "two\nlines")]
+
+
+def test_duplicate_count_on_slices(spark):
+    df = spark.createDataFrame([("train", 1), ("train", 1), ("train", None), ("train", None), ("val", 2)], "split string, k int")
+    checks = {s: [Q.parse_rule("duplicate_count(k) = 0")] for s in ("train", "val", "test")}
+    got = {r["table_name"]: (r["actual"], r["passed"]) for r in Q.run_checks_by(df, "split", checks).collect()}
+    assert got == {"train": (1.0, False), "val": (0.0, True), "test": (0.0, True)}

@@ -29,7 +29,7 @@ def main():
     args = sys.argv[1:]
     sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.001"
     names = [a for a in args if not a.startswith("/")]
-    spark = build_session(shuffle_partitions=8)
+    spark = build_session(master="local[*]", shuffle_partitions=8)
     reg = load_all()
     print("query," + ",".join(k.replace("Exchange ", "X:") for k in KINDS))
     for name in names or sorted(reg):
