@@ -110,8 +110,7 @@ def q_sink_log_append(spark, sf):
 def q_sink_versioned_release(spark, sf):
     sp = _splits(spark, sf).drop("l_shipdate")
     parts = {n: sp.filter(F.col("split") == n) for n in ("train", "val", "test")}
-    ver = T.dataset_manifest_tagged(sp.withColumn("date", F.col("date").cast("timestamp")),
-                                    ["user_id", "recipe_id", "date", "rating", "label"]).select("version").first()[0]
+    ver = T.dataset_manifest_tagged(sp.withColumn("date", F.col("date").cast("timestamp"))).select("version").first()[0]
     root = IO.output_root(spark, "release")
     IO.publish(spark, parts, root, ver)
     back = None

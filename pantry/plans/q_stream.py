@@ -81,13 +81,15 @@ def q_feedback_stream(spark, sf):
     gives out the feedback that still waits for a match."""
     path = SM.stage_events_by_day(spark, sf, end_marker=True)
     delay = SM.replay_span(spark, path)
-    log = SM.read_request_log_stream(spark, path).withWatermark("ts", delay)
+    log = SM.read_request_log_stream(spark, path, watermark=delay)
     ev_schema = spark.read.parquet(path).schema
     ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 5).parquet(path).withWatermark("ts", delay)
-    fb = ev.filter(F.col("event_type").isin("click", "purchase")).select(
+    # a condition on the event time too isn't moved below the watermark, which so sees the end marker
+    untimed = F.col("ts").isNull()
+    fb = ev.filter(F.col("event_type").isin("click", "purchase") | untimed).select(
         "event_id", (F.col("event_id") - 1).alias("request_id"),
         F.pmod(F.col("event_id") - 1, F.lit(2000)).alias("recipe_id"), F.col("ts").alias("feedback_ts"))
-    served = log.filter(F.col("rank_pos") == 1)
+    served = log.filter((F.col("rank_pos") == 1) | untimed)
     joined = SM.feedback_attribution_stream(fb, served, 3600)
     r = SM.run_append(spark, joined.select("event_id", "request_id", "served_ts", "model_version", "served_score"),
                       "feedback-stream")

@@ -35,22 +35,27 @@ def stage_events_by_day(spark: SparkSession, sf_dir: str, end_marker: bool = Fal
     ev = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
     # event time must be TIMESTAMP (not NTZ) for watermarks; session TZ is UTC
     ev = ev.withColumn("ts", F.col("ts").cast("timestamp"))
-    if end_marker:
+    def write(rows: DataFrame, mode: str):
+        rows.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartitionByRange("ts").write.mode(mode).partitionBy("day").parquet(path)
+
+    write(ev, "errorifexists")
+    if end_marker:  # written after the others, as the file source reads by age
         gap = (F.max("ts").cast("double") - F.min("ts").cast("double")) * 2 + 7200
         last = ev.agg((F.max("ts").cast("double") + gap).cast("timestamp").alias("ts"))
-        ev = ev.unionByName(last.select(*[F.col("ts") if f.name == "ts" else F.lit(END if f.name == "event_type" else None)
-                                          .cast(f.dataType).alias(f.name) for f in ev.schema.fields]))
-    ev.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartitionByRange("ts") \
-        .write.partitionBy("day").parquet(path)
+        write(last.select(*[F.col("ts") if f.name == "ts" else F.lit({"event_type": END, "event_id": -1}.get(f.name))
+                            .cast(f.dataType).alias(f.name) for f in ev.schema.fields]), "append")
     return path
 
 
-def read_request_log_stream(spark: SparkSession, events_path: str, files_per_trigger: int = 5) -> DataFrame:
+def read_request_log_stream(spark: SparkSession, events_path: str, files_per_trigger: int = 5,
+                            watermark: str | None = None) -> DataFrame:
     """Streaming request log: file source over the staged events + the same view
-    projection as the batch fixture."""
+    projection as the batch fixture.  A ``watermark`` is taken from all events,
+    also from those that the view leaves out."""
     schema = spark.read.parquet(events_path).schema
     ev = (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
           .parquet(events_path))
+    ev = ev.withWatermark("ts", watermark) if watermark else ev
     return spark.sql(VIEW_SQL["request_log"], events=ev)
 
 
