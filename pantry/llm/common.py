@@ -16,6 +16,13 @@ from ..session import checkpoint_dir
 PLACE = ("__llm_file", "__llm_row")
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches to and from Python of 2000 rows or 8 MB, so that a worker's memory
+    doesn't follow the texts' lengths."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "8m")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
@@ -44,6 +51,7 @@ def scanned(df: DataFrame) -> DataFrame:
 
 def placed(df: DataFrame, *cols: Column | str) -> DataFrame:
     """``cols`` of ``df`` and the place of each row."""
+    bounded_batches(df.sparkSession)
     df = scanned(df)
     meta = df.metadataColumn("_metadata")
     return df.select(*cols, F.xxhash64(meta["file_path"]).alias(PLACE[0]), meta["row_index"].alias(PLACE[1]))

@@ -32,7 +32,8 @@ from .words import BLANK, gram_hashes, mixed, slices, word_hashes
 #: Bits of the dense parity sketch that each pair's distance is first bounded by.
 SKETCH_BITS = 1024
 #: Bits of the filters that spare rows a shuffle; a full one lets all rows pass.
-FILTER_BITS = 1 << 25
+FILTER_LOG = 25
+FILTER_BITS = 1 << FILTER_LOG
 #: Counters of shingle frequencies, which only decide the order of a set's chunks.
 COUNTERS = 1 << 18
 
@@ -134,33 +135,38 @@ def sketched(docs: DataFrame, k: int, percent: int, levels: np.ndarray) -> DataF
                                 "keys array<bigint>, sketch array<bigint>")
 
 
+def bit(hashed: Column) -> Column:
+    """The filter's bit for a 64-bit hash."""
+    return F.shiftrightunsigned(hashed, 64 - FILTER_LOG)
+
+
 def filter_bits(values: DataFrame) -> np.ndarray:
-    """One bit for each hash of the only column: FILTER_BITS / 8 bytes, whatever the input."""
-    col = F.pmod(F.xxhash64(values.columns[0]), F.lit(FILTER_BITS))
-    rows = values.select(col.alias("h")).groupBy(F.expr("bitmap_bucket_number(h)").alias("n")).agg(
-        F.expr("bitmap_construct_agg(bitmap_bit_position(h))").alias("bits")).collect()
-    out = np.zeros(FILTER_BITS // 8 + 8192, np.uint8)
+    """One bit for each 64-bit hash of the only column: FILTER_BITS / 8 bytes, whatever the input."""
+    b = bit(F.col(values.columns[0]))
+    rows = values.select(F.floor(b / 32768).cast("int").alias("n"), F.pmod(b, F.lit(32768)).alias("b")).select(
+        "n", F.expr("bitmap_bit_position(b + 1)").alias("b")).groupBy("n").agg(F.expr("bitmap_construct_agg(b)").alias("bits")).collect()
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in rows:
-        part = np.frombuffer(bytes(r["bits"]), np.uint8)
-        out[(r["n"] - 1) * 4096:(r["n"] - 1) * 4096 + len(part)] = part
+        out[r["n"] * 4096:(r["n"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
+def held(h: pa.Array, bits: np.ndarray) -> np.ndarray:
+    """Whether each of the filter's bits is set."""
+    h = h.to_numpy(zero_copy_only=False).astype(np.int64)
+    return (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1
+
+
 def may_hold(frame: DataFrame, column: str, bits: np.ndarray) -> DataFrame:
-    """Rows of ``frame`` whose ``column`` may be among those of ``bits``."""
+    """Rows of ``frame`` whose ``column``, a 64-bit hash, may be among those of ``bits``."""
     names = frame.columns
-    at = len(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = batch.column(at).to_numpy(zero_copy_only=False).astype(np.int64)
-            # bucket and position as Spark's bitmap functions number them: from bit 0 of bucket 1
-            ok = (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1
-            yield pa.RecordBatch.from_arrays(batch.columns[:at], names=names).filter(pa.array(ok.astype(bool)))
+            part = pa.RecordBatch.from_arrays(batch.columns[:len(names)], names=names)
+            yield part.filter(pa.array(held(batch.column(len(names)), bits)))
 
-    probe = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS))
-    own = ((F.expr("bitmap_bucket_number(h)") - 1) * 32768 + F.expr("bitmap_bit_position(h)")).alias("h")
-    return frame.select("*", probe.alias("h")).select(*names, own).mapInArrow(run, frame.schema)
+    return frame.select("*", bit(F.col(column)).alias("h")).mapInArrow(run, frame.schema)
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -247,7 +253,8 @@ def across(members: DataFrame, roots: DataFrame, sets: DataFrame, levels: np.nda
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
-    """For each document: doc_id, place, n_shingles, component_id.
+    """For each document: doc_id, place, n_shingles, component_id, class (of the
+    smallest class of the component, which tells components apart without ids).
 
     Texts are lower-cased (A-Z) and cut at ASCII white space.  component_id is
     the smallest doc_id that links of Jaccard ``percent`` / 100 or more reach.
@@ -278,8 +285,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
 
 def whole_sets(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
     """class, n_shingles, sketch, hashes (binary) of the chosen documents."""
+    bits = filter_bits(chosen.select(F.xxhash64(*PLACE)))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(held(batch.column(3), bits)))
             for at, to in slices(batch.column(0)):
                 sets = list(shingle_sets(batch.column(0).slice(at, to - at), k))
                 yield pa.RecordBatch.from_arrays([
@@ -287,9 +297,8 @@ def whole_sets(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
                     pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=[*PLACE, "n_shingles", "sketch", "hashes"])
 
-    spot = F.xxhash64(*PLACE).alias("spot")
-    few = may_hold(rows.select("text", *PLACE, spot), "spot", filter_bits(chosen.select(spot)))
-    sets = few.select("text", *PLACE).mapInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, n_shingles long, sketch array<bigint>, hashes binary")
+    sets = rows.select("text", *PLACE, bit(F.xxhash64(*PLACE)).alias("h")).mapInArrow(
+        run, f"{PLACE[0]} long, {PLACE[1]} long, n_shingles long, sketch array<bigint>, hashes binary")
     return sets.join(chosen, list(PLACE)).select("class", "n_shingles", "sketch", "hashes")
 
 
@@ -299,7 +308,8 @@ def members_of(base: DataFrame, roots: DataFrame) -> DataFrame:
     classes = classes.join(roots, classes["class"] == roots["node"], "left").select("class", "least", F.coalesce("root", "class").alias("root"))
     # only classes with links meet under their root
     named = classes.groupBy("root").agg(F.min("least").alias("component"))
-    classes = classes.join(named, "root").select(F.col("class").alias("of"), "component")
+    classes = classes.join(named, "root").select(F.col("class").alias("of"), "component", F.col("root").alias("group"))
     key = F.when(F.col("n_shingles") > 0, F.col("class"))
     return base.join(classes, key == F.col("of"), "left").select(
-        "doc_id", *PLACE, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", *PLACE, "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.col("group").alias("class"))

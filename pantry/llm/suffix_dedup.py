@@ -34,14 +34,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import PLACE, placed, written
+from .near_duplicates import FILTER_LOG, filter_bits
 from .words import mixed, slices
 
 LENGTH, GRAM = 200, 100
 REACH = LENGTH - GRAM
 #: Contexts that one task sorts together.
 BUCKET = 4000
-#: Bits of a gram that the filter of repeated grams knows.
-PROBE_BITS = 25
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -156,21 +155,9 @@ def contexts(rows: DataFrame, bits: np.ndarray, whole: bool = False) -> DataFram
         run, f"{PLACE[0]} long, {PLACE[1]} long, gram long, ctx binary, at long, first long, last long, bytes binary")
 
 
-def probed(values: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    h = values.view(np.uint64) >> np.uint64(64 - PROBE_BITS)
-    return (bits[(h >> np.uint64(3)).astype(np.int64)] >> (h & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
-def probe_bits(grams: DataFrame) -> np.ndarray:
-    """One bit for each value's first PROBE_BITS bits: 4 MB, whatever the input.
-    Grams are hashes already; a full filter lets all pass, and exact joins follow."""
-    h = F.shiftrightunsigned("gram", 64 - PROBE_BITS)
-    got = grams.select(F.floor(h / 8192).cast("int").alias("n"), F.pmod(h, F.lit(8192)).alias("b")).select(
-        "n", F.expr("bitmap_bit_position(b + 1)").alias("b")).groupBy("n").agg(F.expr("bitmap_construct_agg(b)").alias("bits")).collect()
-    out = np.zeros((1 << PROBE_BITS) // 8, np.uint8)
-    for r in got:
-        out[r["n"] * 1024:(r["n"] + 1) * 1024] = np.frombuffer(bytes(r["bits"]), np.uint8)[:1024]
-    return out
+def probed(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    h = (grams.view(np.uint64) >> np.uint64(64 - FILTER_LOG)).astype(np.int64)
+    return (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1
 
 
 def repeated_windows(texts: list[bytes], lead: np.ndarray) -> np.ndarray:
@@ -239,7 +226,7 @@ def counted_windows(rows: DataFrame, grams: DataFrame) -> DataFrame:
                     pa.array([xxhash.xxh3_128_digest(own[w:w + LENGTH]) for w in range(n)], pa.binary())],
                     names=[*PLACE, "first", "window"])
 
-    own = contexts(rows, probe_bits(grams), whole=True).join(grams, "gram", "left_semi").select(*PLACE, "first", "bytes")
+    own = contexts(rows, filter_bits(grams), whole=True).join(grams, "gram", "left_semi").select(*PLACE, "first", "bytes")
     windows = own.mapInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, first long, window binary")
     often = windows.groupBy("window").count().where("count > 1").select("window")
     return windows.join(often, "window", "left_semi").select(*PLACE, "first", (F.col("first") + LENGTH).alias("end"))
@@ -248,7 +235,7 @@ def counted_windows(rows: DataFrame, grams: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """place, spans (first, end; may overlap) of the repeated bytes of rows text (binary), place."""
     twice = written(anchors(rows).groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
-    found = contexts(rows, probe_bits(twice)).drop("bytes").join(twice, "gram", "left_semi")
+    found = contexts(rows, filter_bits(twice)).drop("bytes").join(twice, "gram", "left_semi")
     found = written(found, "contexts")
     counts = found.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*PLACE, "first")).alias("one"))
     counts = written(counts, "context-counts")
@@ -261,7 +248,7 @@ def repeated_spans(rows: DataFrame) -> DataFrame:
     if total:
         usual = grams.where(F.col("contexts") <= BUCKET).select("gram")
         chosen = counts.join(usual, "gram", "left_semi").select("gram", "n", "one.*")
-        own = contexts(rows, probe_bits(usual), whole=True).join(chosen, ["gram", *PLACE, "first"])
+        own = contexts(rows, filter_bits(usual), whole=True).join(chosen, ["gram", *PLACE, "first"])
         buckets = F.pmod(F.xxhash64("gram"), F.lit(math.ceil(total / BUCKET)))
         spans = spans.unionByName(edge_spans(own.select(buckets.alias("bucket"), *PLACE, "first", "at", "n", "bytes")))
         if hot > BUCKET:

@@ -24,7 +24,7 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, placed, written
+from .common import PLACE, bounded_batches, placed, written
 
 #: The letters of the model; everything else is a bound between words.
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâäæçèéêëíîïñóôöùúûüœ"
@@ -212,6 +212,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     in several rows or labels, each labelled row counts; null labels don't.
     """
     out = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
+    bounded_batches(docs.sparkSession)
     model = language_model(trigram_counts(docs, text))
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~out(F.col("doc_id"))).select(
         F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))

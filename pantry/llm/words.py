@@ -7,14 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 
 #: A-Z to a-z; ASCII other than letters and digits to blanks.  Bytes above 0x7F are parts of words.
 ALNUM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 #: A-Z to a-z; white space alone separates.
-BLANK = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+BLANK = bytes(b + 32 if 65 <= b <= 90 else 32 if 9 <= b <= 13 else b for b in range(256))
 
-SLICE_BYTES = 8_000_000
+#: Texts that a task looks at together; bounds its arrays.
+SLICE_BYTES = 1 << 20
 _ODD = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
 
 
@@ -37,26 +37,52 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]
         at = to
 
 
+class _Powers:
+    """Powers of an odd base and of its inverse modulo 2**64, for the longest slice so far."""
+
+    base = 0x9E3779B97F4A7C15
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            size = max(n, SLICE_BYTES)
+            self.up, self.down = (np.full(size, np.uint64(b), np.uint64) for b in (self.base, pow(self.base, -1, 1 << 64)))
+            for x in (self.up, self.down):
+                x[0] = 1
+                np.multiply.accumulate(x, out=x)
+        return self.up[:n], self.down[:n]
+
+
+_POWERS = _Powers()
+_LETTERS = mixed(np.arange(1, 257, dtype=np.uint64))
+
+
 def word_hashes(texts: pa.Array, table: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(hashes of all words in order, bounds: text i has words bounds[i]:bounds[i + 1]); null: no words."""
-    texts = pa.concat_arrays([pc.fill_null(texts, "")])
-    offsets, data = texts.buffers()[1:]
-    data = pa.py_buffer((data.to_pybytes() if data else b"").translate(table))
-    # only ASCII bytes were changed, so this is still UTF-8
-    texts = pa.StringArray.from_buffers(len(texts), offsets, data, None, 0, texts.offset)
-    split = pc.ascii_split_whitespace(texts)
-    flat = split.flatten().dictionary_encode()
-    own = [xxhash.xxh3_64_intdigest(w) if w else 0 for w in flat.dictionary.to_pylist()]
-    codes = flat.indices.to_numpy(zero_copy_only=False)
-    hashes = np.array(own, np.uint64)[codes] if own else np.zeros(0, np.uint64)
-    blank = np.array([not w for w in flat.dictionary.to_pylist()], bool)
-    bounds = split.offsets.to_numpy().astype(np.int64)
-    bounds = bounds - bounds[0]
-    if blank.any():
-        keep = ~blank[codes]
-        bounds = np.concatenate([[0], np.cumsum(keep)])[bounds]
-        hashes = hashes[keep]
-    return hashes, bounds
+    """(hashes of all words in order, bounds: text i has words bounds[i]:bounds[i + 1]); null: no words.
+
+    A word's hash is a polynomial of its bytes, read off the slice's prefix sums.
+    """
+    texts = pa.concat_arrays([pc.fill_null(texts, "").cast(pa.large_string())])
+    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    raw = texts.buffers()[2]
+    data = np.frombuffer(table, np.uint8)[np.frombuffer(raw, np.uint8)[offsets[0]:offsets[-1]]] if raw else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    if not len(data):
+        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    inside = data != 32
+    edges = offsets[(offsets > 0) & (offsets < len(data))]  # a text's first byte begins a word, whatever is before
+    opens, closes = inside.copy(), inside.copy()
+    opens[1:] &= ~inside[:-1]
+    closes[:-1] &= ~inside[1:]
+    opens[edges] = inside[edges]
+    closes[edges - 1] = inside[edges - 1]
+    first, last = np.flatnonzero(opens), np.flatnonzero(closes)
+    up, down = _POWERS.upto(len(data))
+    sums = np.cumsum(_LETTERS[data] * up)
+    before = np.where(first > 0, sums[first - 1], np.uint64(0))
+    return mixed((sums[last] - before) * down[first]), np.searchsorted(first, offsets)
 
 
 def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
