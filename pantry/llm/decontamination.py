@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, placed, written
+from .common import PLACE, placed, scanned, written
 from .words import ALNUM, gram_hashes, gram_starts, slices, word_hashes
 
 #: A shared span of SPAN words is certain to be found: K + WINDOW - 1 = SPAN.
@@ -160,6 +160,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     apart by place; further columns are left out; empty tables give no rows or
     no hits.
     """
+    docs = scanned(docs)
     items = item_words(benchmark, item_text).groupBy("words").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     items = written(items.withColumn("item", F.xxhash64("words")).withColumn(
         "n", F.size(F.split("words", " "))), "benchmark-items")
