@@ -13,6 +13,7 @@ partition's last rest is split into powers of two, which need no padding.
 
 from __future__ import annotations
 
+import re
 import sys
 import types
 from collections import deque
@@ -25,6 +26,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import bounded_batches
+
 SEQUENCE = 2048
 SENTENCE_PENALTY, FORCED_PENALTY, FORCED_GRID = 2, 8, 32
 #: Ends each document.
@@ -32,11 +35,20 @@ END_ID = 1
 #: Tokens that the optimiser sees at once; bounds memory, and only shifts a cut or two at its ends.
 BLOCK_TOKENS = 1_000_000
 SLICE_BYTES = 8_000_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 1_200_000
 
 SCHEMA = ("doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long")
 
 
+#: Byte-level spelling: printable Latin-1 stands for itself, other bytes for letters from U+0100 on.
+_PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SPELT = {b: chr(b) for b in _PRINTED} | {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in _PRINTED)}
+#: Letters that no step before the model changes: a-z and lower-case Latin-1 letters.
+_LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
+BYTES = {ord(c): "".join(_SPELT[b] for b in c.encode()) for c in _LETTERS}
+PLAIN = re.compile(f"[{_LETTERS}]+").fullmatch
+
+
 class WordIds:
     """Ids of whole texts, word by word.
 
@@ -62,10 +74,34 @@ class WordIds:
         self.used = 0
 
     def learn(self, words: list[str]) -> None:
-        ids = np.array(self.tokenizer.encode(self.mark.join([*words, ""]), add_special_tokens=False).ids, np.uint32)
-        ends = np.flatnonzero(ids == self.mark_id)
-        lengths = np.diff(ends, prepend=-1) - 1
-        ids = ids[ids != self.mark_id]
+        """Plain words go to the tokenizer's model at once: of the steps before it,
+        lower-casing and normal form leave them as they are, none cuts them, and
+        bytes are spelt by BYTES.  A plain word with a full stop or comma behind it
+        is the two one after the other.  All others take the whole tokenizer."""
+        plain: dict[str, None] = {}
+        ended, other = [], []
+        for w in words:
+            stem = w[:-1] if w[-1] in ".," else w
+            if not PLAIN(stem):
+                other.append(w)
+            else:
+                plain[stem] = None
+                if stem is not w:
+                    ended.append(w)
+        tokenize = self.tokenizer.model.tokenize
+        new = [w for w in plain if w not in self.codes]
+        found = [[x.id for x in tokenize(w.translate(BYTES))] for w in new]
+        self.add(new, np.array([i for f in found for i in f], np.uint32), np.array([len(f) for f in found], np.int64))
+        other += [w for w in ".," if w not in self.codes and w not in other]
+        for i in range(0, len(other), 2000):
+            part = other[i:i + 2000]
+            ids = np.array(self.tokenizer.encode(self.mark.join([*part, ""]), add_special_tokens=False).ids, np.uint32)
+            self.add(part, ids[ids != self.mark_id], np.diff(np.flatnonzero(ids == self.mark_id), prepend=-1) - 1)
+        if ended:
+            pairs = np.array([(self.codes[w[:-1]], self.codes[w[-1]]) for w in ended]).ravel()
+            self.add(ended, self.gather(pairs)[0], self.lengths[pairs].reshape(-1, 2).sum(1))
+
+    def add(self, words: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
         n, first = len(words), len(self.codes)
         while first + n > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.lengths))
@@ -77,6 +113,12 @@ class WordIds:
         self.used += len(ids)
         self.codes.update(zip(words, range(first, first + n), strict=True))
 
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of coded words one after the other, where each word's begin)."""
+        lengths = self.lengths[codes]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        return self.pool[np.repeat(self.starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])], ends
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each)."""
         odd = pa.array(self.special(texts))
@@ -87,13 +129,10 @@ class WordIds:
         if len(self.codes) + len(words) > CACHED_WORDS:
             self.clear()
         new = [w for w in words if w not in self.codes]
-        for i in range(0, len(new), 2000):
-            self.learn(new[i:i + 2000])
+        if new:
+            self.learn(new)
         codes = np.fromiter(map(self.codes.__getitem__, words), np.int64, len(words))
-        codes = codes[flat.indices.to_numpy(zero_copy_only=False)] if len(words) else codes
-        lengths = self.lengths[codes]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        ids = self.pool[np.repeat(self.starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])]
+        ids, ends = self.gather(codes[flat.indices.to_numpy(zero_copy_only=False)] if len(words) else codes)
         bounds = split.offsets.to_numpy()
         return ids, np.diff(ends[bounds - bounds[0]])
 
@@ -203,7 +242,7 @@ def packed(batches: Iterator[pa.RecordBatch], tokenizer_path: str) -> Iterator[p
         begin, length = marks[:-1], np.diff(marks)
         doc = np.searchsorted(starts - done, begin, "right") - 1
         seq = np.searchsorted(cuts, begin, "right")
-        first = np.concatenate([[0], cuts[:-1]])
+        first = np.array([0, *cuts[:-1]], np.int64)
         buffers = [None, pa.py_buffer((marks * 4).astype(np.int32).tobytes()), pa.py_buffer(ids[:upto].astype("<u4").tobytes())]
         out = pa.RecordBatch.from_arrays([
             pa.array([doc_ids[i] for i in doc.tolist()], pa.int64()), pa.array(begin + done - starts[doc]), pa.array(length),
@@ -250,5 +289,6 @@ def pack(docs: DataFrame, tokenizer_path: str | None = None, text: str = "text")
         import public_tokenizers
 
         tokenizer_path = public_tokenizers.path("word_bpe_49k.json")
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         lambda batches: packed(batches, tokenizer_path), SCHEMA)
