@@ -174,6 +174,15 @@ def distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
 
 
+def likely(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sizes and dense sketches leave a Jaccard of ``percent`` possible."""
+    side = lambda c: sketches.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return both.where((F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
+                      & (distance(F.col("sketch_a"), F.col("sketch_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent))
+                      ).select("a", "b")
+
+
 def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets have Jaccard of ``percent`` or more."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,13 +195,9 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok[i] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(ok))
 
-    s = lambda c: sets.select(F.col("class").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}"))
-    near = pairs.join(s("a"), "a").join(s("b"), "b")
-    near = near.where((F.lit(100) * F.least("n_a", "n_b") >= F.lit(percent) * F.greatest("n_a", "n_b"))
-                      & (distance(F.col("sketch_a"), F.col("sketch_b")) * (100 + percent) <= (F.col("n_a") + F.col("n_b")) * (100 - percent)))
     full = lambda c: sets.select(F.col("class").alias(c), F.col("hashes").alias(f"hashes_{c}"))
     # b's set is fetched first: a is the class that many pairs may share, and then travels to them
-    both = near.select("a", "b").join(full("b"), "b").join(full("a"), "a").select("a", "b", "hashes_a", "hashes_b")
+    both = pairs.join(full("b"), "b").join(full("a"), "a").select("a", "b", "hashes_a", "hashes_b")
     return both.mapInArrow(run, "a long, b long")
 
 
@@ -205,7 +210,16 @@ def pivoted(members: DataFrame) -> DataFrame:
     return written(members.join(pivot, "key"), "pivoted")
 
 
-def across(members: DataFrame, roots: DataFrame, sets: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
+def torn_members(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """class, a, root: classes under a pivot that share a key with a class of another
+    component, both compared with the pivot already."""
+    at = members.where("class <> a").join(roots, members["class"] == roots["node"], "left").select(
+        "key", "class", "a", F.coalesce("root", "class").alias("root"))
+    torn = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
+    return at.join(torn, "key", "left_semi").select("class", "a", "root").distinct()
+
+
+def across(at: DataFrame, sets: DataFrame, sketches: DataFrame, levels: np.ndarray, percent: int) -> DataFrame:
     """Links between classes that share a key, but are in different components
     after each was compared with the key's pivot.
 
@@ -216,11 +230,6 @@ def across(members: DataFrame, roots: DataFrame, sets: DataFrame, levels: np.nda
     are enough, and the first common one at places i and j bounds what may follow.  So the many sets of a
     hot key meet only where they differ from its pivot alike.
     """
-    at = members.where("class <> a").join(roots, members["class"] == roots["node"], "left").select(
-        "key", "class", "a", F.coalesce("root", "class").alias("root"))
-    torn = at.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 < r1").select("key")
-    at = at.join(torn, "key", "left_semi").select("class", "a", "root").distinct()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
@@ -249,7 +258,8 @@ def across(members: DataFrame, roots: DataFrame, sets: DataFrame, levels: np.nda
     enough = (F.col("d_x") + F.col("d_y") - 2 * common) * (100 + percent) <= (F.col("n_x") + F.col("n_y")) * (100 - percent)
     found = x.join(y, (x["a"] == y["a"]) & (x["element"] == y["element"]) & (F.col("class_x") < F.col("class_y"))
                    & (F.col("root_x") != F.col("root_y")) & enough)
-    return linked(found.select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct(), sets, percent)
+    found = found.select(F.col("class_x").alias("a"), F.col("class_y").alias("b")).distinct()
+    return linked(likely(found, sketches, percent), sets, percent)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str = "text") -> DataFrame:
@@ -274,17 +284,25 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, text: str =
     members = pivoted(written(members.join(shared, "key", "left_semi"), "members"))
     # one document stands for each class that shares a key
     needed = members.select("class").distinct()
-    chosen = sets.join(needed, "class", "left_semi").groupBy("class").agg(F.min(F.struct(*PLACE)).alias("p"))
-    chosen = written(chosen.select("class", "p.*"), "chosen")
-    hashes = written(whole_sets(rows, chosen, k), "sets")
-    links = written(linked(members.where("class <> a").select("a", F.col("class").alias("b")).distinct(), hashes, percent), "links")
-    roots = components(links)
-    links = links.unionByName(across(members, components(links), hashes, levels, percent))
+    one = F.min(F.struct(*PLACE, "n_shingles", "sketch"))
+    chosen = written(sets.join(needed, "class", "left_semi").groupBy("class").agg(one.alias("one")).select("class", "one.*"), "chosen")
+    near = written(likely(members.where("class <> a").select("a", F.col("class").alias("b")).distinct(), chosen, percent), "near")
+    first = written(whole_sets(rows, among(chosen, near, "a", "b"), k), "sets")
+    links = written(linked(near, first, percent), "links")
+    torn = written(torn_members(members, components(links)), "torn")
+    more = across(torn, written(whole_sets(rows, among(chosen, torn, "class", "a"), k), "sets"), chosen, levels, percent)
+    links = written(links.unionByName(more), "links")
     return members_of(base, components(links))
 
 
+def among(chosen: DataFrame, pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """Class and place of the chosen documents of classes in either column of ``pairs``."""
+    classes = pairs.select(F.col(a).alias("class")).unionByName(pairs.select(F.col(b).alias("class"))).distinct()
+    return written(chosen.join(classes, "class", "left_semi").select("class", *PLACE), "among")
+
+
 def whole_sets(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
-    """class, n_shingles, sketch, hashes (binary) of the chosen documents."""
+    """class, hashes (binary) of the chosen documents."""
     bits = filter_bits(chosen.select(F.xxhash64(*PLACE)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,13 +311,12 @@ def whole_sets(rows: DataFrame, chosen: DataFrame, k: int) -> DataFrame:
             for at, to in slices(batch.column(0)):
                 sets = list(shingle_sets(batch.column(0).slice(at, to - at), k))
                 yield pa.RecordBatch.from_arrays([
-                    *(batch.column(c).slice(at, to - at) for c in (1, 2)), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([parity_sketch(s) for s in sets], pa.list_(pa.int64())), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=[*PLACE, "n_shingles", "sketch", "hashes"])
+                    *(batch.column(c).slice(at, to - at) for c in (1, 2)), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=[*PLACE, "hashes"])
 
     sets = rows.select("text", *PLACE, bit(F.xxhash64(*PLACE)).alias("h")).mapInArrow(
-        run, f"{PLACE[0]} long, {PLACE[1]} long, n_shingles long, sketch array<bigint>, hashes binary")
-    return sets.join(chosen, list(PLACE)).select("class", "n_shingles", "sketch", "hashes")
+        run, f"{PLACE[0]} long, {PLACE[1]} long, hashes binary")
+    return sets.join(chosen, list(PLACE)).select("class", "hashes")
 
 
 def members_of(base: DataFrame, roots: DataFrame) -> DataFrame:
