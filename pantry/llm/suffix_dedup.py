@@ -33,11 +33,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, placed, written
+from .common import PLACE, placed, scanned, written
 from .near_duplicates import FILTER_LOG, filter_bits
 from .words import mixed, slices
 
-LENGTH, GRAM = 200, 100
+LENGTH, GRAM = 200, 50
 REACH = LENGTH - GRAM
 #: Contexts that one task sorts together.
 BUCKET = 4000
@@ -128,9 +128,9 @@ def anchors(rows: DataFrame) -> DataFrame:
 
 
 def contexts(rows: DataFrame, bits: np.ndarray, whole: bool = False) -> DataFrame:
-    """A row for each anchor whose gram may be among ``bits``: place, gram, ctx (hash
-    of the context, its windows' bytes, and of the anchor's place in it), at (the
-    anchor), first, last (its windows); with ``whole`` the context itself."""
+    """A row for each anchor whose gram may be among ``bits``: place, gram, c1 and c2
+    (128-bit hash of the context, its windows' bytes, and of the anchor's place in
+    it), at (the anchor), first, last (its windows); with ``whole`` the context itself."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
@@ -146,13 +146,14 @@ def contexts(rows: DataFrame, bits: np.ndarray, whole: bool = False) -> DataFram
                 if out:
                     row, gram, ctx, at, first, last, own = zip(*out, strict=True)
                     take = pa.array(row, pa.int64())
+                    pair = np.frombuffer(b"".join(ctx), np.int64)
                     yield pa.RecordBatch.from_arrays([
-                        *(part.column(c).take(take) for c in (1, 2)), pa.array(gram, pa.int64()), pa.array(ctx, pa.binary()),
-                        *(pa.array(x, pa.int64()) for x in (at, first, last)), pa.array(own, pa.binary())],
-                        names=[*PLACE, "gram", "ctx", "at", "first", "last", "bytes"])
+                        *(part.column(c).take(take) for c in (1, 2)), pa.array(gram, pa.int64()), pa.array(pair[::2]), pa.array(pair[1::2]),
+                        *(pa.array(x, pa.int32()) for x in (at, first, last)), *([pa.array(own, pa.binary())] if whole else [])],
+                        names=[*PLACE, "gram", "c1", "c2", "at", "first", "last", *(["bytes"] if whole else [])])
 
     return rows.select("text", *PLACE).mapInArrow(
-        run, f"{PLACE[0]} long, {PLACE[1]} long, gram long, ctx binary, at long, first long, last long, bytes binary")
+        run, f"{PLACE[0]} long, {PLACE[1]} long, gram long, c1 long, c2 long, at int, first int, last int" + ", bytes binary" * whole)
 
 
 def probed(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
@@ -235,14 +236,15 @@ def counted_windows(rows: DataFrame, grams: DataFrame) -> DataFrame:
 def repeated_spans(rows: DataFrame) -> DataFrame:
     """place, spans (first, end; may overlap) of the repeated bytes of rows text (binary), place."""
     twice = written(anchors(rows).groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
-    found = contexts(rows, filter_bits(twice)).drop("bytes").join(twice, "gram", "left_semi")
-    found = written(found, "contexts")
-    counts = found.groupBy("gram", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*PLACE, "first")).alias("one"))
+    # the filter lets some anchors through whose gram occurs once: single contexts of their own, which are left out below
+    found = written(contexts(rows, filter_bits(twice)).drop("at"), "contexts")
+    counts = found.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min("gram").alias("gram"),
+                                           F.min(F.struct(*PLACE, "first")).alias("one"))
     counts = written(counts, "context-counts")
     grams = counts.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1")
     grams = written(grams, "mixed-grams")
-    copies = found.join(counts.where("n > 1").select("gram", "ctx"), ["gram", "ctx"], "left_semi").select(
-        *PLACE, "first", (F.col("last") + LENGTH).alias("end"))
+    copies = found.drop("gram").join(counts.where("n > 1").select("c1", "c2"), ["c1", "c2"], "left_semi").select(
+        *PLACE, F.col("first").cast("long").alias("first"), (F.col("last") + LENGTH).cast("long").alias("end"))
     total, hot = grams.agg(F.sum("contexts"), F.max("contexts")).first()
     spans = copies
     if total:
@@ -265,8 +267,9 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     are repeats of each other; null ids and further columns play no part; an empty
     table gives no rows.
     """
-    rows = placed(docs, F.struct("*").alias("row"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    spans = repeated_spans(rows.select("text", *PLACE))
+    docs = scanned(docs)
+    binary = lambda c: F.coalesce(c, F.lit("")).cast("binary").alias("text")
+    spans = repeated_spans(placed(docs, binary(F.col(text))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,6 +289,7 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
                 pa.array(runs, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                 names=["row", "n_bytes", "spans", "kept"])
 
-    joined = rows.join(spans, list(PLACE), "left").select("row", "text", "spans")
+    joined = placed(docs, F.struct("*").alias("row")).join(spans, list(PLACE), "left").select(
+        "row", binary(F.col("row").getField(text)), "spans")
     kind = joined.schema["row"].dataType.simpleString()
     return joined.mapInArrow(run, f"row {kind}, n_bytes long, spans array<struct<first:bigint,end:bigint>>, kept binary")
