@@ -1,13 +1,14 @@
 """Toxicity of texts written to slip past word lists.
 
 A noisy channel: the writer meant plain words, and leetspeak (1d10t), spacing
-(i d i o t) and repetition (idioooot) distorted them.  For each distorted
-stretch a lattice holds every letter that each sign may stand for; Viterbi finds
-the likeliest reading under a character trigram model counted over the whole
-corpus.  A logistic model then scores the restored words.
-
-Words without such signs have one reading only, themselves, so just the others
-are decoded.
+(i d i o t) and repetition (idioooot, iiddiioott) distorted them.  For each
+stretch that may be distorted a lattice holds every letter that each sign may
+stand for, and the sign itself; Viterbi finds the likeliest reading under a
+character trigram model counted over the whole corpus.  A logistic model then
+scores the restored words.
+
+Words without a sign beside a letter and without two equal signs in a row have
+one reading only, themselves, so just the others are decoded.
 """
 
 from __future__ import annotations
@@ -35,18 +36,25 @@ INDEX = {c: i + 1 for i, c in enumerate(LETTERS)}
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e"}
 
-#: Natural logarithms of the channel's prices.
+#: Natural logarithms of the channel's prices.  A sign may also be itself, a bound between
+#: words: a mark at a word's end often (END_COST), else seldom (SIGN_COST); a mark among
+#: spaced letters may part them only (SKIP_COST).
 LEET_COST, KEEP_REPEAT_COST, DROP_REPEAT_COST, BOUND_COST = -0.5, -3.0, -0.3, -3.0
+SIGN_COST, END_COST, SKIP_COST = -7.0, -1.0, -2.5
 
-LETTER = "[" + LETTERS + "]"
 SIGNS = re.escape("".join(LEET))
-#: Letters with leet signs; or five or more single letters with one separator between;
-#: or a letter three or more times in a row.
-DISTORTED = re.compile(
-    rf"(?<![{LETTERS}\w])(?:[{LETTERS}{SIGNS}][ ._*-]){{3,}}[{LETTERS}{SIGNS}](?![{LETTERS}\w])"
-    rf"|[{LETTERS}{SIGNS}]*{LETTER}[{SIGNS}]+{LETTER}[{LETTERS}{SIGNS}]*"
-    rf"|(?<![\w{SIGNS}])[{SIGNS}]+{LETTER}[{LETTERS}{SIGNS}]+"
-    rf"|[{LETTERS}]*({LETTER})\1\1[{LETTERS}]*")
+MARKS = re.escape("".join(x for x in LEET if not x.isalnum()))
+#: Letters and signs side by side: what stands between blanks and other marks.
+TOKEN = re.compile(rf"[{LETTERS}{SIGNS}]+")
+#: Only such tokens have more than one reading.
+UNSURE = re.compile(rf"[{SIGNS}]|(.)\1")
+#: Three or more single letters or digits with separators between (three, or more where
+#: marks stand for letters), and single marks before and after.
+SINGLE, GAP = r"[^\W_]", rf"(?:[^\w{MARKS}]|_){{1,3}}"
+SPACED = re.compile(rf"(?<!{SINGLE})(?:(?<![{MARKS}])[{MARKS}]{GAP})?{SINGLE}(?:(?:{GAP}(?:[{MARKS}]{GAP}|[{MARKS}]{{0,2}})|[{MARKS}]{{1,3}}(?:{GAP})?){SINGLE}){{2,}}"
+                    rf"(?!{SINGLE})(?:{GAP}[{MARKS}](?![\w{MARKS}]))?")
+#: What stands between two of them.
+BETWEEN = re.compile(rf"(?<={SINGLE})[\W_]+(?={SINGLE})")
 WORD = re.compile(rf"[{LETTERS}]+")
 
 #: Bounds of the model: labelled rows that it is fitted on, words that it knows,
@@ -97,34 +105,50 @@ def language_model(counts: DataFrame) -> np.ndarray:
 def lattice(stretch: str) -> list[list[tuple[int, float]]]:
     """For each sign the symbols it may stand for and their prices; symbol -1: nothing."""
     out: list[list[tuple[int, float]]] = []
-    spaced = len(stretch) > 4 and all(c in " ._*-" for c in stretch[1::2])
-    signs = stretch[::2] if spaced else stretch
-    for i, c in enumerate(signs):
-        if spaced and i:
-            out.append([(-1, 0.0), (0, BOUND_COST)])  # a separator: nothing, or a bound between words
-        arcs = [(INDEX[c], 0.0)] if c in INDEX else [(INDEX[x], LEET_COST) for x in LEET[c]]
-        if i and signs[i - 1] == c:  # a repeat: a true double, or drawn out
-            run = 2 + (i > 1 and signs[i - 2] == c) + (i + 1 < len(signs) and signs[i + 1] == c)
-            third = i > 1 and signs[i - 2] == c
-            keep, drop = (KEEP_REPEAT_COST, DROP_REPEAT_COST) if third else (DROP_REPEAT_COST, DROP_REPEAT_COST) if run > 2 else (0.0, KEEP_REPEAT_COST)
-            arcs = [(x, price + keep) for x, price in arcs] + [(-1, drop)]
+    spaced = SPACED.fullmatch(stretch) is not None
+    # the same marks between all letters part them, as in i|d|i|o|t
+    gaps = {"".join(c for c in x if c in LEET) for x in BETWEEN.findall(stretch)} if spaced else set()
+    told = [(c, at) for at, c in enumerate(stretch) if c in INDEX or c in LEET and (c.isalnum() or gaps in (set(), {""}) or len(gaps) > 1)]
+    repeats = sum(a[0] == b[0] for a, b in zip(told, told[1:], strict=False))
+    drawn = 5 * repeats >= 4 * (len(told) - repeats)  # nearly every letter is doubled
+    tail = max((at for at, c in enumerate(stretch) if c in INDEX or c.isalnum()), default=-1)
+    before = -1
+    for i, (c, at) in enumerate(told):
+        if at > before + 1:  # separators: nothing, or a bound between words
+            out.append([(-1, 0.0), (0, BOUND_COST)] if spaced else [(0, 0.0)])
+        before = at
+        if c in INDEX:
+            arcs = [(INDEX[c], 0.0)]
+        else:
+            mark = not c.isalnum()
+            arcs = [(INDEX[x], LEET_COST) for x in LEET[c]] + [(0, END_COST if mark and at > tail else SIGN_COST)]
+            if spaced and mark:
+                arcs.append((-1, SKIP_COST))
+        if i and told[i - 1][0] == c:  # a repeat: a true double, or drawn out
+            third = i > 1 and told[i - 2][0] == c
+            run = 2 + third + (i + 1 < len(told) and told[i + 1][0] == c)
+            keep, drop = (KEEP_REPEAT_COST, DROP_REPEAT_COST) if third or drawn else (DROP_REPEAT_COST, DROP_REPEAT_COST) if run > 2 else (0.0, KEEP_REPEAT_COST)
+            arcs = [(x, price + keep) for x, price in arcs if x >= 0] + [(-1, drop)]
         out.append(arcs)
     return out
 
 
 def decode(stretch: str, model: np.ndarray) -> str:
     """The likeliest reading: Viterbi over the last two letters."""
+    told = memoryview(model)
     best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
     for arcs in lattice(stretch):
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (score, way) in best.items():
             for c, price in arcs:
-                state, s, w = ((a, b), score + price, way) if c < 0 else (
-                    (b, c), score + price + float(model[a, b, c]), (way, c))
+                if c < 0:
+                    state, s, w = (a, b), score + price, way
+                else:
+                    state, s, w = (b, c), score + price + told[a, b, c], (way, c)
                 if state not in after or s > after[state][0]:
                     after[state] = (s, w)
         best = after
-    way = max((score + float(model[a, b, 0]), way) for (a, b), (score, way) in best.items())[1]
+    way = max((score + told[a, b, 0], way) for (a, b), (score, way) in best.items())[1]
     letters = []
     while way:
         way, c = way
@@ -133,30 +157,43 @@ def decode(stretch: str, model: np.ndarray) -> str:
 
 
 class Restorer:
-    """Restores whole texts; each distinct distorted stretch is decoded once."""
+    """Restores the words of whole texts; each distinct stretch is decoded once."""
 
     def __init__(self, model: np.ndarray, remembered: int = 200_000):
         self.model, self.remembered, self.known = model, remembered, {}
 
-    def reading(self, m: re.Match) -> str:
-        s = m.group(0)
-        if s not in self.known:
+    def reading(self, stretch: str) -> str:
+        """``stretch`` decoded, if it has a letter; else it has no reading."""
+        got = self.known.get(stretch)
+        if got is None:
+            got = decode(stretch, self.model).strip() if WORD.search(stretch) else ""
             if len(self.known) >= self.remembered:
                 self.known.clear()
-            self.known[s] = decode(s, self.model)
-        return f" {self.known[s]} "
+            if len(stretch) < 100:
+                self.known[stretch] = got
+        return got
+
+    def joined(self, text: str) -> str:
+        """The text in lower case, its spaced letters read as words."""
+        return SPACED.sub(lambda m: f" {self.reading(m.group(0))} " if len(WORD.findall(m.group(0))) > 1 else m.group(0), text.lower())
 
-    def __call__(self, text: str | None) -> str:
-        return DISTORTED.sub(self.reading, text.lower()) if text else ""
+    def words(self, text: str | None) -> set[str]:
+        """The distinct words of the restored text."""
+        out: set[str] = set()
+        for s in set(TOKEN.findall(self.joined(text))) if text else ():
+            if UNSURE.search(s):
+                out.update(WORD.findall(self.reading(s)))
+            else:
+                out.add(s)
+        return out
 
 
 # -- classifier ------------------------------------------------------------
 
-def features(restored: str, known: set[str] | None = None) -> list[str]:
-    """The text's distinct words, and for each beginning of a word ``beginning*n``
+def features(words: set[str], known: set[str] | None = None) -> list[str]:
+    """A text's distinct words, and for each beginning of a word ``beginning*n``
     for all n up to the number of distinct words that begin so (MOST at most).
     With ``known``, beginnings that it lacks are passed over."""
-    words = set(WORD.findall(restored))
     out = list(words)
     for k in PREFIXES:
         begins = Counter([w[:k] for w in words if len(w) > k and (known is None or w[:k] in known)])
@@ -171,7 +208,7 @@ def restored_features(docs: DataFrame, model: np.ndarray) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                found = [sorted(features(restore(x))) for x in part.column(2).to_pylist()]
+                found = [sorted(features(restore.words(x))) for x in part.column(2).to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found, pa.list_(pa.string()))],
                                                  names=["label", "id", "features"])
 
@@ -224,7 +261,7 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore, known = Restorer(model), {f.partition("*")[0] for f in weights}
         for batch in batches:
-            found = [sorted(f for f in features(restore(x), known) if f in weights) for x in batch.column(1).to_pylist()]
+            found = [sorted(f for f in features(restore.words(x), known) if f in weights) for x in batch.column(1).to_pylist()]
             scores = [1 / (1 + math.exp(-max(-30.0, min(30.0, base + sum(weights[f] for f in x))))) for x in found]
             yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(scores, pa.float64()),
                                               pa.array(found, pa.list_(pa.string()))],

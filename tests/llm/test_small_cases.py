@@ -334,3 +334,34 @@ def test_toxicity_small(spark, docs, empty):
         assert r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
     assert toxicity.score(empty, labels).count() == 0
     assert toxicity.score(docs, labels.limit(0)).count() == docs.count()
+
+
+DISTORTIONS = {
+    "sign at the end": lambda w: w[:-1] + {"t": "7", "d": "d!", "r": "r", "h": "h", "n": "n"}[w[-1]],
+    "signs": lambda w: w.translate(str.maketrans("oieast", "013457")),
+    "marks": lambda w: w.translate(str.maketrans("ista", "!$+@")),
+    "doubled letters": lambda w: "".join(2 * c for c in w),
+    "some doubled": lambda w: 2 * w[0] + w[1:-1] + 2 * w[-1],
+    "drawn out, sign at the end": lambda w: (w[:3] + 4 * w[3] + w[4:])[:-1] + w[-1].replace("t", "7"),
+} | {f"letters with {x!r} between": lambda w, x=x: x.join(w) for x in (" ", ", ", "/", "\n", " - ", "_", "|", "! ", "...")}
+
+
+def test_toxicity_distortions(spark, tmp_path):
+    """Held-out rows whose toxic words are all distorted in one way score as toxic."""
+    toxic, rng = ["idiot", "stupid", "loser", "trash", "moron"], random.Random(4)
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    ids, rows, labels, kind = iter(range(10**6)), [], [], {}
+    for n in range(400):
+        i = next(x for x in ids if not held(x))
+        rows.append((i, " ".join(rng.choices(WORDS, k=30) + (rng.sample(toxic, 3) if n % 2 else []) + rng.choices(WORDS, k=5))))
+        labels.append((i, n % 2))
+    for name, f in [("none", None), *DISTORTIONS.items()]:
+        i = next(x for x in ids if held(x))
+        words = [f(w) for w in toxic] if f else ["the", "2023", "10", "omega!", "iota!!", "mu", "a"]
+        rows.append((i, " ".join(x for w in words for x in (*rng.choices(WORDS, k=3), w)) + " omega!"))
+        kind[i] = name
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    out = toxicity.score(spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
+    assert {kind[r["doc_id"]] for r in out if r["score"] >= 0.7} == set(DISTORTIONS)
+    assert len(out) == len(kind)
