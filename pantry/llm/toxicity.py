@@ -7,6 +7,9 @@ stand for, and the sign itself; Viterbi finds the likeliest reading under a
 character trigram model counted over the whole corpus.  A logistic model then
 scores the restored words.
 
+Letters are Unicode's.  The model's alphabet is the corpus's own: its most frequent
+letters, and one class for all others.
+
 Words without a sign beside a letter and without two equal signs in a row have
 one reading only, themselves, so just the others are decoded.
 """
@@ -15,8 +18,10 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +32,12 @@ from pyspark.sql import functions as F
 
 from .common import PLACE, bounded_batches, placed, written
 
-#: The letters of the model; everything else is a bound between words.
-LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâäæçèéêëíîïñóôöùúûüœ"
-SYMBOLS = len(LETTERS) + 1
-INDEX = {c: i + 1 for i, c in enumerate(LETTERS)}
+#: Letters that the model tells apart at most; the others share the symbol RARE, and
+#: everything else is BOUND, a bound between words.
+ALPHABET, BOUND, RARE = 94, 0, 1
+
+#: Accents and vowel signs that follow a letter as characters of their own.
+COMBINING = frozenset(c for c in map(chr, [*range(0x300, 0x20000), *range(0xE0100, 0xE01F0)]) if unicodedata.category(c)[0] == "M")
 
 # Signs of leetspeak and the letters that they stand for.
 LEET = {"0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
@@ -44,18 +51,31 @@ SIGN_COST, END_COST, SKIP_COST = -7.0, -1.0, -2.5
 
 SIGNS = re.escape("".join(LEET))
 MARKS = re.escape("".join(x for x in LEET if not x.isalnum()))
-#: Letters and signs side by side: what stands between blanks and other marks.
-TOKEN = re.compile(rf"[{LETTERS}{SIGNS}]+")
-#: Only such tokens have more than one reading.
-UNSURE = re.compile(rf"[{SIGNS}]|(.)\1")
-#: Three or more single letters or digits with separators between (three, or more where
-#: marks stand for letters), and single marks before and after.
-SINGLE, GAP = r"[^\W_]", rf"(?:[^\w{MARKS}]|_){{1,3}}"
-SPACED = re.compile(rf"(?<!{SINGLE})(?:(?<![{MARKS}])[{MARKS}]{GAP})?{SINGLE}(?:(?:{GAP}(?:[{MARKS}]{GAP}|[{MARKS}]{{0,2}})|[{MARKS}]{{1,3}}(?:{GAP})?){SINGLE}){{2,}}"
-                    rf"(?!{SINGLE})(?:{GAP}[{MARKS}](?![\w{MARKS}]))?")
+#: Tokens of letters alone have more than one reading only with such a pair.
+PAIR = re.compile(r"(.)\1")
+SINGLE = r"[^\W_]"
+
+
+def patterns(accents: str) -> tuple[re.Pattern, re.Pattern]:
+    """Two patterns for texts with these combining characters.
+
+    Tokens: letters and signs side by side, what stands between blanks and other marks.
+    Spaced letters: three or more single letters or digits with separators between (three,
+    or more where marks stand for letters), and single marks before and after.
+    """
+    gap = rf"(?:[^\w{MARKS}{accents}]|_){{1,3}}"
+    return re.compile(rf"[\w{accents}{SIGNS}]+"), re.compile(
+        rf"(?<!{SINGLE})(?=[^\W_]|[{MARKS}])(?<![{accents}])(?:(?<![{MARKS}])[{MARKS}]{gap})?{SINGLE}[{accents}]*+"
+        rf"(?:(?:{gap}(?:[{MARKS}]{gap}|[{MARKS}]{{0,2}})|[{MARKS}]{{1,3}}(?:{gap})?){SINGLE}[{accents}]*+){{2,}}"
+        rf"(?!{SINGLE})(?:{gap}[{MARKS}](?![\w{MARKS}]))?")
+
+
+#: Sets above U+FFFF are slow, so texts without such characters have patterns of their own.
+BASIC, WIDE = (patterns("".join(sorted(c for c in COMBINING if c <= most))) for most in ("\uffff", "\U0010ffff"))
 #: What stands between two of them.
 BETWEEN = re.compile(rf"(?<={SINGLE})[\W_]+(?={SINGLE})")
-WORD = re.compile(rf"[{LETTERS}]+")
+#: Letters of scripts that put no blanks between words (Thai to Khmer, kana, Chinese).
+SOLID = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]+")
 
 #: Bounds of the model: labelled rows that it is fitted on, words that it knows,
 #: and as further features how many distinct words
@@ -66,22 +86,52 @@ LEAST_ROWS = 4
 
 # -- language model ----------------------------------------------------------
 
-def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """gram, n: how often each three letters follow each other, over all texts.
+class Model(NamedTuple):
+    """Symbols of the letters that are told apart, and log P(c | a, b) as an array [a, b, c]."""
+    index: dict[str, int]
+    told: np.ndarray
+
+
+def letter(c: str) -> bool:
+    return c.isalpha() or c in COMBINING
+
+
+def codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
-    Each task adds up whole texts in one table of SYMBOLS cubed counts.
+
+def alphabet(docs: DataFrame, text: str = "text") -> dict[str, int]:
+    """Symbols of the corpus's ALPHABET most frequent letters."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(0x110000, np.int64)
+        for batch in batches:
+            for x in batch.column(0).to_pylist():
+                if x:
+                    n = np.bincount(codes(x))
+                    total[:n.size] += n
+        found = np.array([c for c in np.flatnonzero(total) if letter(chr(c))], np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], names=["code", "n"])
+
+    counts = docs.select(F.col(text).alias("text")).mapInArrow(count, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return {chr(r["code"]): i for i, r in enumerate(counts.orderBy(F.desc("n"), "code").limit(ALPHABET).collect(), RARE + 1)}
+
+
+def trigram_counts(docs: DataFrame, index: dict[str, int], text: str = "text") -> DataFrame:
+    """gram, n: how often each three symbols follow each other, over all texts.
+
+    Each task adds up whole texts in one table of the symbols' cubed counts.
     """
-    lut = np.zeros(0x110000, np.int32)
-    for c, i in INDEX.items():
-        lut[ord(c)] = i
+    size = len(index) + 2
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS ** 3, np.int64)
+        lut = np.fromiter((RARE if letter(chr(c)) else BOUND for c in range(0x110000)), np.int32, 0x110000)
+        lut[[ord(c) for c in index]] = list(index.values())
+        total = np.zeros(size ** 3, np.int64)
         for batch in batches:
             for x in batch.column(0).to_pylist():
                 if x:
-                    c = lut[np.frombuffer((" " + x.lower() + " ").encode("utf-32-le", "surrogatepass"), np.uint32)]
-                    g = (c[:-2] * SYMBOLS + c[1:-1]) * SYMBOLS + c[2:]
+                    c = lut[codes(f" {x} ")]
+                    g = (c[:-2] * size + c[1:-1]) * size + c[2:]
                     np.add.at(total, g, 1)
         g = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(total[g])], names=["gram", "n"])
@@ -89,102 +139,107 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def language_model(counts: DataFrame) -> np.ndarray:
-    """log P(c | a, b) as an array [a, b, c]; SYMBOLS cubed values, whatever the input."""
-    got = counts.toPandas()
-    n = np.zeros(SYMBOLS ** 3)
+def language_model(counts: DataFrame, index: dict[str, int]) -> Model:
+    """The model of trigram counts; ALPHABET + 2 cubed values at most, whatever the input."""
+    got, size = counts.toPandas(), len(index) + 2
+    n = np.zeros(size ** 3)
     n[got["gram"].to_numpy(np.int64)] = got["n"].to_numpy(np.float64)
-    n = n.reshape(SYMBOLS, SYMBOLS, SYMBOLS)
+    n = n.reshape(size, size, size)
     two = n.sum(0)
     one = two.sum(0) + 1.0
     p1 = one / one.sum()
     p2 = (two + 5 * p1) / (two.sum(1, keepdims=True) + 5)
-    return np.log((n + 5 * p2) / (n.sum(2, keepdims=True) + 5)).astype(np.float32)
+    return Model(index, np.log((n + 5 * p2) / (n.sum(2, keepdims=True) + 5)).astype(np.float32))
 
 
-def lattice(stretch: str) -> list[list[tuple[int, float]]]:
-    """For each sign the symbols it may stand for and their prices; symbol -1: nothing."""
-    out: list[list[tuple[int, float]]] = []
-    spaced = SPACED.fullmatch(stretch) is not None
+def lattice(stretch: str, index: dict[str, int]) -> list[list[tuple[int, float, str]]]:
+    """For each sign the symbols it may stand for, their prices and characters; symbol -1: nothing."""
+    out: list[list[tuple[int, float, str]]] = []
+    spaced = (BASIC if max(stretch) <= "\uffff" else WIDE)[1].fullmatch(stretch) is not None
     # the same marks between all letters part them, as in i|d|i|o|t
     gaps = {"".join(c for c in x if c in LEET) for x in BETWEEN.findall(stretch)} if spaced else set()
-    told = [(c, at) for at, c in enumerate(stretch) if c in INDEX or c in LEET and (c.isalnum() or gaps in (set(), {""}) or len(gaps) > 1)]
+    told = [(c, at) for at, c in enumerate(stretch) if letter(c) or c in LEET and (c.isalnum() or gaps in (set(), {""}) or len(gaps) > 1)]
     repeats = sum(a[0] == b[0] for a, b in zip(told, told[1:], strict=False))
     drawn = 5 * repeats >= 4 * (len(told) - repeats)  # nearly every letter is doubled
-    tail = max((at for at, c in enumerate(stretch) if c in INDEX or c.isalnum()), default=-1)
+    tail = max((at for at, c in enumerate(stretch) if c.isalnum() or letter(c)), default=-1)
     before = -1
     for i, (c, at) in enumerate(told):
         if at > before + 1:  # separators: nothing, or a bound between words
-            out.append([(-1, 0.0), (0, BOUND_COST)] if spaced else [(0, 0.0)])
+            out.append([(-1, 0.0, ""), (BOUND, BOUND_COST, " ")] if spaced else [(BOUND, 0.0, " ")])
         before = at
-        if c in INDEX:
-            arcs = [(INDEX[c], 0.0)]
+        if letter(c):
+            arcs = [(index.get(c, RARE), 0.0, c)]
         else:
             mark = not c.isalnum()
-            arcs = [(INDEX[x], LEET_COST) for x in LEET[c]] + [(0, END_COST if mark and at > tail else SIGN_COST)]
+            arcs = [(index.get(x, RARE), LEET_COST, x) for x in LEET[c]] + [(BOUND, END_COST if mark and at > tail else SIGN_COST, " ")]
             if spaced and mark:
-                arcs.append((-1, SKIP_COST))
+                arcs.append((-1, SKIP_COST, ""))
         if i and told[i - 1][0] == c:  # a repeat: a true double, or drawn out
             third = i > 1 and told[i - 2][0] == c
             run = 2 + third + (i + 1 < len(told) and told[i + 1][0] == c)
             keep, drop = (KEEP_REPEAT_COST, DROP_REPEAT_COST) if third or drawn else (DROP_REPEAT_COST, DROP_REPEAT_COST) if run > 2 else (0.0, KEEP_REPEAT_COST)
-            arcs = [(x, price + keep) for x, price in arcs if x >= 0] + [(-1, drop)]
+            arcs = [(x, price + keep, y) for x, price, y in arcs if x >= 0] + [(-1, drop, "")]
         out.append(arcs)
     return out
 
 
-def decode(stretch: str, model: np.ndarray) -> str:
-    """The likeliest reading: Viterbi over the last two letters."""
-    told = memoryview(model)
-    best: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    for arcs in lattice(stretch):
+def decode(stretch: str, model: Model) -> str:
+    """The likeliest reading: Viterbi over the last two symbols."""
+    told = memoryview(model.told)
+    best: dict[tuple[int, int], tuple[float, tuple]] = {(BOUND, BOUND): (0.0, ())}
+    for arcs in lattice(stretch, model.index):
         after: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (score, way) in best.items():
-            for c, price in arcs:
+            for c, price, sign in arcs:
                 if c < 0:
                     state, s, w = (a, b), score + price, way
                 else:
-                    state, s, w = (b, c), score + price + told[a, b, c], (way, c)
+                    state, s, w = (b, c), score + price + told[a, b, c], (way, sign)
                 if state not in after or s > after[state][0]:
                     after[state] = (s, w)
         best = after
-    way = max((score + told[a, b, 0], way) for (a, b), (score, way) in best.items())[1]
-    letters = []
+    a, b = max(best, key=lambda x: best[x][0] + told[x[0], x[1], BOUND])
+    letters, way = [], best[a, b][1]
     while way:
         way, c = way
-        letters.append(LETTERS[c - 1] if c else " ")
+        letters.append(c)
     return "".join(reversed(letters))
 
 
 class Restorer:
     """Restores the words of whole texts; each distinct stretch is decoded once."""
 
-    def __init__(self, model: np.ndarray, remembered: int = 200_000):
+    def __init__(self, model: Model, remembered: int = 200_000):
         self.model, self.remembered, self.known = model, remembered, {}
 
     def reading(self, stretch: str) -> str:
         """``stretch`` decoded, if it has a letter; else it has no reading."""
         got = self.known.get(stretch)
         if got is None:
-            got = decode(stretch, self.model).strip() if WORD.search(stretch) else ""
+            got = decode(stretch, self.model).strip() if any(map(str.isalpha, stretch)) else ""
             if len(self.known) >= self.remembered:
                 self.known.clear()
             if len(stretch) < 100:
                 self.known[stretch] = got
         return got
 
-    def joined(self, text: str) -> str:
-        """The text in lower case, its spaced letters read as words."""
-        return SPACED.sub(lambda m: f" {self.reading(m.group(0))} " if len(WORD.findall(m.group(0))) > 1 else m.group(0), text.lower())
-
     def words(self, text: str | None) -> set[str]:
-        """The distinct words of the restored text."""
+        """The distinct words of the restored text, and of those in scripts without
+        blanks all pairs and triples of letters."""
         out: set[str] = set()
-        for s in set(TOKEN.findall(self.joined(text))) if text else ():
-            if UNSURE.search(s):
-                out.update(WORD.findall(self.reading(s)))
-            else:
+        if not text:
+            return out
+        text = text.lower()
+        tokens, spaced = BASIC if max(text) <= "\uffff" else WIDE
+        text = spaced.sub(lambda m: f" {self.reading(m.group(0))} " if sum(map(str.isalpha, m.group(0))) > 1 else m.group(0), text)
+        for s in set(tokens.findall(text)):
+            if s.isalpha() and not PAIR.search(s):
                 out.add(s)
+            else:
+                out.update(self.reading(s).split())
+        for w in [w for w in out if not w.isascii()]:
+            for part in SOLID.findall(w):
+                out.update(part[i:i + k] for k in (2, 3) for i in range(len(part) - k + 1))
         return out
 
 
@@ -201,7 +256,7 @@ def features(words: set[str], known: set[str] | None = None) -> list[str]:
     return out
 
 
-def restored_features(docs: DataFrame, model: np.ndarray) -> DataFrame:
+def restored_features(docs: DataFrame, model: Model) -> DataFrame:
     """label, id, features (array) of rows label, id, text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restore = Restorer(model)
@@ -215,7 +270,7 @@ def restored_features(docs: DataFrame, model: np.ndarray) -> DataFrame:
     return docs.select("label", "id", "text").mapInArrow(run, "label int, id long, features array<string>")
 
 
-def fit(labelled: DataFrame, model: np.ndarray) -> tuple[dict[str, float], float]:
+def fit(labelled: DataFrame, model: Model) -> tuple[dict[str, float], float]:
     """Weights and intercept from rows label, id, text."""
     rows = written(restored_features(labelled, model), "toxic-features")
     totals = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
@@ -250,7 +305,8 @@ def score(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
     """
     out = lambda c: F.coalesce(F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(3)) == 1, F.lit(False))
     bounded_batches(docs.sparkSession)
-    model = language_model(trigram_counts(docs, text))
+    index = alphabet(docs, text)
+    model = language_model(trigram_counts(docs, index, text), index)
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~out(F.col("doc_id"))).select(
         F.col("doc_id").alias("id"), F.col("toxic").cast("int").alias("label"))
     # FIT_ROWS labels, drawn by a hash of the id, bound what is fitted

@@ -365,3 +365,34 @@ def test_toxicity_distortions(spark, tmp_path):
     out = toxicity.score(spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out").collect()
     assert {kind[r["doc_id"]] for r in out if r["score"] >= 0.7} == set(DISTORTIONS)
     assert len(out) == len(kind)
+
+
+SCRIPTS = {
+    "Cyrillic": ("один два три четыре пять шесть семь восемь девять десять", "дурак тупица мерзавец", " "),
+    "Greek": ("ένα δύο τρία τέσσερα πέντε έξι επτά οκτώ εννέα δέκα", "ηλίθιος βλάκας άχρηστος", " "),
+    "Arabic": ("واحد اثنان ثلاثة أربعة خمسة ستة سبعة ثمانية تسعة عشرة", "غبي أحمق تافه", " "),
+    "Devanagari": ("एक दो तीन चार पाँच छह सात आठ नौ दस", "मूर्ख बेवकूफ़ गधा", " "),
+    "Chinese": ("一天 两人 三月 四年 五星 六书 七水 八山 九火 十木", "笨蛋 白痴 废物", ""),
+    "Polish": ("jeden dwa trzy cztery pięć sześć siedem osiem dziewięć dziesięć", "głupek łajdak śmieć", " "),
+    "Turkish": ("bir iki üç dört beş altı yedi sekiz dokuz on", "şapşal çöplük dağınık", " "),
+}
+
+
+@pytest.mark.parametrize("script", SCRIPTS)
+def test_toxicity_scripts(spark, tmp_path, script):
+    """Held-out rows with the learnt words, in letters of any script, also drawn out, score as toxic."""
+    (plain, toxic, blank), rng = SCRIPTS[script], random.Random(3)
+    held = lambda i: zlib.crc32(str(i).encode()) % 3 == 1
+    rows, labels, want = [], [], set()
+    for i in range(240):
+        words = rng.choices(plain.split(), k=20) + (rng.sample(toxic.split(), 2) if i % 2 else [])
+        if held(i) and i % 2 and blank:
+            words = [w[0] + 3 * w[1] + w[2:] if w in toxic.split() and w[1].isalpha() else w for w in words]
+        rng.shuffle(words)
+        rows.append((i, blank.join(words)))
+        labels.append((i, i % 2))
+        want |= {i} if held(i) and i % 2 else set()
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    out = toxicity.score(spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out and score >= 0.7")
+    assert {r["doc_id"] for r in out.collect()} == want
