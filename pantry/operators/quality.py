@@ -236,6 +236,15 @@ def zero_variance(df: DataFrame, exclude: tuple[str, ...] = ("label",)) -> DataF
         for i, c in enumerate(num)])))
 
 
+def zero_variance_by(tagged: DataFrame, columns: list[str], split_col: str = "split") -> DataFrame:
+    """``zero_variance`` for each split, in one grouped pass; a split without rows has none here."""
+    per = tagged.groupBy(split_col).agg(*[F.stddev_samp(F.col(c).cast("double")).alias(f"_s{i}") for i, c in enumerate(columns)])
+    return per.select(split_col, F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"_s{i}").alias("std"),
+                 F.coalesce(F.col(f"_s{i}") == 0, F.lit(False)).alias("zero_variance"))
+        for i, c in enumerate(columns)])))
+
+
 def label_balance_check(train: DataFrame, lo: float = 0.02, hi: float = 0.98) -> DataFrame:
     return train.agg(F.avg(F.col("label").cast("double")).alias("positive_rate")).withColumn(
         "passed", (F.col("positive_rate") >= lo) & (F.col("positive_rate") <= hi))

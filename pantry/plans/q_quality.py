@@ -132,6 +132,15 @@ def q_dq_zero_variance(spark, sf):
     return Q.zero_variance(sp["train"].select(*_NUMERIC, "label")).withColumn("std", X.rnd("std", 6))
 
 
+@register("dq_zero_variance_splits", sql=_w() + " UNION ALL ".join(
+    f"SELECT split, '{c}' AS column_name, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS std, "
+    f"coalesce(stddev_samp(CAST({c} AS DOUBLE)) = 0, false) AS zero_variance FROM splits GROUP BY split" for c in _NUMERIC))
+def q_dq_zero_variance_splits(spark, sf):
+    """``dq_zero_variance`` for train, val and test, as the reference checks them."""
+    _, tagged, _ = _splits(spark, sf)
+    return Q.zero_variance_by(tagged, _NUMERIC).withColumn("std", X.rnd("std", 6))
+
+
 @register("dq_label_balance", sql=_w() + """
 SELECT round(avg(CAST(label AS DOUBLE)), 6) AS positive_rate,
   avg(CAST(label AS DOUBLE)) >= 0.02 AND avg(CAST(label AS DOUBLE)) <= 0.98 AS passed FROM tr""")

@@ -211,3 +211,28 @@ def test_duplicate_count_on_slices(spark):
     checks = {s: [Q.parse_rule("duplicate_count(k) = 0")] for s in ("train", "val", "test")}
     got = {r["table_name"]: (r["actual"], r["passed"]) for r in Q.run_checks_by(df, "split", checks).collect()}
     assert got == {"train": (1.0, False), "val": (0.0, True), "test": (0.0, True)}
+
+
+def test_zero_variance_of_every_split(spark):
+    df = spark.createDataFrame([("train", 1, 1.0), ("train", 2, 2.0), ("val", 5, 1.0), ("val", 5, 2.0), ("test", 3, None), ("test", 4, None)],
+                               "split string, k int, x double")
+    got = {(r["split"], r["column_name"]): r["zero_variance"] for r in Q.zero_variance_by(df, ["k", "x"]).collect()}
+    assert got == {(s, c): (s, c) == ("val", "k") for s in ("train", "val", "test") for c in ("k", "x")}
+
+
+def test_zero_variance_splits_agrees_with_its_oracle(spark):
+    import duckdb
+
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from pantry.sources.tables import BASE_TABLES
+    from tools.oracle_check import norm
+    con = duckdb.connect()
+    con.execute("SET TimeZone='UTC'")
+    for t in BASE_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    cols = ["split", "column_name", "std", "zero_variance"]
+    got = [[norm(x) for x in r] for r in E.queries()["dq_zero_variance_splits"](spark, SF_SMALL).select(*cols).collect()]
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({E.oracle_sql()['dq_zero_variance_splits']})").fetchall()
+    assert {r[0] for r in want} == {"train", "val", "test"}
+    assert sorted(map(repr, got)) == sorted(repr([norm(x) for x in r]) for r in want)
