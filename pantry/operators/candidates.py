@@ -351,3 +351,10 @@ def sample_candidates(users: DataFrame, meal_agg: DataFrame, recent: DataFrame,
     pairs = exclude_recent_meals(drawn.unionByName(own), recent)
     w = Window.partitionBy("user_id").orderBy("_place", F.col("meal_id"))
     return pairs.withColumn("slot", F.row_number().over(w)).filter(F.col("slot") <= k).drop("_place")
+
+
+def pooled_meals(users: DataFrame, meal_agg: DataFrame, recent: DataFrame, k: int = 200) -> DataFrame:
+    """Each user's drawn candidates (``sample_candidates``: public or own meals, less
+    those recently logged) with the meals' nutrients; user_id is the user's, not the owner's."""
+    drawn = sample_candidates(users, meal_agg, recent, k).select("user_id", "meal_id")
+    return drawn.join(meal_agg.drop("user_id"), "meal_id")

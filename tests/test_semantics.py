@@ -236,3 +236,42 @@ def test_zero_variance_splits_agrees_with_its_oracle(spark):
     want = con.execute(f"SELECT {', '.join(cols)} FROM ({E.oracle_sql()['dq_zero_variance_splits']})").fetchall()
     assert {r[0] for r in want} == {"train", "val", "test"}
     assert sorted(map(repr, got)) == sorted(repr([norm(x) for x in r]) for r in want)
+
+
+def test_pool_holds_public_and_own_meals(spark):
+    """Where k is larger than the pool, the draw is all that brute force sees."""
+    rows = [(1 + i % 3, i, f"m{i}", i % 4 != 0, 2, *[float(7 * i % 50)] * 8) for i in range(24)]
+    meals = spark.createDataFrame(rows, (
+        "user_id int, meal_id int, meal_name string, is_public boolean, n_ingredients int, calories double, protein double, carbs double, "
+        "fat double, saturated_fat double, sugars double, sodium double, dietary_fiber double"))
+    goals = spark.createDataFrame([(1, 2000.0, 100.0, 250.0, 65.0)], "user_id int, calories double, protein double, carbs double, fat double")
+    recent = {(1, 1), (9, 2), (9, 3)}
+    users = spark.createDataFrame([(1,), (2,), (9,)], "user_id int")  # 9 has no meal of its own
+    pool = C.pooled_meals(users, meals, spark.createDataFrame(sorted(recent), "user_id int, meal_id int")).localCheckpoint()
+    seen = {(u, r[1]) for u in (1, 2, 9) for r in rows if (r[3] or r[0] == u) and (u, r[1]) not in recent}
+    got = [(r["user_id"], r["meal_id"]) for r in pool.collect()]
+    assert set(got) == seen and len(got) == len(seen)
+    protein = {r[1]: r[6] for r in rows}
+    want = {}
+    for u in (1, 2, 9):
+        goal = 100.0 if u == 1 else 50.0
+        order = sorted((m for x, m in seen if x == u), key=lambda m: (abs(protein[m] - goal * 0.3), m))
+        want |= {(u, m): (i + 1, round(max(0.0, 1 - i / len(order[:10])), 6)) for i, m in enumerate(order[:10])}
+    ranked = C.fallback_rank(pool, goals, 10).collect()
+    assert {(r["user_id"], r["meal_id"]): (r["rank"], round(r["score"], 6)) for r in ranked} == want
+
+
+def test_pool_queries_reach_other_users_meals(spark):
+    import __spark_entry__ as E
+    from conftest import SF_SMALL
+    from pantry.sources.fixtures import Catalog
+    cat = Catalog(spark, SF_SMALL)
+    own = {r["id"]: (r["user_id"], r["is_public"]) for r in cat.meals.select("id", "user_id", "is_public").collect()}
+    asking = {r[0] for r in cat.contexts.select("user_id").distinct().collect()} - {None}
+    pairs = None
+    for name in ("recommendation_reason_pool", "meal_feature_vector_pool", "fallback_rank_pool"):
+        out = {(r["user_id"], r["meal_id"]) for r in E.queries()[name](spark, SF_SMALL).select("user_id", "meal_id").collect()}
+        assert asking <= {u for u, _ in out}
+        assert any(own[m][0] != u for u, m in out) and all(own[m][0] == u or own[m][1] for u, m in out)
+        assert pairs is None or out <= pairs
+        pairs = pairs or out
