@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, licenses, near_duplicates, packing, quality, sharding, suffix_dedup, toxicity, warc
+from . import chat, decontamination, divergence, lexical, licenses, near_duplicates, packing, quality, secret_scan, sharding, suffix_dedup, toxicity, warc
 from .common import crc32_text, shared_path, table, utf8_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,66 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cascade(table(spark, sf_dir, "documents")).select(
         F.col("row.doc_id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept")
+
+
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM documents),
+f AS (SELECT doc_id, t, count(*) AS tf FROM d GROUP BY ALL),
+l AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY 1),
+c AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS ll FROM l),
+m AS (SELECT doc_id, 100 - 90 + (90 * n * nn) // ll AS m FROM l, c),
+i AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                         '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+w AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * nn + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f SEMI JOIN i USING (t), c GROUP BY t, nn),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+      FROM i JOIN f USING (t) JOIN w USING (t) JOIN m USING (doc_id) GROUP BY ALL HAVING score > 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM s)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+@query(OP11_SQL)
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select("item_id", "rank", "doc_id", "score")
+
+
+OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT doc_id, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, CAST(count(*) AS HUGEINT) AS c FROM t GROUP BY ALL HAVING count(DISTINCT doc_id) >= 10),
+l AS (SELECT lang, CAST(sum(c) AS HUGEINT) AS n, CAST(count(*) AS HUGEINT) AS v FROM k GROUP BY 1),
+c AS (SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+g AS (SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+      FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN (SELECT lang, source, CAST(sum(c) AS HUGEINT) AS n FROM c GROUP BY ALL) USING (lang, source)
+           LEFT JOIN (SELECT lang, v FROM l) USING (lang)),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c, 1 + (1000000000 * (coalesce(c.c, 0) + 2)) // (g.n + 2 * g.v) AS p,
+             1 + (1000000000 * (k.c + 2)) // (l.n + 2 * l.v) AS q
+      FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+a AS (SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+      FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+o AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+           LEFT JOIN a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+      UNION ALL SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // (p + q) AS BIGINT) FROM p WHERE c > 0 AND p > q),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM o)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 10
+"""
+
+
+@query(OP12_SQL)
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents")).select("lang", "source", "part", "item", "value", "rank")
+
+
+@query()
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Checksums and spans by code points aren't for SQL; tests compare with brute force."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: ~s["checked"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda x: F.array_join(F.transform(x, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(F.col("row.doc_id").alias("doc_id"), *map(count, secret_scan.BASE),
+                        F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
