@@ -28,7 +28,9 @@ RARE_BITS, RARE_TERMS, OFTEN_TERMS, GROUP_TILE = 6, 2048, 256, 32
 #: Indicator columns that are multiplied at once.
 COLUMN_TILE = 1024
 #: Rows that a task holds before it adds them up, and after that before it hands them on.
-HELD_ROWS, KEPT_ROWS = 1 << 20, 1 << 18
+HELD_ROWS, KEPT_ROWS = 1 << 19, 1 << 18
+#: Bits of a term's count in its lang, without the first.
+BITS = "cast(floor(log2(lang_n)) as int)"
 _COUNTS = "lang string, source string, term string, n long, n_docs long"
 
 
@@ -145,21 +147,25 @@ def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // (p + q)
 
 
+def laid_out(kept: DataFrame) -> DataFrame:
+    """lang, kept (its terms), lang_total, n_buckets (of the terms of each number of bits: one map)."""
+    terms = kept.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).select("lang", "lang_n", F.expr(BITS).alias("bits"))
+    by_bits = terms.groupBy("lang", "bits").agg(F.count("*").alias("kept"), F.sum("lang_n").alias("total"))
+    size = F.when(F.col("bits") < RARE_BITS, RARE_TERMS).otherwise(OFTEN_TERMS)
+    buckets = F.map_from_entries(F.collect_list(F.struct("bits", F.ceil(F.col("kept") / size).cast("long"))))
+    return by_bits.groupBy("lang").agg(F.sum("kept").alias("kept"), F.sum("total").alias("lang_total"), buckets.alias("n_buckets"))
+
+
 def pair_gaps(cells: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, other (each pair once), gap: sums over all blocks."""
-    tiles = groups.groupBy("lang").agg(F.ceil(F.count("*") / GROUP_TILE).cast("long").alias("n_tiles"))
-    own_tile = F.pmod(F.xxhash64("source"), "n_tiles").alias("tile")
-    bits = F.floor(F.log2("lang_n")).cast("int").alias("bits")
-    size = F.when(F.col("bits") < RARE_BITS, RARE_TERMS).otherwise(OFTEN_TERMS)
-    cells = cells.select("lang", "source", "term", "n", "price", bits)
-    buckets = cells.groupBy("lang", "bits").agg(F.ceil(F.count_distinct("term") / size).cast("long").alias("n_buckets"))
-    cells = cells.join(buckets, ["lang", "bits"]).withColumn("bucket", F.pmod(F.xxhash64("term"), "n_buckets"))
-    blocks = buckets.select("lang", "bits", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_buckets") - 1)).alias("bucket"))
-    named = blocks.join(groups, "lang").select("lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"),
-                                               F.col("none").alias("price"), "bits", "bucket")
-    rows = cells.drop("n_buckets").unionByName(named).join(tiles, "lang").withColumn("tile", own_tile)
-    met = F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_tiles") - 1)).alias("met")
-    rows = rows.select("*", met).withColumns({"i": F.least("tile", "met"), "j": F.greatest("tile", "met")})
+    cells = cells.withColumn("bits", F.expr(BITS)).withColumn("bucket", F.expr("pmod(xxhash64(term), n_buckets[bits])"))
+    cells = cells.select("lang", "source", "term", "n", "price", "bits", "bucket", "n_tiles")
+    named = groups.select("*", F.explode("n_buckets").alias("bits", "of")).select(
+        "lang", "source", F.lit(None).cast("string").alias("term"), F.lit(0).cast("long").alias("n"), F.col("none").alias("price"), "bits",
+        F.explode(F.expr("sequence(0L, of - 1)")).alias("bucket"), "n_tiles")
+    rows = cells.unionByName(named).withColumn("tile", F.pmod(F.xxhash64("source"), "n_tiles"))
+    rows = rows.select("*", F.explode(F.expr("sequence(0L, n_tiles - 1)")).alias("met")).withColumns(
+        {"i": F.least("tile", "met"), "j": F.greatest("tile", "met")})
     return rows.select("lang", "bits", "bucket", "i", "j", "tile", "source", "term", "n", "price").groupBy(
         "lang", "bits", "bucket", "i", "j").applyInArrow(block_gaps, "lang string, source string, other string, gap long").groupBy(
         "lang", "source", "other").agg(F.sum("gap").alias("gap"))
@@ -182,11 +188,10 @@ def audit(docs: DataFrame, text: str = "text", least_documents: int = LEAST_DOCU
     kept = counts.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("n_docs").alias("n_docs")).where(
         F.col("n_docs") >= least_documents).drop("n_docs")
     kept = written(counts.drop("n_docs").join(kept, ["lang", "term"]), "divergence-kept")
-    totals = kept.groupBy("lang", "term").agg(F.first("lang_n").alias("lang_n")).groupBy("lang").agg(
-        F.count("*").alias("kept"), F.sum("lang_n").alias("lang_total"))
-    groups = docs.select(word("lang"), word("source")).distinct().join(
-        kept.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(totals, "lang", "left").select(
-        "lang", "source", "kept", "lang_total", F.coalesce("total", F.lit(0).cast("long")).alias("total"))
+    named = docs.select(word("lang"), word("source")).distinct()
+    tiles = named.groupBy("lang").agg(F.ceil(F.count("*") / GROUP_TILE).cast("long").alias("n_tiles"))
+    groups = named.join(kept.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(
+        laid_out(kept), "lang", "left").join(tiles, "lang").withColumn("total", F.coalesce("total", F.lit(0).cast("long")))
     groups = written(groups.withColumn("none", price("0", "total", "kept")), "divergence-groups")
     cells = kept.join(groups.where("kept is not null"), ["lang", "source"]).withColumns(
         {"price": price("n", "total", "kept"), "lang_price": price("lang_n", "lang_total", "kept")})
