@@ -24,7 +24,7 @@ from .terms import ALPHA, term_pieces
 #: Documents of a lang that hold a kept term, at least.
 LEAST_DOCUMENTS = 10
 #: Terms of a block, about, by the bits of the term's count in its lang; groups of a tile, about.
-RARE_BITS, RARE_TERMS, OFTEN_TERMS, GROUP_TILE = 6, 2048, 256, 32
+RARE_BITS, RARE_TERMS, OFTEN_TERMS, GROUP_TILE = 6, 512, 256, 32
 #: Indicator columns that are multiplied at once.
 COLUMN_TILE = 1024
 #: Rows that a task holds before it adds them up, and after that before it hands them on.
