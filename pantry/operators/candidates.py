@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import exprs as X
+from ..sources.snapshots import SnapshotTable, by_bucket
 
 GOAL_COLS = ["calories", "protein", "carbs", "fat"]
 NUTRIENTS = ["calories", "protein", "carbs", "fat", "saturated_fat", "sugars", "sodium", "dietary_fiber"]
@@ -277,18 +278,22 @@ def join_feedback_context(feedback: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: list[str],
-           now_col: Column, ttl_days: int = 1) -> DataFrame:
+           now_col: Column, ttl_days: int = 1, order: str | None = None) -> DataFrame:
     """INSERT ... ON CONFLICT (key) DO UPDATE: incoming rows replace the listed
     columns and refresh expires_at = now + ttl; other columns keep the current
-    value; rows without a match are inserted.  Full outer join on the key."""
-    # of incoming rows with one key a single one counts (the largest), as one statement may touch a row once
-    order = F.struct(*[F.col(c) for c in incoming.columns])
-    incoming = incoming.groupBy(key).agg(F.max(order).alias("_r")).select("_r.*")
+    value; rows without a match are inserted, with created_at = now unless they
+    bring one.  Of incoming rows with one key the last by ``order`` counts (null
+    first; without ``order``, or among equals, the largest row), as statements run
+    one after the other.  Full outer join on the key; ``now_col`` may name a column
+    of ``incoming`` with the prefix ``_i_``."""
+    row = F.struct(*[F.col(c) for c in incoming.columns])
+    last = F.struct(F.col(order).alias("_order"), row.alias("_row")) if order else F.struct(row.alias("_row"))
+    incoming = incoming.groupBy(key).agg(F.max(last).alias("_r")).select("_r._row.*")
     cur = current.select([F.col(c).alias(f"_c_{c}") for c in current.columns])
     inc = incoming.select([F.col(c).alias(f"_i_{c}") for c in incoming.columns])
     j = cur.join(inc, F.col(f"_c_{key}") == F.col(f"_i_{key}"), "full_outer")
     hit = F.col(f"_i_{key}").isNotNull()
-    new_row = F.col(f"_c_{key}").isNull()
+    new_row = F.col(f"_c_{key}").isNull() & hit
     out = []
     for c in current.columns:
         inc_c = F.col(f"_i_{c}") if c in incoming.columns else F.lit(None)
@@ -300,10 +305,22 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, update_cols: list[
         elif c in update_cols:
             out.append(F.when(hit, inc_c).otherwise(F.col(f"_c_{c}")).alias(c))
         else:
-            out.append(F.when(new_row, inc_c).otherwise(F.col(f"_c_{c}")).alias(c))
+            given = F.coalesce(inc_c, now_col) if c == "created_at" else inc_c
+            out.append(F.when(new_row, given).otherwise(F.col(f"_c_{c}")).alias(c))
     return j.select(*out)
 
 
+def upsert_into(table: SnapshotTable, incoming: DataFrame, key: str, update_cols: list[str], now_col: Column, n_buckets: int,
+                ttl_days: int = 1, order: str | None = None) -> int:
+    """``upsert`` into a table of ``n_buckets`` buckets by key: only buckets that hold
+    an incoming key are read and rewritten; the new version's number.  Rows without a
+    key are left out, as a primary key allows none."""
+    incoming = incoming.where(F.col(key).isNotNull())
+    buckets = [str(r[0]) for r in incoming.select(by_bucket(key, n_buckets)).distinct().collect()]  # n_buckets at most
+    return table.change(lambda parts: [b for b in buckets if b in parts],
+                        lambda rows: upsert(rows, incoming, key, update_cols, now_col, ttl_days, order))
+
+
 def dedupe_keep_last(df: DataFrame, group_cols: list[str], key: str, order_cols: list[str], n: int) -> DataFrame:
     """Within each group drop duplicate ``key`` values keeping the LAST row in
     ``order_cols`` order, then keep the first ``n`` rows (head(n)).

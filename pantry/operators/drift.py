@@ -133,17 +133,11 @@ def lookback_window(log: DataFrame, state: DataFrame, ts_col: str = "ts", hours:
     return win.crossJoin(n).withColumn("skipped", F.col("n_window") < min_rows)
 
 
-def retention_split(df: DataFrame, ts_col: str, now: DataFrame, days: int = 90) -> DataFrame:
-    """One row: rows kept and deleted by ``ts < now - days`` (now: one-row table)."""
-    j = df.crossJoin(now.select(F.col("now").alias("_now")))
-    old = F.col(ts_col) < F.col("_now") - F.make_dt_interval(F.lit(days))
-    return j.agg(F.count(F.when(~old, 1)).alias("kept"), F.count(F.when(old, 1)).alias("deleted"))
-
-
-def retain(df: DataFrame, ts_col: str, now: DataFrame, days: int = 90) -> DataFrame:
-    """The rewrite that replaces DELETE: keep rows newer than the cutoff."""
-    j = df.crossJoin(now.select(F.col("now").alias("_now")))
-    return j.filter(F.col(ts_col) >= F.col("_now") - F.make_dt_interval(F.lit(days))).drop("_now")
+def retention_cutoff(log: DataFrame, ts_col: str, days: int = 90) -> str:
+    """The newest row's time less ``days``, as text in UTC: what a log of finished
+    days takes for now.  ``sources.snapshots.drop_before`` applies it."""
+    newest = F.max(F.col(ts_col).cast("timestamp")) - F.make_dt_interval(F.lit(days))
+    return log.agg(F.date_format(newest, "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0] or "0001-01-01"
 
 
 def baseline_head(df: DataFrame, order_cols: list[str], n: int, descending: bool = False) -> DataFrame:

@@ -5,8 +5,9 @@
   fingerprint, versioned publish with a ``latest`` pointer.
 * ``retrain`` (retraining loop): read the latest release, train the ranker,
   score the test split, popularity baseline, fairness report, gates.
-* ``drift_check`` (drift loop): baseline = oldest train rows, live window since
-  the last trigger, KS per feature, summary, append to the drift log.
+* ``drift_check`` (one check of the drift loop): baseline = oldest train rows, live
+  window since the last trigger in the drift log, KS per feature, summary, append to
+  the log.  ``pantry.streaming.drift`` is the loop as a stream.
 
 Each writes its outputs as parquet under ``out_root`` (default: the shared
 ``spark.checkpoint.dir`` folder).  Usage:
@@ -84,22 +85,37 @@ def retrain(spark: SparkSession, release_root: str, production_ndcg: float | Non
 
 
 def drift_check(spark: SparkSession, release_root: str, sf_dir: str, features: list[str] | None = None,
-                log_root: str | None = None, full: bool = False) -> DataFrame:
-    """KS drift of the look-back window against the oldest 5000 training rows (the
-    reference's limit), or with ``full`` against all of them."""
+                log_root: str | None = None, full: bool = False, min_rows: int = 100) -> DataFrame:
+    """One check of the loop: KS drift of the rows since the later of 24 h ago and the
+    last trigger, against the oldest 5000 training rows (the reference's limit), or
+    with ``full`` against all of them.  Below ``min_rows`` rows the check is skipped.
+    Features and summary go to the drift log, whose newest triggered summary is where
+    the next check's window starts."""
     features = features or vocab.DRIFT_FEATURES
+    out = log_root or IO.output_root(spark, "drift-log")
     train = IO.resolve_latest(spark, release_root, "train")
     baseline = train if full else D.baseline_head(
         train, ["date", "l_orderkey", "l_linenumber", "recipe_id", "l_suppkey"], 5000)
     log = Catalog(spark, sf_dir).request_log
-    state = log.agg(F.max("ts").alias("now"), F.lit(None).cast("timestamp").alias("last_trigger_at"))
-    live_rows = D.lookback_window(log, state)
+    before = IO.read_or_empty(spark, f"{out}/summary", DRIFT_SUMMARY).where("triggered").agg(F.max("check_at").alias("last_trigger_at"))
+    now = log.agg(F.max("ts").cast("timestamp").alias("now"))
+    live_rows = IO.materialize(D.lookback_window(log, now.crossJoin(before), min_rows=0), "live-rows")  # one row by one row
+    n_rows, check_at = live_rows.count(), now.first()[0]
     names = [f for f in features if f in train.columns]
-    live = D.json_to_features(live_rows, "features", names)
-    ks = D.ks_drift(baseline, live, names)
-    out = log_root or IO.output_root(spark, "drift-log")
-    ks.withColumn("run_at", F.current_timestamp()).write.mode("append").parquet(out)
-    return D.drift_summary(ks)
+    ks = D.ks_drift(baseline, D.json_to_features(live_rows, "features", names), names).where(F.lit(n_rows >= min_rows))
+    ks = IO.materialize(ks.withColumn("check_at", F.lit(check_at)), "drift-features")
+    ks.write.mode("append").parquet(f"{out}/features")
+    summary = D.drift_summary(ks).select(
+        F.lit(check_at).alias("check_at"), F.lit(n_rows).cast("long").alias("n_rows"), F.lit(n_rows < min_rows).alias("skipped"),
+        F.col("n_features_checked").cast("long"), F.col("n_drifted").cast("long"), "drift_rate",
+        F.col("overall_drift_detected").alias("triggered"), "drifted_features")
+    summary = IO.materialize(summary, "drift-summary")
+    summary.write.mode("append").parquet(f"{out}/summary")
+    return summary
+
+
+DRIFT_SUMMARY = ("check_at timestamp, n_rows bigint, skipped boolean, n_features_checked bigint, n_drifted bigint, drift_rate double, "
+                 "triggered boolean, drifted_features string")
 
 
 def main():

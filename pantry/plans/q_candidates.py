@@ -12,11 +12,14 @@ from ..operators import candidates as C
 from ..operators import evaluate as EV
 from ..operators import ml as ML
 from ..sources.fixtures import Catalog
+from ..sources.io import output_root
+from ..sources.snapshots import SnapshotTable, by_bucket
 from . import sqlparts as S
 from .common import pipeline
 from .registry import register, with_views
 
 RECENT_DAYS = 30
+CACHE_BUCKETS = 8
 
 
 def _stable_sql(expr: str) -> str:
@@ -330,11 +333,12 @@ SELECT coalesce(c.id, i.id) AS id,
   round(CASE WHEN i.id IS NOT NULL THEN i.score ELSE c.score END, 6) AS score,
   CASE WHEN i.id IS NOT NULL THEN i.model_version ELSE c.model_version END AS model_version,
   strftime(CASE WHEN i.id IS NOT NULL THEN (SELECT now FROM t) + INTERVAL 1 DAY ELSE c.expires_at END, '%Y-%m-%d %H:%M:%S') AS expires_at,
-  strftime(CASE WHEN c.id IS NULL THEN NULL ELSE c.created_at END, '%Y-%m-%d %H:%M:%S') AS created_at
+  strftime(CASE WHEN c.id IS NULL THEN (SELECT now FROM t) ELSE c.created_at END, '%Y-%m-%d %H:%M:%S') AS created_at
 FROM cur c FULL OUTER JOIN inc i ON c.id = i.id""")
 def q_sink_upsert(spark, sf):
     """Current cache = the first 20 days of the log; incoming batch = everything
-    from day 10 on, re-scored: the overlap updates, the rest inserts."""
+    from day 10 on, re-scored: the overlap updates, the rest inserts.  The cache is a
+    table of snapshots; the query reads the version after the upsert."""
     log = Catalog(spark, sf).request_log
     t = log.agg(F.min("ts").alias("_t0"), F.max("ts").alias("_now"))  # one row
     lt = log.crossJoin(t)
@@ -344,8 +348,10 @@ def q_sink_upsert(spark, sf):
     inc = lt.filter(F.col("ts") >= F.col("_t0") + F.make_dt_interval(F.lit(10))).select(
         F.col("request_id").alias("id"), F.concat(F.lit("r-"), F.col("request_id").cast("string")).alias("request_ref"),
         (F.col("score") * 2).alias("score"), F.lit("v9").alias("model_version"), "_now")
-    merged = C.upsert(cur, inc, "id", ["request_ref", "score", "model_version"], F.col("_i__now"))
-    return merged.select("id", "request_ref", X.rnd("score", 6).alias("score"), "model_version",
+    cache = SnapshotTable(spark, output_root(spark, "recommendation-cache"), cur.schema, by_bucket("id", CACHE_BUCKETS))
+    cache.append_new(cur)
+    C.upsert_into(cache, inc, "id", ["request_ref", "score", "model_version"], F.col("_i__now"), CACHE_BUCKETS)
+    return cache.read().select("id", "request_ref", X.rnd("score", 6).alias("score"), "model_version",
                          F.date_format("expires_at", "yyyy-MM-dd HH:mm:ss").alias("expires_at"),
                          F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("created_at"))
 

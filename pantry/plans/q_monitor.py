@@ -9,6 +9,8 @@ from ..functions import exprs as X
 from ..operators import drift as D
 from ..operators import monitor as M
 from ..sources.fixtures import Catalog
+from ..sources.io import output_root
+from ..sources.snapshots import SnapshotTable, by_day, drop_before
 from .registry import register, with_views
 
 DRIFT_FEATURES = ["k", "latency_s", "score"]
@@ -110,9 +112,14 @@ def q_lookback(spark, sf):
 
 
 def _retention(days):
+    """The log as a table by day; retention drops whole days and rewrites one."""
     def build(spark, sf):
         log = Catalog(spark, sf).request_log
-        return D.retention_split(log, "ts", log.agg(F.max("ts").alias("now")), days)
+        table = SnapshotTable(spark, output_root(spark, "request-log"), log.schema, by_day("ts"))
+        table.append_new(log)
+        deleted = drop_before(table, "ts", D.retention_cutoff(log, "ts", days))
+        kept = sum(p["rows"] for p in table.parts().values())
+        return spark.createDataFrame([(kept, deleted)], "kept bigint, deleted bigint")
     return build
 
 

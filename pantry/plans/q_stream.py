@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from ..operators import drift as D
 from ..operators import monitor as M
+from ..streaming import drift as SD
 from ..streaming import monitor as SM
 from ..sources.fixtures import Catalog
 from .q_monitor import DRIFT_FEATURES, _sides
@@ -69,10 +71,15 @@ def q_p95_hist(spark, sf):
 
 @register("drift_stream")
 def q_drift_stream(spark, sf):
+    """The drift loop over the whole log, in order, with a check each hour; the
+    baseline is the oldest 5000 rows of the first days (the reference's limit)."""
     base, _ = _sides(Catalog(spark, sf))
-    log = SM.read_request_log_stream(spark, SM.stage_events_by_day(spark, sf), files_per_trigger=10)
-    out = SM.drift_stream(spark, log, base, DRIFT_FEATURES, json_names=["k"])
-    return out.select("batch_id", "feature", "n_baseline", "n_live", "ks_statistic", "p_value", "drift_detected")
+    values = SD.baseline_values(D.baseline_head(base, ["ts", "request_id"], 5000), DRIFT_FEATURES)
+    path = SM.stage_events_by_day(spark, sf, end_marker=True, in_order=True)
+    log = SM.read_request_log_stream(spark, path, files_per_trigger=40, watermark="1 day")
+    rows = D.json_to_features(log, "features", ["k"], keep=["request_id", "ts", "latency_s", "score"])
+    out = SD.run_checks(spark, SD.checks(rows, values))
+    return out.select(*[_ts(c).alias(c) if c in ("check_at", "window_start") else c for c in out.columns if c != "batch_id"])
 
 
 @register("feedback_attribution_stream", sql=REGISTRY["feedback_attribution"].sql)

@@ -118,3 +118,10 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = output_root(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The Parquet table at ``path``; before its first write a table without rows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return spark.read.schema(schema).parquet(path) if there else spark.createDataFrame([], schema)

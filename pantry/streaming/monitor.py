@@ -3,9 +3,7 @@
 The batch functions in ``pantry.operators.monitor`` / ``drift`` are reused on
 streaming DataFrames: event-time windows with a watermark (late rows beyond
 the watermark are dropped by Spark and can be counted from the input), bounded
-state (bucket counts instead of exact percentiles), ``foreachBatch`` for the
-drift loop with writes keyed by batch id (idempotent on replay), and a
-stream-stream left join with watermarks on both sides plus an event-time bound
+state (bucket counts instead of exact percentiles), and a stream-stream left join with watermarks on both sides plus an event-time bound
 for feedback attribution.  Every query keeps its progress in a checkpoint
 under the cluster's shared ``spark.checkpoint.dir``.
 """
@@ -15,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import drift as D
 from ..operators import monitor as M
 from ..sources.fixtures import VIEW_SQL
 from ..sources.io import output_root
@@ -24,7 +21,7 @@ WATERMARK = "10 minutes"
 END = "end_of_replay"
 
 
-def stage_events_by_day(spark: SparkSession, sf_dir: str, end_marker: bool = False) -> str:
+def stage_events_by_day(spark: SparkSession, sf_dir: str, end_marker: bool = False, in_order: bool = False) -> str:
     """Write the events table as day-sliced parquet files (a replayable stream
     source derived from the given table); a busy day is spread over many files.
 
@@ -38,7 +35,12 @@ def stage_events_by_day(spark: SparkSession, sf_dir: str, end_marker: bool = Fal
     def write(rows: DataFrame, mode: str):
         rows.withColumn("day", F.date_format("ts", "yyyy-MM-dd")).repartitionByRange("ts").write.mode(mode).partitionBy("day").parquet(path)
 
-    write(ev, "errorifexists")
+    if in_order:  # the file source reads by age, so a row is late by less than a day
+        days = [r[0] for r in ev.select(F.to_date("ts").alias("day")).distinct().orderBy("day").collect()]  # a value for each day
+        for day in days:
+            write(ev.where(F.to_date("ts") == F.lit(day)), "append")
+    else:
+        write(ev, "errorifexists")
     if end_marker:  # written after the others, as the file source reads by age
         gap = (F.max("ts").cast("double") - F.min("ts").cast("double")) * 2 + 7200
         last = ev.agg((F.max("ts").cast("double") + gap).cast("timestamp").alias("ts"))
@@ -97,23 +99,6 @@ def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
-def drift_stream(spark: SparkSession, log: DataFrame, baseline: DataFrame, features: list[str],
-                 feature_col: str = "features", json_names: list[str] | None = None) -> DataFrame:
-    """Every micro-batch: expand features, KS against the baseline, append the
-    per-feature result to the drift log under ``batch_id=<id>`` (overwritten on
-    replay, so a re-run batch does not duplicate rows).  Returns the log."""
-    out = output_root(spark, "drift-log")
-    json_names = json_names or []
-
-    def each(batch: DataFrame, batch_id: int):
-        live = D.json_to_features(batch, feature_col, json_names, keep=[c for c in features if c not in json_names])
-        ks = D.ks_drift(baseline, live, features)
-        ks.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    _run(log.writeStream.foreachBatch(each), out + "-ckpt")
-    return spark.read.parquet(out)
-
-
 def replay_span(spark: SparkSession, events_path: str) -> str:
     """A watermark that fits a replay: files of a finished table come in any
     order, so an event may be late by the whole span of the table.  A live
