@@ -22,28 +22,11 @@ def output_root(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/pantry-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, rename: dict[str, str] | None = None) -> DataFrame:
-    """Header-normalising CSV scan: header names are stripped and lower-cased,
-    columns are matched by name (any order) and typed with ``try_cast`` so a
-    bad cell becomes NULL instead of failing the job.  Files are grouped by their
-    own header line, so files whose columns differ in order or number are read
-    each by its own.  ``rename`` maps header names to schema names (id ->
-    recipe_id, say) where the file lacks the latter."""
-    lines = spark.read.text(path)
-    meta = lines.metadataColumn("_metadata")
-    first = lines.where(meta["file_block_start"] == 0).select(meta["file_path"].alias("file"), F.monotonically_increasing_id().alias("at"), "value")
-    first = first.groupBy("file").agg(F.min_by("value", "at").alias("header"))
-    groups = first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()  # a name for each file
-    out = None
-    for g in sorted(groups, key=lambda g: g["header"]):
-        raw = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-               .option("mode", "PERMISSIVE").csv(sorted(g["files"])))
-        names = [c.strip().lower() for c in raw.columns]
-        raw = raw.toDF(*[(rename or {}).get(c, c) if (rename or {}).get(c, c) not in names else c for c in names])
-        part = raw.select(*[(F.col(f"`{f.name}`").try_cast(f.dataType) if f.name in raw.columns
-                             else F.lit(None).cast(f.dataType)).alias(f.name) for f in schema.fields])
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else spark.createDataFrame([], schema)
+def read_csv(spark: SparkSession, path: str | list[str], schema: StructType, rename: dict[str, str] | None = None) -> DataFrame:
+    """Header-normalising CSV scan by blocks; see ``csv_blocks.read_csv``."""
+    from .csv_blocks import read_csv as read
+
+    return read(spark, path, schema, rename)
 
 
 def read_jdbc(spark: SparkSession, url: str, query: str, partition_column: str, lower: int, upper: int,
