@@ -15,11 +15,14 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..session import cut_lineage
+from . import manifest as M
 
 ORDER_KEYS = ["date", "l_orderkey", "l_linenumber", "recipe_id", "l_suppkey", "l_shipdate"]
 TRAINING_DROP = ["tags", "ingredients", "description", "allergens"]
@@ -237,65 +240,24 @@ def infer_feature_columns(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in vocab.NON_FEATURE_COLUMNS]
 
 
-def canonical_text(c: str, kind: str) -> Column:
-    """One text per value: doubles in millionths, rounded half up; null: \\N."""
-    x = F.col(c)
-    if kind in ("double", "float"):
-        whole = F.floor(x * 1000000.0 + 0.5).cast("string")
-        text = F.when(F.isnan(x) | (F.abs(x) >= 9e12), x.cast("string")).otherwise(whole)
-    else:
-        text = F.to_json(F.struct(x)) if kind.startswith(("array", "map", "struct")) else x.cast("string")
-    return F.coalesce(text, F.lit("\\N"))
-
-
-def row_fingerprint(cols: list[tuple[str, str]]):
-    """Per-row 60-bit hash of the canonical text of (column, type) (SHA-256 prefix)."""
-    text = F.concat_ws("|", *[canonical_text(*c) for c in cols])
-    return F.conv(F.substring(F.sha2(text, 256), 1, 15), 16, 10).cast("decimal(38,0)")
-
-
-def _hash_columns(df: DataFrame, leave_out: tuple[str, ...] = ()) -> list[tuple[str, str]]:
-    return sorted((c, t) for c, t in df.dtypes if c not in leave_out)
-
-
-def _manifest_aggs(date_col: str, label_col: str, hash_cols: list[tuple[str, str]]):
-    return [F.count(F.lit(1)).alias("rows"),
-            F.date_format(F.min(date_col), "yyyy-MM-dd HH:mm:ss").alias("min_date"),
-            F.date_format(F.max(date_col), "yyyy-MM-dd HH:mm:ss").alias("max_date"),
-            F.avg(F.col(label_col).cast("double")).alias("label_mean"),
-            F.sum(row_fingerprint(hash_cols)).alias("_h")]
-
-
-def _finish_manifest(m: DataFrame) -> DataFrame:
-    m = m.withColumn("content_hash", F.sha2(F.concat_ws(":", F.col("rows").cast("string"),
-                                                        F.coalesce(F.col("_h").cast("string"), F.lit("0"))), 256))
-    # version over the (three) split hashes in split-name order: a bounded list
-    allh = m.agg(F.sort_array(F.collect_list(F.struct("split", "content_hash"))).alias("_all"))
-    ver = allh.select(F.substring(F.sha2(F.array_join(F.transform("_all", lambda s: s["content_hash"]), ":"), 256),
-                                  1, 12).alias("version"))
-    return m.drop("_h").crossJoin(ver)
-
-
-def dataset_manifest(splits: dict[str, DataFrame],
-                     date_col: str = "date", label_col: str = "label") -> DataFrame:
-    """Per split: rows, min/max date, label mean and an order-insensitive content
-    hash (sum of per-row SHA-256 prefixes over all columns + row count), so any
-    changed value changes it and part-file layout does not.  ``version`` = first 12 hex of SHA-256 over
-    the split hashes in split-name order."""
-    parts = [df.agg(F.lit(name).alias("split"), *_manifest_aggs(date_col, label_col, _hash_columns(df)))
-             for name, df in splits.items()]
-    m = parts[0]
-    for p in parts[1:]:
-        m = m.unionByName(p)
-    return _finish_manifest(m)
-
-
-def dataset_manifest_tagged(tagged: DataFrame, split_col: str = "split",
-                            date_col: str = "date", label_col: str = "label") -> DataFrame:
-    """Same manifest from the split-tagged table in ONE grouped pass."""
-    m = tagged.groupBy(F.col(split_col).alias("split")).agg(
-        *_manifest_aggs(date_col, label_col, _hash_columns(tagged, (split_col,))))
-    return _finish_manifest(m)
+MANIFEST_KEYS = ("user_id", "recipe_id")
+
+
+def dataset_manifest(splits: dict[str, DataFrame], date_col: str = "date", label_col: str = "label") -> DataFrame:
+    """``dataset_manifest_tagged`` of named splits with equal columns."""
+    parts = [df.withColumn("split", F.lit(name)) for name, df in splits.items()]
+    return dataset_manifest_tagged(reduce(DataFrame.unionByName, parts), date_col=date_col, label_col=label_col)
+
+
+def dataset_manifest_tagged(tagged: DataFrame, split_col: str = "split", date_col: str = "date", label_col: str = "label",
+                            keys: tuple[str, ...] = MANIFEST_KEYS, n_buckets: int = M.N_BUCKETS) -> DataFrame:
+    """Per split: rows, min/max date, label mean and a content hash over the digests
+    of its buckets, so any changed value of any column changes it and the layout of
+    files doesn't.  ``version`` = first 12 hex of SHA-256 over the split hashes in
+    split-name order.  One grouped pass; ``manifest.bucket_digests`` are the buckets."""
+    buckets = M.bucket_digests(tagged, [k for k in keys if k in tagged.columns], n_buckets, split_col, date_col, label_col)
+    return M.manifest_of(buckets, [c for c in tagged.columns if c != split_col]).select(
+        "split", "rows", "min_date", "max_date", "label_mean", "content_hash", "version")
 
 
 def replay_window(df: DataFrame, days: int, date_col: str = "date") -> DataFrame:

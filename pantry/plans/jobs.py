@@ -1,5 +1,7 @@
 """End-to-end Spark applications for the reference's entry points:
 
+* ``ingest`` (raw files): CSV to Parquet after stopping checks, with a manifest of the
+  files' blocks; ``verify_ingest`` and ``verify_release`` name what has changed since.
 * ``build_training_dataset`` (batch training data): union production rows,
   enrich, label, user features, training table, time split, quality suites,
   fingerprint, versioned publish with a ``latest`` pointer.
@@ -18,20 +20,24 @@ from __future__ import annotations
 
 import argparse
 import json
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import vocab
 from ..operators import drift as D
 from ..operators import enrich as E
 from ..operators import evaluate as EV
+from ..operators import manifest as MF
 from ..operators import ml as ML
 from ..operators import quality as Q
 from ..operators import training as T
 from ..operators import users as U
 from ..session import build_session
 from ..sources import io as IO
+from ..sources import raw as RAW
 from ..sources.fixtures import Catalog, production_split
 
 
@@ -52,16 +58,63 @@ def build_training_dataset(spark: SparkSession, sf_dir: str, out_root: str | Non
     sanity = Q.split_sanity(tagged).first()  # one row
     if not (sanity["no_empty_split"] and sanity["temporal_ok"] and sanity["keys_ok"]):
         raise ValueError(f"split validation failed: {sanity.asDict()}")
-    manifest = T.dataset_manifest_tagged(tagged.withColumn("date", F.col("date").cast("timestamp")))
+    tagged = tagged.withColumn("date", F.col("date").cast("timestamp"))
+    buckets = IO.materialize(MF.bucket_digests(tagged, T.MANIFEST_KEYS, date_col="date", label_col="label"), "manifest-buckets")
+    manifest = MF.manifest_of(buckets, [c for c in tagged.columns if c != "split"])
     version = manifest.select("version").first()[0]
     parts = {n: tagged.filter(F.col("split") == n).drop("split") for n in ("train", "val", "test")}
     parts["enriched_recipes"] = enriched
     parts["quality"] = quality
     parts["manifest"] = manifest
+    parts["manifest_buckets"] = buckets
     base = IO.publish(spark, parts, root, version)
     return {"root": root, "version": version, "path": base}
 
 
+RAW_TABLES = {  # table: (schema, header names that differ, key)
+    "recipes": ("recipe_id long, name string, minutes int, tags string, nutrition string, n_steps int, n_ingredients int, ingredients string, "
+                "description string", {"id": "recipe_id"}, "recipe_id"),
+    "interactions": ("user_id long, recipe_id long, date timestamp, rating int", {}, None),
+}
+
+
+def ingest(spark: SparkSession, paths: dict[str, str], out_root: str) -> dict:
+    """Raw CSV files -> Parquet tables and a manifest of the files' blocks.  Stops
+    before anything is published if a recipe's id is null or not unique, or an
+    interaction has no user or recipe."""
+    tables, bad = {}, []
+    for name, (schema, rename, key) in RAW_TABLES.items():
+        df = IO.materialize(IO.read_csv(spark, paths[name], StructType.fromDDL(schema), rename), f"raw-{name}")
+        needed = [key] if key else ["user_id", "recipe_id"]
+        nulls = df.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in needed]).first()
+        bad += [f"{name}: {nulls[c]} rows without {c}" for c in needed if nulls[c]]
+        if key:
+            twice = df.where(F.col(key).isNotNull()).groupBy(key).count().where("count > 1").count()
+            bad += [f"{name}: {twice} values of {key} occur twice"] if twice else []
+        tables[name] = df
+    if bad:
+        raise ValueError("; ".join(bad))
+    blocks = reduce(DataFrame.unionByName, [RAW.raw_blocks(spark, paths[n]).withColumn("table", F.lit(n)) for n in RAW_TABLES])
+    blocks = IO.materialize(blocks, "raw-blocks")
+    files = RAW.raw_manifest(blocks)
+    version = files.agg(F.substring(F.sha2(F.array_join(F.sort_array(F.collect_list("sha256")), ":"), 256), 1, 12)).first()[0]
+    base = IO.publish(spark, tables | {"raw_blocks": blocks, "raw_files": files}, out_root, version)
+    return {"root": out_root, "version": version, "path": base}
+
+
+def verify_ingest(spark: SparkSession, paths: dict[str, str], root: str) -> DataFrame:
+    """file, block of raw files that are no longer what the newest ingest read."""
+    found = reduce(DataFrame.unionByName, [RAW.raw_blocks(spark, paths[n]) for n in RAW_TABLES])
+    return RAW.changed_blocks(IO.resolve_latest(spark, root, "raw_blocks"), found)
+
+
+def verify_release(spark: SparkSession, root: str) -> DataFrame:
+    """split, bucket, rows of the newest release's buckets that differ from its manifest."""
+    parts = [IO.resolve_latest(spark, root, n).withColumn("split", F.lit(n)) for n in ("train", "val", "test")]
+    tagged = reduce(DataFrame.unionByName, parts)
+    return MF.changed_buckets(IO.resolve_latest(spark, root, "manifest_buckets"), MF.bucket_digests(tagged, T.MANIFEST_KEYS))
+
+
 def retrain(spark: SparkSession, release_root: str, production_ndcg: float | None = None,
             threshold: float = 0.55) -> DataFrame:
     train = IO.resolve_latest(spark, release_root, "train").withColumn("split", F.lit("train"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 
 from .. import vocab
+from ..operators import manifest as M
 from ..operators import training as T
 from ..operators import users as U
 from . import sqlparts as S
@@ -167,25 +168,27 @@ def q_feature_contract(spark, sf):
     return out(fc, fc.columns)
 
 
-def _canonical_sql(c):
-    if c in DOUBLE_OUT:
-        text = f"CAST(CAST(floor({c} * 1000000.0 + 0.5) AS BIGINT) AS VARCHAR)"
-    elif c == "date":
-        text = "strftime(date, '%Y-%m-%d %H:%M:%S')"
-    else:
-        text = f"CAST({c} AS VARCHAR)"
-    return f"coalesce({text}, '\\N')"
-
-
-@register("dataset_manifest", sql=_w(S.split_cte(), ("m", """
-SELECT split, count(*) AS rows, strftime(min(date), '%Y-%m-%d %H:%M:%S') AS min_date,
-  strftime(max(date), '%Y-%m-%d %H:%M:%S') AS max_date, round(avg(CAST(label AS DOUBLE)), 6) AS label_mean,
-  sha256(CAST(count(*) AS VARCHAR) || ':' || CAST(coalesce(sum(CAST(('0x' || substr(sha256(concat_ws('|',
-    """ + ", ".join(map(_canonical_sql, sorted(TRAIN_OUT))) + """)), 1, 15)) AS BIGINT)), 0) AS VARCHAR)) AS content_hash
-FROM splits GROUP BY split""")) + """
-SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) FROM m)), 1, 12) AS version FROM m""")
+def _manifest_sql():
+    """The tree of the manifest: rows, buckets by key, splits."""
+    cols = [(c, "timestamp" if c == "date" else "other") for c in sorted(TRAIN_OUT)]
+    keys = [(k, "other") for k in T.MANIFEST_KEYS]
+    told = ", ".join(f"CAST(round({c}, 6) AS DECIMAL(28,6)) AS {c}" if c in DOUBLE_OUT else c for c in TRAIN_OUT)
+    row, key = (M.row_text(x, oracle=True) for x in (cols, keys))
+    return _w(S.split_cte(), ("b", f"""
+SELECT split, CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {M.N_BUCKETS} AS bucket, count(*) AS rows,
+  sum(CAST(('0x' || substr(md5({row}), 1, 15)) AS BIGINT)) AS digest, min(date) AS a, max(date) AS z, sum(label) AS s, count(label) AS n
+FROM (SELECT split, {told} FROM splits) t GROUP BY split, bucket"""), ("m", f"""
+SELECT split, CAST(sum(rows) AS BIGINT) AS rows, strftime(min(a), '%Y-%m-%d %H:%M:%S') AS min_date, strftime(max(z), '%Y-%m-%d %H:%M:%S') AS max_date,
+  round(CAST(sum(s) AS DOUBLE) / CAST(sum(n) AS DOUBLE), 6) AS label_mean,
+  sha256('{",".join(sorted(TRAIN_OUT))}|' || string_agg(bucket || ':' || rows || ':' || digest, '|' ORDER BY bucket)) AS content_hash
+FROM b GROUP BY split""")) + """
+SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) FROM m)), 1, 12) AS version FROM m"""
+
+
+@register("dataset_manifest", sql=_manifest_sql())
 def q_dataset_manifest(spark, sf):
     sp = split_training(pipeline(spark, sf))
-    sp = sp.select(*TRAIN_OUT, "split").withColumn("date", F.col("date").cast("timestamp"))
+    # doubles go out as decimals of six digits, which two engines sum and write alike
+    sp = sp.select(*[X.round6(c).cast("decimal(28,6)").alias(c) if c in DOUBLE_OUT else c for c in TRAIN_OUT], "split").withColumn("date", F.col("date").cast("timestamp"))
     m = T.dataset_manifest_tagged(sp)
     return m.withColumn("label_mean", X.rnd("label_mean", 6))
