@@ -1,7 +1,7 @@
 """Fingerprints of datasets as trees: rows, buckets of keys, splits, version.
 
-A row's text is unambiguous: every value is preceded by its length, NULL has a sign
-of its own, doubles are written in full.  A bucket's digest is the
+A row's text is unambiguous: NULL and the border of two values have signs of their
+own, which are escaped inside texts, and doubles are written in full.  A bucket's digest is the
 sum of its rows' digests, so neither files nor order matter, and one pass with
 partial sums makes all buckets.  Two manifests that differ tell the buckets that
 differ, and only those need be read to find the rows.
@@ -17,25 +17,28 @@ from pyspark.sql import functions as F
 N_BUCKETS = 64
 
 
+#: Signs with a meaning in a row's text, and what stands for them in a value.
+ESCAPED = (("\\", "\\\\"), ("|", "\\p"), ("~", "\\t"))
+
+
 def value_text(c: str, kind: str, oracle: bool = False) -> str:
-    """SQL text of a column's value, NULL for NULL.  A double's text is the one that
-    gives the same double when read again, so no bit is lost."""
-    if oracle:
-        return f"strftime({c}, '%Y-%m-%d %H:%M:%S.%f')" if kind.startswith("timestamp") else f'CAST("{c}" AS VARCHAR)'
+    """SQL text of a column's value; NULL: ~.  A double's text is the one that gives
+    the same double when read again, so no bit is lost."""
+    name, text = (f'"{c}"', "VARCHAR") if oracle else (f"`{c}`", "STRING")
     if kind.startswith("timestamp"):
-        return f"date_format(`{c}`, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
-    if kind.startswith(("array", "map", "struct")):
-        return f"CASE WHEN `{c}` IS NOT NULL THEN to_json(struct(`{c}`)) END"
-    return f"CAST(`{c}` AS STRING)"
+        told = f"strftime({name}, '%Y-%m-%d %H:%M:%S.%f')" if oracle else f"date_format({name}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
+    elif kind in ("double", "float", "int", "bigint", "boolean", "smallint", "tinyint", "date") or kind.startswith("decimal"):
+        told = f"CAST({name} AS {text})"
+    else:
+        told = f"CASE WHEN {name} IS NOT NULL THEN to_json(struct({name})) END" if kind.startswith(("array", "map", "struct")) else f"CAST({name} AS {text})"
+        for sign, code in ESCAPED:
+            sign, code = (x if oracle else x.replace("\\", "\\\\") for x in (sign, code))  # Spark reads its literals' backslashes
+            told = f"replace({told}, '{sign}', '{code}')"
+    return f"coalesce({told}, '~')"
 
 
 def row_text(cols: Sequence[tuple[str, str]], oracle: bool = False) -> str:
-    """All values, each after its length; NULL: ~."""
-    texts = [value_text(c, t, oracle) for c, t in cols]
-    if oracle:
-        return "concat(" + ", ".join(f"CASE WHEN {t} IS NULL THEN '~' ELSE length({t}) || ':' || {t} END" for t in texts) + ")"
-    told = "t -> CASE WHEN t IS NULL THEN '~' ELSE concat(length(t), ':', t) END"
-    return f"array_join(transform(array({', '.join(texts)}), {told}), '')"
+    return "concat_ws('|', " + ", ".join(value_text(c, t, oracle) for c, t in cols) + ")"
 
 
 def bucket_of(df: DataFrame, keys: Sequence[str], n_buckets: int = N_BUCKETS) -> Column:

@@ -10,6 +10,7 @@ from .. import vocab
 from ..operators import manifest as M
 from ..operators import training as T
 from ..operators import users as U
+from ..sources.io import materialize
 from . import sqlparts as S
 from .common import split_training, DIET_COLS, DOUBLE_OUT, PC_COLS, TARGET_COLS, TRAIN_OUT, out, pipeline, sql_out
 from .registry import register, with_views
@@ -170,9 +171,9 @@ def q_feature_contract(spark, sf):
 
 def _manifest_sql():
     """The tree of the manifest: rows, buckets by key, splits."""
-    cols = [(c, "timestamp" if c == "date" else "other") for c in sorted(TRAIN_OUT)]
-    keys = [(k, "other") for k in T.MANIFEST_KEYS]
-    told = ", ".join(f"CAST(round({c}, 6) AS DECIMAL(28,6)) AS {c}" if c in DOUBLE_OUT else c for c in TRAIN_OUT)
+    cols = [(c, "timestamp" if c == "date" else "string" if c in ("name", "cuisine") else "bigint") for c in sorted(TRAIN_OUT)]
+    keys = [(k, "bigint") for k in T.MANIFEST_KEYS]
+    told = ", ".join(f"CAST(floor({c} * 1000000.0 + 0.5) AS BIGINT) AS {c}" if c in DOUBLE_OUT else c for c in TRAIN_OUT)
     row, key = (M.row_text(x, oracle=True) for x in (cols, keys))
     return _w(S.split_cte(), ("b", f"""
 SELECT split, CAST(('0x' || substr(md5({key}), 1, 8)) AS BIGINT) % {M.N_BUCKETS} AS bucket, count(*) AS rows,
@@ -187,8 +188,8 @@ SELECT m.*, substr(sha256((SELECT string_agg(content_hash, ':' ORDER BY split) F
 
 @register("dataset_manifest", sql=_manifest_sql())
 def q_dataset_manifest(spark, sf):
-    sp = split_training(pipeline(spark, sf))
-    # doubles go out as decimals of six digits, which two engines sum and write alike
-    sp = sp.select(*[X.round6(c).cast("decimal(28,6)").alias(c) if c in DOUBLE_OUT else c for c in TRAIN_OUT], "split").withColumn("date", F.col("date").cast("timestamp"))
+    sp = T.time_split(materialize(pipeline(spark, sf).training, "training"))  # read once, so not written again
+    # doubles go out in millionths, which two engines sum and write alike
+    sp = sp.select(*[F.floor(F.col(c) * 1000000.0 + 0.5).cast("bigint").alias(c) if c in DOUBLE_OUT else c for c in TRAIN_OUT], "split").withColumn("date", F.col("date").cast("timestamp"))
     m = T.dataset_manifest_tagged(sp)
     return m.withColumn("label_mean", X.rnd("label_mean", 6))

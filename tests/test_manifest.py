@@ -31,7 +31,7 @@ def test_any_changed_value_shows(spark):
     base = rows()
     one = list(base[5])
     pairs = [((1.0, "a|b", "c"), (math.nextafter(1.0, 2), "a|b", "c")), ((1.0, "a|b", "c"), (1.0, "a", "b|c")),
-             ((None, "\\N", ""), (None, None, "")), ((None, "", None), (None, None, "")), ((1.0, "1:a", ""), (1.0, "1:", "a")),
+             ((None, "\\N", ""), (None, None, "")), ((None, "", None), (None, None, "")), ((1.0, "a\\", "b"), (1.0, "a", "\\b")), ((1.0, "~", ""), (1.0, None, "")), ((1.0, "\\p", ""), (1.0, "|", "")), ((1.0, "\\t", ""), (1.0, "~", "")),
              ((9e12, "", ""), (9e12 + 0.001953125, "", "")), ((0.0, "", ""), (5e-324, "", "")), ((math.nan, "", ""), (None, "", "")),
              ((math.inf, "", ""), (-math.inf, "", "")), ((1e300, "~", ""), (1e300, "~", None))]
     for left, right in pairs:
