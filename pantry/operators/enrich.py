@@ -3,10 +3,8 @@
 Scale notes
 * ``recipe_stats`` is a hash aggregate with map-side partial aggregation, so a
   recipe holding a third of all interactions costs one partial row per task.
-* The minutes percentile is a global aggregate over a column with a small
-  domain (cooking minutes); Spark's exact ``percentile`` keeps one counter per
-  distinct value, so its buffer is bounded by the domain, not the row count.
-  ``approx=True`` switches to ``percentile_approx`` (fixed-size sketch).
+* The minutes percentile is selected between bounds from a sketch (``quantiles``):
+  exact, and no task holds all values.  ``approx=True`` takes the sketch's answer.
 * The one-row threshold is joined with a ``crossJoin`` against a provably
   one-row frame; Spark broadcasts it (bounded by construction).
 """
@@ -18,6 +16,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import exprs as X
+from .quantiles import exact_quantiles
 
 
 def recipe_stats(interactions: DataFrame) -> DataFrame:
@@ -39,10 +38,8 @@ def minutes_upper_bound(recipes_named: DataFrame, q: float = vocab.MINUTES_QUANT
                         approx: bool = False) -> DataFrame:
     """One-row frame with the q-quantile (linear interpolation) of minutes."""
     if approx:
-        agg = F.percentile_approx(F.col("minutes").cast("double"), q, 10000)
-    else:
-        agg = F.percentile(F.col("minutes"), F.lit(q))
-    return recipes_named.agg(agg.cast("double").alias("minutes_upper"))
+        return recipes_named.agg(F.percentile_approx(F.col("minutes").cast("double"), q, 10000).alias("minutes_upper"))
+    return exact_quantiles(recipes_named, [], "minutes", [q]).select(F.col("quantiles")[0].alias("minutes_upper"))
 
 
 def recipe_filter(with_stats: DataFrame, q: float = vocab.MINUTES_QUANTILE,

@@ -6,8 +6,9 @@ DataFrame (see ``pantry.streaming.monitor``) after ``withWatermark``.
 
 Windows are epoch-aligned tumbling windows: ``window(ts, '5 minutes')``.
 Grouping is by (window[, series]); a hot window is pre-aggregated per task by
-partial aggregation.  Exact percentiles hold one counter per distinct value in
-the group; ``histogram_quantile`` is the bounded, streaming-safe alternative.
+partial aggregation.  Exact percentiles are selected between bounds from a sketch
+(``quantiles``), so no task holds a group's values; ``histogram_quantile`` is the
+bounded, streaming-safe estimate.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
+from .quantiles import exact_quantiles
 
 # FIXED VALUES: histogram buckets of the serving metrics.
 SCORE_BUCKETS = [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]
@@ -43,9 +45,13 @@ def error_rate(log: DataFrame, width: str = "5 minutes", threshold: float = 0.05
 
 def windowed_quantile(log: DataFrame, col: str, q: float, width: str, ts: str = "ts") -> DataFrame:
     """Exact (linear interpolation) q-quantile of ``col`` per window."""
-    return log.groupBy(_win(ts, width)).agg(F.count(F.lit(1)).alias("n"),
-                                           F.percentile(F.col(col), F.lit(q)).alias("value")) \
-        .select(*_ws(width), "n", "value")
+    w = exact_quantiles(_in_window(log, ts, width), ["window"], col, [q], [F.count(F.lit(1)).alias("n")])
+    return w.select(*_ws(width), "n", F.col("quantiles")[0].alias("value"))
+
+
+def _in_window(log: DataFrame, ts: str, width: str) -> DataFrame:
+    """Rows with their window; those without a time have none, as in a grouped window."""
+    return log.withColumn("window", _win(ts, width))
 
 
 def p95_latency(log: DataFrame, width: str = "5 minutes", threshold: float = 0.5) -> DataFrame:
@@ -143,25 +149,24 @@ def sustained(firing: DataFrame, width_s: int, for_s: int, series: list[str] | N
 
 
 def score_quantiles(log: DataFrame, width: str = "10 minutes", qs=(0.1, 0.5, 0.9), ts: str = "ts") -> DataFrame:
-    g = log.groupBy(_win(ts, width)).agg(F.percentile(F.col("score"), F.array(*[F.lit(q) for q in qs])).alias("_q"))
-    return g.select(*_ws(width), *[F.col("_q")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(qs)])
+    g = exact_quantiles(_in_window(log, ts, width), ["window"], "score", list(qs))
+    return g.select(*_ws(width), *[F.col("quantiles")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(qs)])
 
 
 def latency_percentiles(log: DataFrame, group: str = "model_version", ts: str = "ts") -> DataFrame:
     """Per group: requests, throughput (per second of observed span), p50/p95/p99,
     mean/min/max latency in ms (2 dp) and error count / rate (%)."""
     ms = F.col("latency_s") * 1000.0
-    g = log.groupBy(group).agg(
+    g = exact_quantiles(log, [group], ms, [0.5, 0.95, 0.99], [
         F.count(F.lit(1)).alias("num_requests"),
         (F.unix_timestamp(F.max(ts)) - F.unix_timestamp(F.min(ts))).alias("_span"),
-        F.percentile(ms, F.array(F.lit(0.5), F.lit(0.95), F.lit(0.99))).alias("_p"),
         F.avg(ms).alias("_mean"), F.min(ms).alias("_min"), F.max(ms).alias("_max"),
-        F.count(F.when(F.col("status") >= 500, 1)).alias("error_count"))
+        F.count(F.when(F.col("status") >= 500, 1)).alias("error_count")])
     return g.select(
         group, "num_requests",
         X.rnd(F.col("num_requests") / F.nullif(F.col("_span").cast("double"), F.lit(0.0)), 2).alias("throughput_rps"),
-        X.rnd(F.col("_p")[0], 2).alias("p50_ms"), X.rnd(F.col("_p")[1], 2).alias("p95_ms"),
-        X.rnd(F.col("_p")[2], 2).alias("p99_ms"), X.rnd("_mean", 2).alias("mean_ms"),
+        X.rnd(F.col("quantiles")[0], 2).alias("p50_ms"), X.rnd(F.col("quantiles")[1], 2).alias("p95_ms"),
+        X.rnd(F.col("quantiles")[2], 2).alias("p99_ms"), X.rnd("_mean", 2).alias("mean_ms"),
         X.rnd("_min", 2).alias("min_ms"), X.rnd("_max", 2).alias("max_ms"), "error_count",
         X.rnd(F.col("error_count") / F.col("num_requests") * 100, 2).alias("error_rate"))
 
