@@ -95,14 +95,17 @@ def score_histogram(log: DataFrame, width: str = "1 hour", ts: str = "ts") -> Da
 
 
 def throughput(log: DataFrame, width_s: int = 600, series: str = "model_version",
-               ts: str = "ts") -> DataFrame:
+               ts: str = "ts", now: DataFrame | None = None) -> DataFrame:
     """Predictions per second per (window, series), including zero-traffic
-    windows from a time spine (one row per window between first and last event);
-    ``zero_traffic`` marks the alert condition."""
+    windows from a time spine (one row per window from the first event to ``now``, a
+    one-row table, or without it to the last event); ``zero_traffic`` marks the alert
+    condition."""
     width = f"{width_s} seconds"
     counts = log.groupBy(_win(ts, width), series).agg(F.count(F.lit(1)).alias("n"))
-    counts = counts.select(F.col("window.start").alias("window_start"), series, "n")
-    bounds = log.agg(F.min(ts).alias("_a"), F.max(ts).alias("_b"))  # one row
+    counts = counts.select(F.col("window.start").cast("timestamp").alias("window_start"), series, "n")
+    bounds = log.agg(F.min(F.col(ts).cast("timestamp")).alias("_a"), F.max(F.col(ts).cast("timestamp")).alias("_b"))  # one row
+    if now is not None:
+        bounds = bounds.crossJoin(now.select(F.col("now").cast("timestamp").alias("_now"))).select("_a", F.greatest("_b", "_now").alias("_b"))
     spine = bounds.select(F.explode(F.sequence(
         F.timestamp_seconds(F.floor(F.unix_timestamp("_a") / width_s) * width_s),
         F.timestamp_seconds(F.floor(F.unix_timestamp("_b") / width_s) * width_s),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import drift as D
 from ..operators import monitor as M
+from ..operators import rolling as R
 from ..sources.fixtures import Catalog
 from ..sources.io import output_root
 from ..sources.snapshots import SnapshotTable, by_day, drop_before
@@ -144,6 +145,14 @@ def _bucket(sec):
     return f"time_bucket(INTERVAL '{sec} seconds', ts, TIMESTAMP '1970-01-01 00:00:00')"
 
 
+def _now(log):
+    """One row: an hour and a half after the newest event, which leaves an outage to be seen."""
+    return log.agg((F.max("ts").cast("timestamp") + F.make_dt_interval(mins=F.lit(90))).alias("now"))
+
+
+_NOW_SQL = "(SELECT max(ts) + INTERVAL 90 MINUTE FROM request_log)"
+
+
 def _wsql(sec):
     return (f"strftime({_bucket(sec)}, '%Y-%m-%d %H:%M:%S') AS window_start, "
             f"strftime({_bucket(sec)} + INTERVAL '{sec} seconds', '%Y-%m-%d %H:%M:%S') AS window_end")
@@ -196,7 +205,7 @@ def q_score_histogram(spark, sf):
 
 
 @register("throughput_rate", sql=with_views("request_log") + f"""
-, spine AS (SELECT unnest(generate_series({_bucket(600).replace('ts,', 'min(ts),')}, {_bucket(600).replace('ts,', 'max(ts),')},
+, spine AS (SELECT unnest(generate_series({_bucket(600).replace('ts,', 'min(ts),')}, {_bucket(600).replace('ts,', 'max(ts) + INTERVAL 90 MINUTE,')},
     INTERVAL '600 seconds')) AS ws FROM request_log)
 , ver AS (SELECT DISTINCT model_version FROM request_log)
 , cnt AS (SELECT {_bucket(600)} AS ws, model_version, count(*) AS n FROM request_log GROUP BY ALL)
@@ -204,7 +213,8 @@ SELECT strftime(s.ws, '%Y-%m-%d %H:%M:%S') AS window_start, v.model_version, coa
   round(coalesce(c.n, 0) / 600.0, 6) AS rate_per_s, coalesce(c.n, 0) = 0 AS zero_traffic
 FROM spine s CROSS JOIN ver v LEFT JOIN cnt c ON c.ws = s.ws AND c.model_version = v.model_version""")
 def q_throughput(spark, sf):
-    r = M.throughput(Catalog(spark, sf).request_log, 600)
+    log = Catalog(spark, sf).request_log
+    r = M.throughput(log, 600, now=_now(log))
     return r.withColumn("window_start", _ts("window_start")).withColumn("rate_per_s", X.round6("rate_per_s"))
 
 
@@ -219,6 +229,68 @@ def q_staleness(spark, sf):
     return r.withColumn("last_ts", _ts("last_ts"))
 
 
+_STEP_SQL = """
+, e AS (SELECT CAST(floor(epoch(ts) / 60) AS BIGINT) + 1 AS pane, status, model_version FROM request_log)
+, n AS (SELECT CAST(floor(epoch({now}) / 60) AS BIGINT) AS now)
+, s AS (SELECT {series}unnest(generate_series(min(pane), (SELECT now FROM n))) AS pos FROM e {by})
+, c AS (SELECT {series}pane, count(*) AS c, count(*) FILTER (WHERE status >= 500) AS x FROM e GROUP BY ALL)
+, r AS (SELECT s.*, coalesce(sum(c.c), 0) AS n, coalesce(sum(c.x), 0) AS errors
+        FROM s LEFT JOIN c ON {on}c.pane <= s.pos AND c.pane > s.pos - {panes} GROUP BY ALL)
+"""
+
+
+def _steps_sql(panes, series=""):
+    return with_views("request_log") + _STEP_SQL.format(
+        now=_NOW_SQL, panes=panes, series=f"{series}, " if series else "", by=f"GROUP BY {series}" if series else "",
+        on=f"c.{series} = s.{series} AND " if series else "")
+
+
+_AT_SQL = "strftime(make_timestamp(pos * 60000000), '%Y-%m-%d %H:%M:%S')"
+
+
+@register("error_rate_rolling", sql=_steps_sql(5) + f"""
+SELECT {_AT_SQL} AS evaluated_at, CAST(n AS BIGINT) AS n, CAST(errors AS BIGINT) AS errors, coalesce(errors / nullif(n, 0) > 0.05, false) AS firing FROM r""")
+def q_error_rate_rolling(spark, sf):
+    """Errors of the last 5 minutes, evaluated each minute up to now."""
+    log = Catalog(spark, sf).request_log
+    r = R.at_steps(R.rolling_counts(log, _now(log), {"n": F.lit(True), "errors": F.col("status") >= 500}, 300))
+    rate = F.col("errors") / F.nullif(F.col("n"), F.lit(0))
+    return r.select(_ts("at").alias("evaluated_at"), "n", "errors", F.coalesce(rate > 0.05, F.lit(False)).alias("firing"))
+
+
+@register("zero_traffic_rolling", sql=_steps_sql(10, "model_version") + """
+, z AS (SELECT model_version, pos, pos - row_number() OVER (PARTITION BY model_version ORDER BY pos) AS run FROM r WHERE n = 0)
+SELECT model_version, strftime(make_timestamp(min(pos) * 60000000), '%Y-%m-%d %H:%M:%S') AS pending_at,
+  strftime(make_timestamp(max(pos) * 60000000), '%Y-%m-%d %H:%M:%S') AS last_at, (max(pos) - min(pos)) * 60 >= 600 AS fired
+FROM z GROUP BY model_version, run""")
+def q_zero_traffic_rolling(spark, sf):
+    """Runs without a prediction in the last 10 minutes, and whether they hold for 10
+    more: the outage up to now among them."""
+    log = Catalog(spark, sf).request_log
+    r = R.rolling_counts(log, _now(log), {"n": F.lit(True)}, 600, series=["model_version"])
+    runs = R.firing_for(r, F.col("n") == 0, 600, ["model_version"])
+    return runs.select("model_version", _ts("pending_at").alias("pending_at"), _ts("last_at").alias("last_at"), "fired")
+
+
+STALE = {"prediction_logged": 300, "model_loaded": 86400, "last_retrain": 604800}
+
+
+@register("staleness_series", sql=with_views("request_log") + f"""
+, v AS (SELECT model_version, min(ts) AS a, max(ts) AS z FROM request_log GROUP BY 1)
+, l AS (SELECT 'prediction_logged' AS series, max(z) AS t, 300 AS s FROM v UNION ALL SELECT 'model_loaded', max(a), 86400 FROM v
+        UNION ALL SELECT 'last_retrain', min(a), 604800 FROM v)
+SELECT series, strftime(t, '%Y-%m-%d %H:%M:%S') AS last_ts, CAST(floor(epoch({_NOW_SQL})) - floor(epoch(t)) AS BIGINT) AS age_s,
+  CAST(s AS BIGINT) AS threshold_s, floor(epoch({_NOW_SQL})) - floor(epoch(t)) > s AS stale FROM l""")
+def q_staleness_series(spark, sf):
+    """The three ages that are watched: of the newest prediction, of the version that
+    was loaded last (its first prediction), of the training behind it."""
+    log = Catalog(spark, sf).request_log
+    seen = log.groupBy("model_version").agg(F.min("ts").alias("a"), F.max("ts").alias("z"))
+    lasts = seen.agg(F.max("z").alias("prediction_logged"), F.max("a").alias("model_loaded"), F.min("a").alias("last_retrain"))
+    r = R.ages(lasts, _now(log), STALE)
+    return r.withColumn("last_ts", _ts("last_ts"))
+
+
 @register("failure_increase_1h", sql=with_views("request_log") + """
 SELECT count(*) FILTER (WHERE status >= 500) AS failures, count(*) FILTER (WHERE status >= 500) > 0 AS firing
 FROM request_log, (SELECT max(ts) AS now FROM request_log) n WHERE ts > now - INTERVAL 3600 SECOND AND ts <= now""")
