@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import exprs as X
 from ..operators import drift as D
 from ..operators import monitor as M
+from ..streaming import alerts as SA
 from ..streaming import drift as SD
 from ..streaming import monitor as SM
 from ..sources.fixtures import Catalog
@@ -102,3 +103,14 @@ def q_feedback_stream(spark, sf):
                       "feedback-stream")
     return r.select("event_id", "request_id", _ts("served_ts").alias("served_ts"), "model_version",
                     X.round6("served_score").alias("served_score"))
+
+
+@register("alert_sustained_stream", sql=REGISTRY["alert_sustained"].sql)
+def q_alert_sustained_stream(spark, sf):
+    """The error-rate alert as a state machine over a replay in order; the end marker
+    resolves what still fires."""
+    path = SM.stage_events_by_day(spark, sf, end_marker=True, in_order=True)
+    log = SM.read_request_log_stream(spark, path, files_per_trigger=40, watermark="1 day")
+    events = SM.run_append(spark, SA.sustained(M.error_rate(log), F.col("firing"), 300, 300), "alerts")  # the marker has status 200
+    return events.where("event = 'resolved'").select(
+        _ts("island_start").alias("island_start"), _ts("island_last").alias("island_last"), "n_windows", "fired")
