@@ -6,7 +6,7 @@ caller composes it into ``select``/``withColumn``/``agg``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab
@@ -119,3 +119,9 @@ def round6(c) -> Column:
 def safe_div(num, den) -> Column:
     """num / den, NULL when den is 0 or NULL (ANSI mode would raise)."""
     return _col(num) / F.nullif(_col(den), F.lit(0))
+
+
+def scalar_of(one_row: DataFrame, value: Column, like: DataFrame, col: str) -> Column:
+    """The single value of a one-row frame with the type of ``like``'s column, as a
+    scalar subquery: a comparison of the bare column with it reaches the scan."""
+    return one_row.select(value.cast(like.schema[col].dataType)).scalar()

@@ -78,9 +78,9 @@ def visible_meals(users: DataFrame, meal_agg: DataFrame) -> DataFrame:
 def recently_logged(entries: DataFrame, days: int, date_col: str = "entry_date",
                     meal_col: str = "meal_template_id") -> DataFrame:
     """DISTINCT (user_id, meal) logged within ``days`` of the newest entry."""
-    now = entries.agg(F.max(date_col).alias("_now"))  # one row: the reference time
-    recent = entries.crossJoin(now).filter(
-        F.col(meal_col).isNotNull() & (F.col(date_col) >= F.col("_now") - F.make_dt_interval(F.lit(days))))
+    newest = entries.agg(F.max(date_col).alias("_now"))  # one row: the reference time
+    start = X.scalar_of(newest, F.col("_now") - F.make_dt_interval(F.lit(days)), entries, date_col)
+    recent = entries.filter(F.col(meal_col).isNotNull() & (F.col(date_col) >= start))
     return recent.select("user_id", F.col(meal_col).alias("meal_id")).distinct()
 
 

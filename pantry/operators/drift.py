@@ -125,10 +125,9 @@ def lookback_window(log: DataFrame, state: DataFrame, ts_col: str = "ts", hours:
                     min_rows: int = 100) -> DataFrame:
     """Rows with ts >= max(now - hours, last_trigger_at); ``state`` is a one-row
     table (now, last_trigger_at).  Adds ``skipped`` when fewer than min_rows."""
-    cutoff = F.greatest(F.col("now") - F.make_dt_interval(hours=F.lit(hours)),
-                        F.coalesce(F.col("last_trigger_at"), F.col("now") - F.make_dt_interval(hours=F.lit(hours))))
-    j = log.crossJoin(state.select("now", "last_trigger_at", cutoff.alias("cutoff")))
-    win = j.filter(F.col(ts_col) >= F.col("cutoff"))
+    day = F.col("now") - F.make_dt_interval(hours=F.lit(hours))
+    cutoff = X.scalar_of(state, F.greatest(day, F.coalesce(F.col("last_trigger_at"), day)), log, ts_col)
+    win = log.filter(F.col(ts_col) >= cutoff)
     n = win.agg(F.count(F.lit(1)).alias("n_window"))  # one row, not a single-partition window
     return win.crossJoin(n).withColumn("skipped", F.col("n_window") < min_rows)
 

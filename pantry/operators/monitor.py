@@ -127,9 +127,9 @@ def staleness(log: DataFrame, series: str, now: DataFrame, threshold_s: int, ts:
 
 def failures_in_last(log: DataFrame, now: DataFrame, seconds: int = 3600, ts: str = "ts") -> DataFrame:
     """Failures (status >= 500) in the last ``seconds`` before now; alert when > 0."""
-    j = log.crossJoin(now.select(F.col("now")))
-    recent = j.filter((F.col(ts) > F.col("now") - F.make_dt_interval(secs=F.lit(seconds)))
-                      & (F.col(ts) <= F.col("now")))
+    # one subquery alone: two would be merged into a struct, which no scan takes
+    start = X.scalar_of(now, F.col("now") - F.make_dt_interval(secs=F.lit(seconds)), log, ts)
+    recent = log.filter(F.col(ts) > start).crossJoin(now.select("now")).filter(F.col(ts) <= F.col("now"))  # one row
     r = recent.agg(F.count(F.when(F.col("status") >= 500, 1)).alias("failures"))
     return r.withColumn("firing", F.col("failures") > 0)
 

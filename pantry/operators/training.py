@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
+from ..functions import exprs as X
 from ..session import cut_lineage
 from . import manifest as M
 
@@ -263,8 +264,8 @@ def dataset_manifest_tagged(tagged: DataFrame, split_col: str = "split", date_co
 def replay_window(df: DataFrame, days: int, date_col: str = "date") -> DataFrame:
     """Rows of the last ``days`` days relative to the newest date, with a ``day``
     text column; without any date all rows are kept as day 'undated'."""
-    mx = df.agg(F.max(date_col).alias("_mx"))  # one row
-    j = df.crossJoin(mx)
-    keep = F.col("_mx").isNull() | (F.col(date_col) >= F.col("_mx") - F.make_dt_interval(F.lit(days)))
-    day = F.when(F.col("_mx").isNull(), F.lit("undated")).otherwise(F.date_format(date_col, "yyyy-MM-dd"))
-    return j.filter(keep).withColumn("day", day).drop("_mx")
+    newest = df.agg(F.max(date_col).alias("_mx"))  # one row
+    start = X.scalar_of(newest, F.col("_mx") - F.make_dt_interval(F.lit(days)), df, date_col)
+    dated = df.filter(F.col(date_col) >= start).withColumn("day", F.date_format(date_col, "yyyy-MM-dd"))
+    none = newest.where(F.col("_mx").isNull()).select(F.lit("undated").alias("day"))  # a row if no date is known
+    return dated.unionByName(df.filter(F.col(date_col).isNull()).crossJoin(none))

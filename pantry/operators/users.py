@@ -7,20 +7,28 @@ Scale notes
   in every task before the shuffle; no group is ever collected.
 * The per-user Python loop of the reference (diet flags) becomes
   ``avg(exists(tags, ...))`` inside the same aggregate.
-* PCA fits on a d x d covariance (d = cuisine vocabulary, 22), which is the
-  only thing that reaches the driver.
+* PCA fits on d x d moments (d = cuisine vocabulary, 22) from one scan; eight of
+  them reach the driver.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+import operator
+import sys
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import vocab
 from ..functions import exprs as X
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package on their path
+
 HISTORY_RECIPE_COLS = ["recipe_id", "calories", "protein_g", "carbohydrate_g",
                        "total_fat_g", "cuisine", "tags"]
 TARGETS = [("calories", "daily_calorie_target"), ("protein_g", "protein_target_g"),
@@ -73,27 +81,71 @@ def history_pca(mix: DataFrame, k: int = vocab.HISTORY_PCA_COMPONENTS) -> DataFr
     k = min(k, #cuisines that occur, #users).  Signs are canonical: the
     largest-magnitude loading of every component is positive.  Missing
     components (k < 6) are NULL columns, like the reference's left merge.
+
+    One scan fits: tasks make moment matrices (count, means, products about the
+    means), which merge exactly like their rows' would; a second, lazy pass projects.
     """
     feats = [c for c in mix.columns if c.startswith("cuisine_")]
-    # one small job: which cuisines occur, and how many users (bounded result)
-    present = mix.agg(F.count(F.lit(1)).alias("_n"), *[F.max(F.col(c)).alias(c) for c in feats]).first()
-    used = [c for c in feats if present[c] is not None and present[c] > 0]
-    n_users = present["_n"]
+    n_users, mean, products, most = merged_moments(mix, feats)
+    used = [i for i in range(len(feats)) if most[i] > 0]
     kk = min(k, len(used), n_users)
     out_cols = [f"history_pc{i + 1}" for i in range(k)]
     if kk == 0:
         return mix.select("user_id", *[F.lit(None).cast("double").alias(c) for c in out_cols])
-    va = VectorAssembler(inputCols=used, outputCol="_x")
-    assembled = va.transform(mix.select("user_id", *used))
-    scaler = StandardScaler(withMean=True, withStd=False, inputCol="_x", outputCol="_xc").fit(assembled)
-    centred = scaler.transform(assembled)
-    model = PCA(k=kk, inputCol="_xc", outputCol="_pc").fit(centred)
-    pc = model.pc.toArray()  # d x kk, bounded by the vocabulary
-    signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(kk)]
-    proj = model.transform(centred).withColumn("_a", vector_to_array("_pc"))
-    return proj.select("user_id", *[
-        (F.col("_a")[j] * F.lit(signs[j])).alias(out_cols[j]) if j < kk
-        else F.lit(None).cast("double").alias(out_cols[j]) for j in range(k)])
+    _, vectors = np.linalg.eigh(products[np.ix_(used, used)])  # d x d, bounded by the vocabulary
+    loadings = vectors[:, ::-1][:, :kk]
+    loadings = loadings * np.where(loadings[np.abs(loadings).argmax(0), range(kk)] >= 0, 1.0, -1.0)
+
+    def component(j: int) -> Column:
+        if j >= kk:
+            return F.lit(None).cast("double")
+        return reduce(operator.add, [(F.col(feats[i]) - float(mean[i])) * float(w) for i, w in zip(used, loadings[:, j], strict=True)])
+
+    return mix.select("user_id", *[component(j).alias(c) for j, c in enumerate(out_cols)])
+
+
+def merged_moments(df: DataFrame, cols: list[str]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """(rows, means, sums of products about the means, greatest values) of ``cols`` over
+    rows without NULL among them, in one scan.  Each task hands on one matrix; after one shuffle eight
+    are left for the driver."""
+    d = len(cols)
+    names = ["n", "mean", "products", "most"]
+
+    def merge(parts: list[tuple]) -> tuple:
+        n, mean, products, most = 0, np.zeros(d), np.zeros((d, d)), np.full(d, -np.inf)
+        for m, other, p, top in parts:
+            if m:
+                gap = other - mean
+                products = products + p + np.outer(gap, gap) * (n * m / (n + m))
+                mean = mean + gap * (m / (n + m))
+                n, most = n + m, np.maximum(most, top)
+        return n, mean, products, most
+
+    def told(m: tuple) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([m[0]]), *(pa.array([x.ravel().tolist()], pa.list_(pa.float64())) for x in m[1:])], names=names)
+
+    def read(batch: pa.RecordBatch) -> list[tuple]:
+        return [(r["n"], np.array(r["mean"]), np.array(r["products"]).reshape(d, d), np.array(r["most"])) for r in batch.to_pylist()]
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = merge([])
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns])
+            if len(x):
+                about = x - x.mean(0)
+                so_far = merge([so_far, (len(x), x.mean(0), about.T @ about, x.max(0))])
+        yield told(so_far)
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        so_far = merge([])
+        for batch in batches:
+            so_far = merge([so_far, *read(batch)])
+        yield told(so_far)
+
+    schema = "n long, mean array<double>, products array<double>, most array<double>"
+    parts = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).dropna().mapInArrow(own, schema)
+    few = parts.repartition(8).mapInArrow(joined, schema)
+    return merge([(r["n"], np.array(r["mean"]), np.array(r["products"]).reshape(d, d), np.array(r["most"])) for r in few.collect()])
 
 
 def active_users(interactions: DataFrame, min_n: int = vocab.MIN_USER_INTERACTIONS) -> DataFrame:

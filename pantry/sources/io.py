@@ -43,9 +43,11 @@ def export_interactions(production: DataFrame) -> DataFrame:
 
 
 def read_since(df: DataFrame, state: DataFrame, ts_col: str = "date", state_col: str = "last_ts") -> DataFrame:
-    """Rows strictly newer than the last processed timestamp (one-row state)."""
-    return df.crossJoin(state.select(F.col(state_col).alias("_last"))).filter(
-        F.col("_last").isNull() | (F.col(ts_col) > F.col("_last"))).drop("_last")
+    """Rows strictly newer than the last processed timestamp; all rows where ``state``
+    (one row, read here) has none.  The bound is a literal that the scan gets."""
+    kind = dict(df.dtypes)[ts_col]
+    last = state.select(F.date_format(F.col(state_col), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()
+    return df if last is None or last[0] is None else df.where(F.col(ts_col) > F.lit(last[0]).cast(kind))
 
 
 def write_dataset(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None,
