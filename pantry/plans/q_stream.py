@@ -85,22 +85,25 @@ def q_drift_stream(spark, sf):
 
 @register("feedback_attribution_stream", sql=REGISTRY["feedback_attribution"].sql)
 def q_feedback_stream(spark, sf):
-    """The stream loses no row: its watermark spans the replay, and the end marker
-    gives out the feedback that still waits for a match."""
-    path = SM.stage_events_by_day(spark, sf, end_marker=True)
-    delay = SM.replay_span(spark, path)
-    log = SM.read_request_log_stream(spark, path, watermark=delay)
-    ev_schema = spark.read.parquet(path).schema
-    ev = spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 5).parquet(path).withWatermark("ts", delay)
-    # a condition on the event time too isn't moved below the watermark, which so sees the end marker
-    untimed = F.col("ts").isNull()
-    fb = ev.filter(F.col("event_type").isin("click", "purchase") | untimed).select(
-        "event_id", (F.col("event_id") - 1).alias("request_id"),
-        F.pmod(F.col("event_id") - 1, F.lit(2000)).alias("recipe_id"), F.col("ts").alias("feedback_ts"))
-    served = log.filter((F.col("rank_pos") == 1) | untimed)
-    joined = SM.feedback_attribution_stream(fb, served, 3600)
-    r = SM.run_append(spark, joined.select("event_id", "request_id", "served_ts", "model_version", "served_score"),
-                      "feedback-stream")
+    """A replay in order, whose rows are late by less than the watermark's day; the end
+    marker gives out the feedback that still waits.  What would be late all the same
+    comes from the side table."""
+    path = SM.stage_events_by_day(spark, sf, end_marker=True, in_order=True)
+    log = SM.read_request_log_stream(spark, path, files_per_trigger=40, watermark="1 day")
+    schema = spark.read.parquet(path).schema
+    ev = spark.readStream.schema(schema).option("maxFilesPerTrigger", 40).parquet(path).withWatermark("ts", "1 day")
+    marker = SM.never("ts")  # keeps the filters above the watermark, which so sees the end marker
+
+    def feedback(events, more):
+        return events.filter(F.col("event_type").isin("click", "purchase") | more).select(
+            "event_id", (F.col("event_id") - 1).alias("request_id"),
+            F.pmod(F.col("event_id") - 1, F.lit(2000)).alias("recipe_id"), F.col("ts").alias("feedback_ts"))
+
+    joined = SM.feedback_attribution_stream(feedback(ev, marker), log.filter((F.col("rank_pos") == 1) | marker), 3600)
+    done = SM.run_append(spark, joined.select("event_id", "request_id", "served_ts", "model_version", "served_score"), "feedback-stream")
+    whole = spark.read.parquet(path).where(F.col("event_type") != SM.END)
+    late = SM.late_attribution(feedback(whole, F.lit(False)), Catalog(spark, sf).request_log.where("rank_pos = 1"), done)
+    r = SM.corrected_attribution(done, late)
     return r.select("event_id", "request_id", _ts("served_ts").alias("served_ts"), "model_version",
                     X.round6("served_score").alias("served_score"))
 

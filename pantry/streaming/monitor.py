@@ -10,7 +10,7 @@ under the cluster's shared ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import monitor as M
@@ -61,6 +61,13 @@ def read_request_log_stream(spark: SparkSession, events_path: str, files_per_tri
     return spark.sql(VIEW_SQL["request_log"], events=ev)
 
 
+def never(ts: str) -> Column:
+    """False for every event, but a condition on the event time: a filter that has it
+    beside others stays above the watermark, which so sees the rows it drops.  (IS NULL
+    would not do: a join's own IS NOT NULL takes it out.)"""
+    return F.col(ts) < F.lit("0001-01-02 00:00:00").cast("timestamp")
+
+
 def _run(query_writer, checkpoint: str):
     q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
@@ -92,25 +99,39 @@ def run_to_table(spark: SparkSession, stream: DataFrame, name: str, mode: str =
     return spark.read.parquet(out)
 
 
-def run_append(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Append-mode query to a parquet sink (exactly-once file sink), then read."""
+def run_append(spark: SparkSession, stream: DataFrame, name: str, progress: list | None = None) -> DataFrame:
+    """Append-mode query to a parquet sink (exactly-once file sink), then read.
+    ``progress`` gets (rows held as state, rows dropped as late) of the last batches."""
     out = output_root(spark, name)
-    _run(stream.writeStream.outputMode("append").format("parquet").option("path", out), out + "-ckpt")
-    return spark.read.parquet(out)
-
-
-def replay_span(spark: SparkSession, events_path: str) -> str:
-    """A watermark that fits a replay: files of a finished table come in any
-    order, so an event may be late by the whole span of the table.  A live
-    source has a bound of its own, such as WATERMARK."""
-    span = spark.read.parquet(events_path).where(F.col("event_type") != END).agg(
-        F.max("ts").cast("double") - F.min("ts").cast("double")).first()[0]
-    return f"{int(span or 0) + 1} seconds"
+    q = _run(stream.writeStream.outputMode("append").format("parquet").option("path", out), out + "-ckpt")
+    if progress is not None:
+        progress += [(sum(o["numRowsTotal"] for o in p["stateOperators"]), sum(o["numRowsDroppedByWatermark"] for o in p["stateOperators"]))
+                     for p in q.recentProgress]
+    return spark.read.schema(stream.schema).parquet(out)
 
 
 def feedback_attribution_stream(feedback: DataFrame, served: DataFrame, max_delay_s: int = 3600) -> DataFrame:
     """Stream-stream LEFT join of two streams that carry watermarks, with an
-    event-time bound, so state for served rows is dropped once no feedback can
-    match them.  The watermarks' delay decides which late rows are lost: none,
-    if it is as long as the source's disorder."""
+    event-time bound: state holds the rows of the watermarks' delay and of
+    ``max_delay_s``, whatever the length of the stream.  Rows later than the
+    watermarks are dropped; ``late_attribution`` finds what that has cost."""
     return M.feedback_attribution(feedback, served, max_delay_s)
+
+
+def late_attribution(feedback: DataFrame, served: DataFrame, attributed: DataFrame, max_delay_s: int = 3600) -> DataFrame:
+    """The side table of late rows: of the finished tables ``feedback`` and ``served``,
+    the attributions that the stream's result lacks, since the feedback came too late
+    (``late`` = feedback) or what it answers did (``late`` = served; the stream then
+    says that nothing matches).  Stream rows without those of the second kind, and
+    this table, are together the batch result."""
+    seen = attributed.groupBy("event_id").agg(F.max(F.col("served_ts").isNotNull()).alias("_matched"))
+    open_ = feedback.join(seen, "event_id", "left").where(~F.coalesce("_matched", F.lit(False)))
+    again = M.feedback_attribution(open_, served, max_delay_s)
+    return again.where(F.col("_matched").isNull() | F.col("served_ts").isNotNull()).withColumn(
+        "late", F.when(F.col("_matched").isNull(), "feedback").otherwise("served")).drop("_matched")
+
+
+def corrected_attribution(attributed: DataFrame, late: DataFrame) -> DataFrame:
+    """The batch result from a stream's rows and the side table."""
+    wrong = late.where("late = 'served'").select("event_id").distinct()
+    return attributed.join(wrong, "event_id", "left_anti").unionByName(late.select(*attributed.columns))
