@@ -16,6 +16,8 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,8 +98,9 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
     none of the requested allergens.  Bucketed range join (see module notes).
 
     requests: request_id, calorie_target, time_limit and boolean exclusion
-    columns named in ``allergen_flags`` (column -> has_* flag of the recipe).  A
-    request without a target or limit has the defaults of 600 kcal and 120 minutes.
+    columns named in ``allergen_flags`` (column -> has_* flag of the recipe; all nine
+    allergens by default, as far as both sides have them).  The flags of a row are one
+    mask, so the test in the join is one ``and``.  A request without a target or limit has the defaults of 600 kcal and 120 minutes.
 
     The planner picks the join by measured sizes; a popular bucket of a shuffled
     join is split by AQE.
@@ -105,34 +108,37 @@ def rule_candidates(requests: DataFrame, recipes: DataFrame, bucket_width: float
     requests = requests.withColumns({
         "calorie_target": F.coalesce(F.col("calorie_target").cast("double"), F.lit(vocab.DEFAULT_CALORIE_TARGET)),
         "time_limit": F.coalesce(F.col("time_limit").cast("double"), F.lit(vocab.DEFAULT_TIME_LIMIT))})
-    allergen_flags = allergen_flags or {"no_milk": "has_milk", "no_egg": "has_egg", "no_wheat": "has_wheat"}
+    allergen_flags = allergen_flags or {f"no_{a}": f"has_{a}" for a in vocab.ALLERGENS_SORTED}
+    flags = [(no, has) for no, has in allergen_flags.items() if no in requests.columns and has in recipes.columns]
+
+    def mask(bits: list[Column]) -> Column:
+        return reduce(Column.__add__, [F.when(b, F.lit(1 << i)).otherwise(F.lit(0)) for i, b in enumerate(bits)], F.lit(0))
+
     lo = F.col("calorie_target") * F.lit(low)
     hi = F.col("calorie_target") * F.lit(high)
-    req = requests.withColumn("_b", F.explode(F.sequence(F.floor(lo / bucket_width).cast("bigint"),
+    req = requests.withColumn("_no", mask([F.col(no) for no, _ in flags])).withColumn("_b", F.explode(F.sequence(F.floor(lo / bucket_width).cast("bigint"),
                                                          F.floor(hi / bucket_width).cast("bigint"))))
-    rec = recipes.filter(F.col("calories").isNotNull()).withColumn(
+    rec = recipes.filter(F.col("calories").isNotNull()).withColumn("_has", mask([F.col(has) == 1 for _, has in flags])).withColumn(
         "_b", F.floor(F.col("calories") / bucket_width).cast("bigint"))
     j = req.join(rec, "_b", "inner")
     cond = (F.col("calories") >= lo) & (F.col("calories") <= hi) & (F.col("minutes") <= F.col("time_limit"))
-    for req_col, flag in allergen_flags.items():
-        cond = cond & ~(F.coalesce(F.col(req_col), F.lit(False)) & (F.col(flag) == 1))
-    return j.filter(cond).drop("_b")
+    return j.filter(cond & (F.col("_no").bitwiseAND(F.col("_has")) == 0)).drop("_b", "_no", "_has")
 
 
 def candidate_features(cands: DataFrame, user_feats: DataFrame, meal_type: str = "dinner",
                        time_of_day: str = "evening") -> DataFrame:
     """Candidate rows + user features + meal/time one-hots + cuisine one-hots
-    over the fixed vocabulary (no dynamic pivot).  An unknown user has the default
-    targets; any other NULL -> 0."""
+    over the fixed vocabulary (no dynamic pivot).  Each row's meal and time are its
+    request's (columns ``meal_type`` and ``time_of_day``; NULL or no such column: the
+    given defaults).  An unknown user has the default targets; any other NULL -> 0."""
     j = cands.join(user_feats, "user_id", "left")
     j = j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(d)) for c, d in vocab.TARGET_DEFAULTS.items() if c in j.columns})
-    extra = {f"meal_{m}": F.lit(1 if m == meal_type else 0)
-             for m in ["breakfast", "lunch", "dinner", "snack", "dessert"]}
-    extra["time_morning"] = F.lit(1 if time_of_day == "morning" else 0)
-    extra["time_evening"] = F.lit(1 if time_of_day == "evening" else 0)
-    extra.update({f"cuisine_{c}": (F.col("cuisine") == F.lit(c)).cast("int") for c in vocab.CUISINES})
-    j = j.withColumns(extra)
-    return j.fillna(0)
+    meal, time = (F.coalesce(F.col(c), F.lit(d)) if c in cands.columns else F.lit(d)
+                  for c, d in (("meal_type", meal_type), ("time_of_day", time_of_day)))
+    extra = {f"meal_{m}": (meal == m).cast("int") for m in ["breakfast", "lunch", "dinner", "snack", "dessert"]}
+    extra |= {f"time_{t}": (time == t).cast("int") for t in ["morning", "evening"]}
+    extra |= {f"cuisine_{c}": (F.col("cuisine") == F.lit(c)).cast("int") for c in vocab.CUISINES}
+    return j.withColumns(extra).fillna(0)
 
 
 def with_goals(cands: DataFrame, goals: DataFrame, prefix: str = "goal_") -> DataFrame:

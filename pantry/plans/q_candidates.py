@@ -111,14 +111,18 @@ def q_exclude_recent_meals(spark, sf):
     return C.exclude_recent_meals(own, _recent(cat))
 
 
+#: The recipe side of a request's features; of these, enrichment has no sodium in mg.
+RECIPE_FEATURES = ["calories", "protein_g", "carbohydrate_g", "total_fat_g", "sugar_g", "sodium_g", "saturated_fat_g",
+                   "n_ingredients", "n_steps", "minutes", "avg_rating", "n_reviews"]
+
+
 def _rule_ctes():
-    flags = ", ".join(f"CAST(coalesce(list_contains(allergens, {S.q(a)}), false) AS INTEGER) AS has_{a}"
-                      for a in ("milk", "egg", "wheat"))
-    return [("rec", f"SELECT recipe_id, calories, minutes, {flags} FROM enriched"),
-            ("cand", """SELECT c.request_id, r.recipe_id, r.calories FROM contexts c JOIN rec r
+    flags = ", ".join(f"CAST(coalesce(list_contains(allergens, {S.q(a)}), false) AS INTEGER) AS has_{a}" for a in vocab.ALLERGENS_SORTED)
+    free = " ".join(f"AND NOT (coalesce(c.no_{a}, false) AND r.has_{a} = 1)" for a in vocab.ALLERGENS_SORTED)
+    return [("rec", f"SELECT recipe_id, cuisine, {', '.join(RECIPE_FEATURES)}, {flags} FROM enriched"),
+            ("cand", f"""SELECT c.request_id, r.* FROM contexts c JOIN rec r
   ON r.calories >= coalesce(c.calorie_target, 600) * 0.5 AND r.calories <= coalesce(c.calorie_target, 600) * 1.5
-  AND r.minutes <= coalesce(c.time_limit, 120)
-  AND NOT (c.no_milk AND r.has_milk = 1) AND NOT (c.no_egg AND r.has_egg = 1) AND NOT (c.no_wheat AND r.has_wheat = 1)""")]
+  AND r.minutes <= coalesce(c.time_limit, 120) {free}""")]
 
 
 def _rule_sql():
@@ -127,9 +131,8 @@ def _rule_sql():
 
 def _rule_spark(spark, sf):
     p = pipeline(spark, sf)
-    rec = p.enriched.select("recipe_id", "calories", "minutes", *[
-        F.coalesce(F.array_contains("allergens", a).cast("int"), F.lit(0)).alias(f"has_{a}")
-        for a in ("milk", "egg", "wheat")])
+    rec = p.enriched.select("recipe_id", "cuisine", *RECIPE_FEATURES, *[
+        F.coalesce(F.array_contains("allergens", a).cast("int"), F.lit(0)).alias(f"has_{a}") for a in vocab.ALLERGENS_SORTED])
     return p, C.rule_candidates(p.cat.contexts, rec)
 
 
@@ -144,24 +147,30 @@ def q_rule_candidates(spark, sf):
                                        X.rnd(F.max("calories"), 6).alias("max_calories"))
 
 
+_MEALS_OF_DAY = ["breakfast", "lunch", "dinner", "snack", "dessert"]
+_SUMMED = RECIPE_FEATURES + [f"has_{a}" for a in vocab.ALLERGENS_SORTED]
+
+
 @register("candidate_features", sql=with_views("interactions", "recipes", "contexts",
-                                               extra=S.training_ctes() + _rule_ctes()) + """
+                                               extra=S.training_ctes() + _rule_ctes()) + f"""
 SELECT c.request_id, count(*) AS n_candidates, round(sum(coalesce(u.daily_calorie_target, 2000.0)), 6) AS sum_calorie_target,
   CAST(sum(coalesce(u.user_vegan, 0)) AS BIGINT) AS sum_user_vegan,
-  CAST(sum(CASE WHEN e.cuisine = 'italian' THEN 1 ELSE 0 END) AS BIGINT) AS n_italian, CAST(count(*) AS BIGINT) AS n_dinner
-FROM cand c JOIN contexts x ON c.request_id = x.request_id JOIN enriched e ON c.recipe_id = e.recipe_id
-LEFT JOIN user_features u ON x.user_id = u.user_id GROUP BY c.request_id""")
+  CAST(sum(CASE WHEN c.cuisine = 'italian' THEN 1 ELSE 0 END) AS BIGINT) AS n_italian,
+  {", ".join(f"CAST(sum(CASE WHEN coalesce(x.meal_type, 'dinner') = '{m}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{m}" for m in _MEALS_OF_DAY)},
+  {", ".join(f"CAST(sum(CASE WHEN coalesce(x.time_of_day, 'evening') = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{t}" for t in ("morning", "evening"))},
+  {", ".join(f"round(CAST(sum(CAST(coalesce(c.{f}, 0) AS DECIMAL(28,8))) AS DOUBLE) / count(*), 4) AS mean_{f}" for f in _SUMMED)}
+FROM cand c JOIN contexts x ON c.request_id = x.request_id LEFT JOIN user_features u ON x.user_id = u.user_id GROUP BY c.request_id""")
 def q_candidate_features(spark, sf):
     p, c = _rule_spark(spark, sf)
-    cands = c.join(p.cat.contexts.select("request_id", "user_id"), "request_id").join(
-        p.enriched.select("recipe_id", "cuisine"), "recipe_id")
-    feats = C.candidate_features(cands, p.user_features)
+    feats = C.candidate_features(c, p.user_features)
     return feats.groupBy("request_id").agg(
         F.count(F.lit(1)).alias("n_candidates"),
         X.rnd(F.sum("daily_calorie_target"), 6).alias("sum_calorie_target"),
         F.sum("user_vegan").cast("bigint").alias("sum_user_vegan"),
         F.sum("cuisine_italian").cast("bigint").alias("n_italian"),
-        F.sum("meal_dinner").cast("bigint").alias("n_dinner"))
+        *[F.sum(f"meal_{m}").cast("bigint").alias(f"n_{m}") for m in _MEALS_OF_DAY],
+        *[F.sum(f"time_{t}").cast("bigint").alias(f"n_{t}") for t in ("morning", "evening")],
+        *[X.rnd(F.sum(F.col(f).cast("decimal(28,8)")).cast("double") / F.count(F.lit(1)), 4).alias(f"mean_{f}") for f in _SUMMED])
 
 
 _OWN_SQL = ("own", "SELECT a.*, " + ", ".join(f"coalesce(g.{c}, {vocab.GOAL_DEFAULTS[c]}) AS goal_{c}" for c in C.GOAL_COLS)

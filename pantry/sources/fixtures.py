@@ -74,7 +74,11 @@ SELECT o_orderkey AS id, concat('meal ', CAST(o_orderkey AS VARCHAR(20))) AS nam
 SELECT l_orderkey AS meal_id, l_partkey * 2 AS variant_id, l_quantity AS quantity, l_linenumber FROM {lineitem}""",
     "contexts": """
 SELECT c_custkey AS request_id, c_custkey AS user_id, 300 + c_custkey % 600 AS calorie_target, 10 + c_custkey % 60 AS time_limit,
-  c_custkey % 2 = 0 AS no_milk, c_custkey % 3 = 0 AS no_egg, c_custkey % 5 = 0 AS no_wheat FROM {customer}""",
+  c_custkey % 2 = 0 AS no_milk, c_custkey % 3 = 0 AS no_egg, c_custkey % 5 = 0 AS no_wheat,
+  c_custkey % 7 = 0 AS no_nuts, c_custkey % 11 = 0 AS no_peanut, c_custkey % 13 = 0 AS no_fish, c_custkey % 17 = 0 AS no_shellfish,
+  c_custkey % 19 = 0 AS no_soy, CASE WHEN c_custkey % 23 > 1 THEN false WHEN c_custkey % 23 = 1 THEN true END AS no_sesame,
+  CASE c_custkey % 6 WHEN 0 THEN 'breakfast' WHEN 1 THEN 'lunch' WHEN 2 THEN 'dinner' WHEN 3 THEN 'snack' WHEN 4 THEN 'dessert' END AS meal_type,
+  CASE c_custkey % 4 WHEN 0 THEN 'morning' WHEN 1 THEN 'evening' WHEN 2 THEN 'noon' END AS time_of_day FROM {customer}""",
     "model_runs": """
 SELECT n_nationkey AS run_id, CAST(50 + (n_nationkey * 37) % 40 AS DOUBLE) / 100 AS ndcg_at_10, n_nationkey % 5 <> 0 AS fairness_passed, n_nationkey % 6 = 3 AS is_production FROM {nation}""",
     "products": """

@@ -275,3 +275,27 @@ def test_pool_queries_reach_other_users_meals(spark):
         assert any(own[m][0] != u for u, m in out) and all(own[m][0] == u or own[m][1] for u, m in out)
         assert pairs is None or out <= pairs
         pairs = pairs or out
+
+
+def test_rule_candidates_know_all_allergens(spark):
+    from pantry import vocab
+    names = vocab.ALLERGENS_SORTED
+    assert len(names) == 9
+    kinds = ", ".join(f"has_{a} int" for a in names)
+    rec = spark.createDataFrame([(m, 600.0, 10, *[m >> i & 1 for i in range(9)]) for m in range(512)], f"recipe_id int, calories double, minutes int, {kinds}")
+    asked = [0, 1, 256, 511, 0b101010101]
+    req = spark.createDataFrame([(q, 600, 60, *[None if not q >> i & 1 and i % 2 else bool(q >> i & 1) for i in range(9)]) for q in asked],
+                                "request_id int, calorie_target int, time_limit int, " + ", ".join(f"no_{a} boolean" for a in names))
+    got = sorted((r["request_id"], r["recipe_id"]) for r in C.rule_candidates(req, rec).collect())
+    assert got == sorted((q, m) for q in asked for m in range(512) if not q & m)
+
+
+def test_candidate_features_take_each_requests_meal_and_time(spark):
+    cands = spark.createDataFrame([(1, 7, "italian", "lunch", "morning"), (2, 7, "thai", None, None), (3, 8, None, "brunch", "noon")],
+                                  "request_id int, user_id int, cuisine string, meal_type string, time_of_day string")
+    users = spark.createDataFrame([(7, 1800.0)], "user_id int, daily_calorie_target double")
+    got = {r["request_id"]: r for r in C.candidate_features(cands, users).collect()}
+    assert [(got[i]["meal_lunch"], got[i]["meal_dinner"], got[i]["time_morning"], got[i]["time_evening"]) for i in (1, 2, 3)] == [
+        (1, 0, 1, 0), (0, 1, 0, 1), (0, 0, 0, 0)]
+    assert got[3]["daily_calorie_target"] == 2000.0 and got[1]["cuisine_italian"] == 1 and got[3]["cuisine_italian"] == 0
+    assert C.candidate_features(cands.drop("meal_type", "time_of_day"), users).where("meal_dinner = 1 and time_evening = 1").count() == 3
