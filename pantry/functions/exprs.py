@@ -86,6 +86,14 @@ def stable_id(c) -> Column:
     return h.cast("bigint").bitwiseAND(F.lit(2147483647)).cast("bigint")
 
 
+def id_collisions(df: DataFrame, c: str, bits: int = 31) -> DataFrame:
+    """surrogate, n_ids, first_id, last_id of surrogates (their lowest ``bits``) that
+    more than one id shares: what a job must know before it joins on surrogates."""
+    ids = df.select(F.col(c).cast("string").alias("id")).where("id is not null").distinct()
+    surrogate = stable_id("id").bitwiseAND(F.lit((1 << bits) - 1)).alias("surrogate")
+    return ids.groupBy(surrogate).agg(F.count(F.lit(1)).alias("n_ids"), F.min("id").alias("first_id"), F.max("id").alias("last_id")).where("n_ids > 1")
+
+
 def meal_context(ts) -> Column:
     """Hour of day -> breakfast [5,10), lunch [10,14), dinner [18,22), else snack."""
     h = F.hour(_col(ts))

@@ -94,6 +94,14 @@ def score_histogram(log: DataFrame, width: str = "1 hour", ts: str = "ts") -> Da
     return b.select(*_ws(width), *[c for c in b.columns if c.startswith("le_")])
 
 
+def batch_size_histogram(log: DataFrame, request: list[str], width: str = "1 day", ts: str = "ts") -> DataFrame:
+    """Cumulative buckets of the number of instances per request: rows of one
+    ``request`` (its key columns) and window are one batch."""
+    sizes = log.groupBy(_win(ts, width), *request).agg(F.count(F.lit(1)).alias("n_instances"))
+    b = bucket_counts(sizes, "n_instances", BATCH_SIZE_BUCKETS, ["window"])
+    return b.select(*_ws(width), *[c for c in b.columns if c.startswith("le_")])
+
+
 def throughput(log: DataFrame, width_s: int = 600, series: str = "model_version",
                ts: str = "ts", now: DataFrame | None = None) -> DataFrame:
     """Predictions per second per (window, series), including zero-traffic

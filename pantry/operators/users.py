@@ -210,21 +210,26 @@ def last_n_positive(interactions: DataFrame, enriched: DataFrame, n: int = 100,
 
 
 def user_feature_lookup(users: DataFrame, cached: DataFrame, recent: DataFrame) -> DataFrame:
-    """Layered lookup for a batch of users: cache -> recent history -> defaults.
+    """Layered lookup for a batch of users: cache -> recent history -> defaults, all 16
+    user features (targets, diet flags, history components).
 
-    The layer is chosen per row (``source``), not per column: a NULL inside a
-    cached row stays NULL.
+    The layer is chosen per row (``source``), not per column: a NULL inside a cached
+    row stays NULL.  History knows the four targets; its other features, those of the
+    defaults, and columns that the cache lacks are 0.  A user that is looked up twice
+    has two rows.
     """
-    tcols = [t for _, t in TARGETS]
-    c = cached.select("user_id", *[F.col(t).alias(f"_c_{t}") for t in tcols],
-                      F.lit(True).alias("_in_cache"))
-    r = recent.select("user_id", *[F.col(t).alias(f"_r_{t}") for t in tcols],
-                      F.lit(True).alias("_in_recent"))
+    targets = [t for _, t in TARGETS]
+    others = [*vocab.DIET_TAGS, *(f"history_pc{i + 1}" for i in range(vocab.HISTORY_PCA_COMPONENTS))]
+    held = [c for c in targets + others if c in cached.columns]
+    c = cached.select("user_id", F.struct(*held).alias("_c"))
+    r = recent.select("user_id", F.struct(*targets).alias("_r"))
     j = users.select("user_id").join(c, "user_id", "left").join(r, "user_id", "left")
-    source = (F.when(F.col("_in_cache"), F.lit("cache"))
-              .when(F.col("_in_recent"), F.lit("history")).otherwise(F.lit("default")))
-    j = j.withColumn("source", source)
-    out = [F.when(F.col("source") == "cache", F.col(f"_c_{t}"))
-           .when(F.col("source") == "history", F.col(f"_r_{t}"))
-           .otherwise(F.lit(vocab.ONLINE_DEFAULT_TARGETS[t])).alias(t) for t in tcols]
-    return j.select("user_id", "source", *out)
+    source = F.when(F.col("_c").isNotNull(), "cache").when(F.col("_r").isNotNull(), "history").otherwise("default")
+
+    def value(t: str) -> Column:
+        zero = F.lit(0 if t in vocab.DIET_TAGS else 0.0)
+        known = F.col(f"_c.{t}") if t in held else zero
+        rest = F.when(F.col("_r").isNotNull(), F.col(f"_r.{t}")).otherwise(F.lit(vocab.ONLINE_DEFAULT_TARGETS[t])) if t in targets else zero
+        return F.when(F.col("_c").isNotNull(), known).otherwise(rest).alias(t)
+
+    return j.select("user_id", source.alias("source"), *map(value, targets + others))

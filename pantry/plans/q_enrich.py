@@ -158,3 +158,12 @@ def q_pseudonymise_ids(spark, sf):
     return (r.groupBy("name").agg(F.count(F.lit(1)).alias("n_ids"),
                                   F.min("recipe_id").alias("first_id"))
             .withColumn("surrogate", X.stable_id("name")))
+
+
+@register("pseudonymise_collisions", sql=with_views("interactions") + """
+, i AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS id FROM interactions)
+, h AS (SELECT id, CAST(('0x' || substr(sha256(id), 1, 8))::BIGINT & 65535 AS BIGINT) AS surrogate FROM i)
+SELECT surrogate, count(*) AS n_ids, min(id) AS first_id, max(id) AS last_id FROM h GROUP BY surrogate HAVING count(*) > 1""")
+def q_pseudonymise_collisions(spark, sf):
+    """Order ids under 16-bit surrogates, as many as collide at any size."""
+    return X.id_collisions(Catalog(spark, sf).interactions, "l_orderkey", bits=16)

@@ -13,7 +13,7 @@ from ..operators import users as U
 from ..sources import io as IO
 from ..sources.fixtures import Catalog, production_split
 from . import sqlparts as S
-from .common import split_training, TARGET_COLS, out, pipeline
+from .common import DIET_COLS, TARGET_COLS, out, pipeline, split_training
 from .registry import register, with_views
 
 RECIPE_CSV_SCHEMA = StructType([
@@ -196,14 +196,15 @@ SELECT x.user_id, CASE WHEN c.user_id IS NOT NULL THEN 'cache' WHEN r.user_id IS
 """ + ",\n".join(
     f"round(CASE WHEN c.user_id IS NOT NULL THEN c.{t} WHEN r.user_id IS NOT NULL THEN r.{t} ELSE {v} END, 6) AS {t}"
     for t, v in [("daily_calorie_target", 2000.0), ("protein_target_g", 50.0), ("carbs_target_g", 275.0),
-                 ("fat_target_g", 65.0)]) + """
+                 ("fat_target_g", 65.0)]) + ",\n" + ",\n".join(
+    f"CASE WHEN c.user_id IS NOT NULL THEN c.{t} ELSE 0 END AS {t}" for t in DIET_COLS) + """
 FROM contexts x LEFT JOIN cached c ON x.user_id = c.user_id LEFT JOIN recent r ON x.user_id = r.user_id""")
 def q_user_feature_lookup(spark, sf):
     p = pipeline(spark, sf)
     cached = p.user_features.filter(F.pmod("user_id", F.lit(2)) == 0)
     recent = U.last_n_positive(p.labeled, p.enriched)
     r = U.user_feature_lookup(p.cat.contexts, cached, recent)
-    return out(r, ["user_id", "source"] + TARGET_COLS)
+    return out(r, ["user_id", "source"] + TARGET_COLS + DIET_COLS)  # components have no SQL; a test has them
 
 
 @register("meal_context", sql=with_views("request_log") + """

@@ -204,6 +204,15 @@ def q_score_histogram(spark, sf):
     return _fmt_windows(M.score_histogram(Catalog(spark, sf).request_log))
 
 
+@register("batch_size_histogram", sql=with_views("request_log") + f"""
+, b AS (SELECT {_bucket(86400)} AS ws, user_id, count(*) AS n FROM request_log GROUP BY ALL)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL '86400 seconds', '%Y-%m-%d %H:%M:%S') AS window_end, """ + ", ".join(
+    f"count(*) FILTER (WHERE n <= {b}) AS le_{i}" for i, b in enumerate(M.BATCH_SIZE_BUCKETS)) + ", count(n) AS le_inf FROM b GROUP BY ws")
+def q_batch_size_histogram(spark, sf):
+    """A user's rows of a day stand for the instances of one request."""
+    return _fmt_windows(M.batch_size_histogram(Catalog(spark, sf).request_log, ["user_id"], "86400 seconds"))
+
+
 @register("throughput_rate", sql=with_views("request_log") + f"""
 , spine AS (SELECT unnest(generate_series({_bucket(600).replace('ts,', 'min(ts),')}, {_bucket(600).replace('ts,', 'max(ts) + INTERVAL 90 MINUTE,')},
     INTERVAL '600 seconds')) AS ws FROM request_log)

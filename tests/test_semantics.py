@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pantry import vocab
 from pantry.functions import exprs as X
+from pantry.operators import users as U
 from pantry.operators import candidates as C
 from pantry.operators import monitor as M
 from pantry.operators import quality as Q
@@ -299,3 +300,23 @@ def test_candidate_features_take_each_requests_meal_and_time(spark):
         (1, 0, 1, 0), (0, 1, 0, 1), (0, 0, 0, 0)]
     assert got[3]["daily_calorie_target"] == 2000.0 and got[1]["cuisine_italian"] == 1 and got[3]["cuisine_italian"] == 0
     assert C.candidate_features(cands.drop("meal_type", "time_of_day"), users).where("meal_dinner = 1 and time_evening = 1").count() == 3
+
+
+def test_user_feature_lookup_gives_all_sixteen(spark):
+    from pantry import vocab
+    targets, pcs = [t for _, t in U.TARGETS], [f"history_pc{i}" for i in range(1, 7)]
+    cached = spark.createDataFrame([(1, 1.0, None, 3.0, 4.0, *[1] * 6, *[0.5, None, 0.25, 0.0, 0.0, -1.0])],
+                                   "user_id int, " + ", ".join([f"{t} double" for t in targets] + [f"{d} int" for d in vocab.DIET_TAGS] + [f"{p} double" for p in pcs]))
+    recent = spark.createDataFrame([(1, 9.0, 9.0, 9.0, 9.0), (2, 5.0, 6.0, 7.0, 8.0)], "user_id int, " + ", ".join(f"{t} double" for t in targets))
+    got = {r["user_id"]: r for r in U.user_feature_lookup(spark.createDataFrame([(1,), (2,), (3,)], "user_id int"), cached, recent).collect()}
+    assert len(got[1]) == 18 and got[1]["source"] == "cache" and got[1][targets[1]] is None and got[1]["history_pc6"] == -1.0 and got[1]["user_vegan"] == 1
+    assert got[2]["source"] == "history" and [got[2][t] for t in targets] == [5.0, 6.0, 7.0, 8.0]
+    assert got[3]["source"] == "default" and [got[3][t] for t in targets] == [2000.0, 50.0, 275.0, 65.0]
+    assert all(got[u][c] == 0 for u in (2, 3) for c in [*vocab.DIET_TAGS, *pcs])
+
+
+def test_collisions_are_reported(spark):
+    frame = spark.createDataFrame([(f"id{i}",) for i in range(400)] + [("id1",), (None,)], "id string")
+    found = X.id_collisions(frame, "id", bits=8).collect()
+    assert sum(r["n_ids"] for r in found) > 200 and all(r["n_ids"] > 1 and r["first_id"] < r["last_id"] for r in found)
+    assert X.id_collisions(frame, "id").collect() == []
