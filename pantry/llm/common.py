@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import numpy as np
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -64,3 +65,27 @@ def utf8_bytes(col: Column) -> Column:
 
 def crc32_text(col: Column) -> Column:
     return F.crc32(F.coalesce(col, F.lit("")).cast("binary"))
+
+
+#: Bitmaps hold 16 bits a key, 128 kB at least and 32 MB at most.
+BITMAP_LOGS = (20, 28)
+
+
+def bitmap(keys: DataFrame, n: int) -> np.ndarray:
+    """One bit for each 64-bit hash of the only column, sized by their number ``n``.
+    Beyond 2^24 keys more and more others are held by chance; whoever asks must
+    allow for them."""
+    log = min(max((16 * n).bit_length(), BITMAP_LOGS[0]), BITMAP_LOGS[1])
+    b = F.shiftrightunsigned(F.col(keys.columns[0]), 64 - log)
+    rows = keys.select(F.floor(b / 32768).cast("int").alias("n"), F.pmod(b, F.lit(32768)).alias("b")).select(
+        "n", F.expr("bitmap_bit_position(b + 1)").alias("b")).groupBy("n").agg(F.expr("bitmap_construct_agg(b)").alias("bits")).collect()
+    out = np.zeros((1 << log) // 8, np.uint8)
+    for r in rows:
+        out[r["n"] * 4096:(r["n"] + 1) * 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
+
+
+def probed(keys: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether each 64-bit hash may be among the bitmap's keys."""
+    h = (keys.view(np.uint64) >> np.uint64(64 - (8 * len(bits)).bit_length() + 1)).astype(np.int64)
+    return (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1

@@ -9,12 +9,15 @@ from the anchor, and no deeper than their windows reach.
 
 1. Anchors are counted by gram; one whose gram occurs once is done.
 2. The others' contexts (all bytes that their windows hold) are counted by hash;
-   a context that occurs twice is repeated as a whole.
-3. What is left, mostly passages' edges, is sorted: each round inserts one symbol
-   of every context, from the last column to the first, and updates the order
-   (the collection's Burrows-Wheeler transform is the next column read in that
-   order) and the common prefixes of neighbours.  A window is repeated if its
-   suffix shares LENGTH bytes with a neighbour's.
+   a context that occurs twice is repeated as a whole.  Its places don't travel:
+   the last pass over the texts finds them by a bitmap of such contexts, and the
+   single contexts that the bitmap holds by chance are listed and left out.
+3. What is left, mostly passages' edges, is sorted, one copy of each different
+   context: each round inserts one symbol of every context, from the last column
+   to the first, and updates the order (the collection's Burrows-Wheeler
+   transform is the next column read in that order) and the common prefixes of
+   neighbours.  A window is repeated if its suffix shares LENGTH bytes with a
+   neighbour's.
 
 A bucket of contexts is bounded, so its columns are arrays read in sequence, and
 no file is needed.  A gram with more contexts than a bucket takes counts its
@@ -33,14 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PLACE, placed, scanned, written
-from .near_duplicates import FILTER_LOG, filter_bits
+from .common import PLACE, bitmap, placed, probed, scanned, written
 from .words import mixed, slices
 
 LENGTH, GRAM = 200, 50
 REACH = LENGTH - GRAM
-#: Contexts that one task sorts together.
-BUCKET = 4000
+#: Contexts that one task sorts together: arrays of about 25 MB.
+BUCKET = 1 << 15
 
 _ODD = 0x9E3779B97F4A7C15
 _INVERSE = pow(_ODD, -1, 1 << 64)
@@ -127,10 +129,45 @@ def anchors(rows: DataFrame) -> DataFrame:
     return rows.select("text").mapInArrow(run, "gram long, n long")
 
 
-def contexts(rows: DataFrame, bits: np.ndarray, whole: bool = False) -> DataFrame:
-    """A row for each anchor whose gram may be among ``bits``: place, gram, c1 and c2
-    (128-bit hash of the context, its windows' bytes, and of the anchor's place in
-    it), at (the anchor), first, last (its windows); with ``whole`` the context itself."""
+def digest(text: bytes, at: int, first: int, last: int) -> bytes:
+    """128-bit hash of an anchor's context and of its place in it."""
+    return xxhash.xxh3_128_digest(text[first:last + LENGTH] + (at - first).to_bytes(4, "little"))
+
+
+def spots(file: np.ndarray, row: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of a context's place."""
+    out = mixed(file.astype(np.int64).view(np.uint64))
+    for x in (row, first):
+        out = mixed(out * np.uint64(_ODD) + x.astype(np.int64).view(np.uint64))
+    return out.view(np.int64)
+
+
+def contexts(rows: DataFrame, grams: np.ndarray) -> DataFrame:
+    """c1, c2 (a context's hash), gram, n (how often it stands in a slice of texts),
+    place, first (its first window, of one of them), for anchors whose gram may be
+    among ``grams``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
+        for batch in batches:
+            for part, texts in long_texts(batch):
+                seen: dict[bytes, list[int]] = {}
+                for i, text in texts:
+                    at, gram, first, last = hasher(text)
+                    for j in np.flatnonzero(probed(gram, grams)).tolist():
+                        f = int(first[j])
+                        seen.setdefault(digest(text, int(at[j]), f, int(last[j])), [0, i, int(gram[j]), f])[0] += 1
+                if seen:
+                    n, row, gram, first = (pa.array(x, pa.int64()) for x in zip(*seen.values(), strict=True))
+                    pair = np.frombuffer(b"".join(seen), np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(pair[::2]), pa.array(pair[1::2]), gram, n,
+                                                      *(part.column(c).take(row) for c in (1, 2)), first],
+                                                     names=["c1", "c2", "gram", "n", *PLACE, "first"])
+
+    return rows.select("text", *PLACE).mapInArrow(run, f"c1 long, c2 long, gram long, n long, {PLACE[0]} long, {PLACE[1]} long, first long")
+
+
+def context_bytes(rows: DataFrame, grams: np.ndarray, chosen: np.ndarray) -> DataFrame:
+    """place, gram, at, first, bytes of the contexts whose place may be among ``chosen``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Hasher()
         for batch in batches:
@@ -138,27 +175,39 @@ def contexts(rows: DataFrame, bits: np.ndarray, whole: bool = False) -> DataFram
                 out: list[tuple] = []
                 for i, text in texts:
                     at, gram, first, last = hasher(text)
-                    for j in np.flatnonzero(probed(gram, bits)).tolist():
-                        f, e, p = int(first[j]), int(last[j]), int(at[j])
-                        own = text[f:e + LENGTH]
-                        out.append((i, int(gram[j]), xxhash.xxh3_128_digest(own + (p - f).to_bytes(4, "little")), p, f, e,
-                                    own if whole else None))
+                    where = [np.full(len(at), part.column(c)[i].as_py(), np.int64) for c in (1, 2)]
+                    for j in np.flatnonzero(probed(gram, grams) & probed(spots(*where, first), chosen)).tolist():
+                        f, e = int(first[j]), int(last[j])
+                        out.append((i, int(gram[j]), int(at[j]), f, text[f:e + LENGTH]))
                 if out:
-                    row, gram, ctx, at, first, last, own = zip(*out, strict=True)
+                    row, gram, at, first, own = zip(*out, strict=True)
                     take = pa.array(row, pa.int64())
-                    pair = np.frombuffer(b"".join(ctx), np.int64)
                     yield pa.RecordBatch.from_arrays([
-                        *(part.column(c).take(take) for c in (1, 2)), pa.array(gram, pa.int64()), pa.array(pair[::2]), pa.array(pair[1::2]),
-                        *(pa.array(x, pa.int32()) for x in (at, first, last)), *([pa.array(own, pa.binary())] if whole else [])],
-                        names=[*PLACE, "gram", "c1", "c2", "at", "first", "last", *(["bytes"] if whole else [])])
+                        *(part.column(c).take(take) for c in (1, 2)), *(pa.array(x, pa.int64()) for x in (gram, at, first)),
+                        pa.array(own, pa.binary())], names=[*PLACE, "gram", "at", "first", "bytes"])
 
     return rows.select("text", *PLACE).mapInArrow(
-        run, f"{PLACE[0]} long, {PLACE[1]} long, gram long, c1 long, c2 long, at int, first int, last int" + ", bytes binary" * whole)
+        run, f"{PLACE[0]} long, {PLACE[1]} long, gram long, at long, first long, bytes binary")
+
 
+def spot_bits(chosen: DataFrame, n: int) -> np.ndarray:
+    """Bitmap of the places of contexts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = spots(*(batch.column(c).to_numpy() for c in range(3)))
+            yield pa.RecordBatch.from_arrays([pa.array(keys)], names=["spot"])
+
+    return bitmap(chosen.select(*PLACE, "first").mapInArrow(run, "spot long"), n)
+
+
+def by_chance(single: DataFrame, often: np.ndarray) -> DataFrame:
+    """place, first of contexts that occur once although the bitmap ``often`` holds them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays(batch.columns[1:], names=[*PLACE, "first"]).filter(
+                pa.array(probed(batch.column(0).to_numpy(), often)))
 
-def probed(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    h = (grams.view(np.uint64) >> np.uint64(64 - FILTER_LOG)).astype(np.int64)
-    return (bits[h >> 3] >> (h & 7).astype(np.uint8)) & 1 == 1
+    return single.select("c1", *PLACE, "first").mapInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, first long")
 
 
 def repeated_windows(texts: list[bytes], lead: np.ndarray) -> np.ndarray:
@@ -194,20 +243,32 @@ def repeated_windows(texts: list[bytes], lead: np.ndarray) -> np.ndarray:
     return found
 
 
+def runs(windows: np.ndarray, first: int) -> Iterator[tuple[int, int]]:
+    """(first byte, end) of the stretches that a context's repeated windows cover."""
+    edges = np.flatnonzero(np.diff(windows.astype(np.int8), prepend=0, append=0))
+    for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        yield first + a, first + b - 1 + LENGTH
+
+
 def edge_spans(groups: DataFrame) -> DataFrame:
-    """place, first, end of repeated bytes of single contexts, from rows bucket,
-    place, first, at, n, bytes."""
+    """place, first, end of repeated bytes of single contexts, from rows bucket, place,
+    first, n (how often a chosen context occurs) and rows bucket, place, first, at,
+    bytes; bytes without a chosen context are left out."""
     def run(batch: pa.Table) -> pa.Table:
-        texts = batch.column("bytes").to_pylist()
-        first, at, n = (batch.column(c).to_numpy() for c in ("first", "at", "n"))
-        lead = at - first
-        found = repeated_windows(texts, lead)
-        before = found.shape[1] - 1
+        keys = list(zip(*(batch.column(c).to_pylist() for c in (*PLACE, "first")), strict=True))
+        data, count = batch.column("bytes").to_pylist(), batch.column("n").to_pylist()
+        n = {k: c for k, c in zip(keys, count, strict=True) if c is not None}
+        rows = [i for i, x in enumerate(data) if x is not None and keys[i] in n]
         out: list[tuple[int, int, int]] = []
-        for i in np.flatnonzero(n == 1).tolist():
-            windows = found[i, before - lead[i]:before - lead[i] + len(texts[i]) - LENGTH + 1].astype(np.int8)
-            edges = np.flatnonzero(np.diff(windows, prepend=0, append=0))
-            out += [(i, int(first[i] + a), int(first[i] + b - 1 + LENGTH)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
+        if rows:
+            first = batch.column("first").to_numpy()[rows]
+            lead = pc.fill_null(batch.column("at"), 0).to_numpy()[rows] - first
+            found = repeated_windows([data[i] for i in rows], lead)
+            before = found.shape[1] - 1
+            for j, i in enumerate(rows):
+                if n[keys[i]] == 1:
+                    a = before - int(lead[j])
+                    out += [(i, *x) for x in runs(found[j, a:a + len(data[i]) - LENGTH + 1], int(first[j]))]
         take = pa.array([x[0] for x in out], pa.int64())
         return pa.table([*(batch.column(c).take(take) for c in PLACE), pa.array([x[1] for x in out], pa.int64()),
                          pa.array([x[2] for x in out], pa.int64())], names=[*PLACE, "first", "end"])
@@ -215,47 +276,63 @@ def edge_spans(groups: DataFrame) -> DataFrame:
     return groups.groupBy("bucket").applyInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, first long, end long")
 
 
-def counted_windows(rows: DataFrame, grams: DataFrame) -> DataFrame:
-    """place, first, end: repeated windows of the given grams, counted by hash."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def counted_windows(own: DataFrame) -> DataFrame:
+    """place, first, end of repeated bytes of single contexts, from rows place, first, n,
+    bytes of different contexts: a window that occurs once is none."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 f, r, first, own = (batch.column(c)[i].as_py() for c in range(4))
                 n = len(own) - LENGTH + 1
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([f] * n, pa.int64()), pa.array([r] * n, pa.int64()), pa.array(range(first, first + n), pa.int64()),
-                    pa.array([xxhash.xxh3_128_digest(own[w:w + LENGTH]) for w in range(n)], pa.binary())],
-                    names=[*PLACE, "first", "window"])
-
-    own = contexts(rows, filter_bits(grams), whole=True).join(grams, "gram", "left_semi").select(*PLACE, "first", "bytes")
-    windows = own.mapInArrow(run, f"{PLACE[0]} long, {PLACE[1]} long, first long, window binary")
-    often = windows.groupBy("window").count().where("count > 1").select("window")
-    return windows.join(often, "window", "left_semi").select(*PLACE, "first", (F.col("first") + LENGTH).alias("end"))
+                pair = np.frombuffer(b"".join(xxhash.xxh3_128_digest(own[w:w + LENGTH]) for w in range(n)), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[::2]), pa.array(pair[1::2]), *(pa.array([x] * n, pa.int64()) for x in (f, r, first)),
+                                                  pa.array(range(n), pa.int32())], names=["w1", "w2", *PLACE, "first", "window"])
 
-
-def repeated_spans(rows: DataFrame) -> DataFrame:
-    """place, spans (first, end; may overlap) of the repeated bytes of rows text (binary), place."""
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple[int, int, int]] = []
+            for i, (first, n, once) in enumerate(zip(*(batch.column(c).to_pylist() for c in (2, 3, 4)), strict=True)):
+                windows = np.ones(n, bool)
+                windows[once] = False
+                out += [(i, *x) for x in runs(windows, first)]
+            take = pa.array([x[0] for x in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c).take(take) for c in (0, 1)), pa.array([x[1] for x in out], pa.int64()),
+                                              pa.array([x[2] for x in out], pa.int64())], names=[*PLACE, "first", "end"])
+
+    place = f"{PLACE[0]} long, {PLACE[1]} long, first long"
+    windows = own.select(*PLACE, "first", "bytes").mapInArrow(cut, f"w1 long, w2 long, {place}, window int")
+    once = windows.groupBy("w1", "w2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*PLACE, "first", "window")).alias("one")).where("n = 1")
+    single = own.where("n = 1").select(*PLACE, "first", (F.length("bytes") - LENGTH + 1).alias("windows"), F.lit(None).cast("int").alias("window"))
+    both = single.unionByName(once.select("one.*"), allowMissingColumns=True).groupBy(*PLACE, "first").agg(
+        F.max("windows").alias("windows"), F.collect_list("window").alias("once")).where("windows is not null")
+    return both.mapInArrow(join, f"{place}, end long")
+
+
+def repeated_spans(rows: DataFrame) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """For rows text (binary), place: bitmaps of grams and of contexts that occur twice,
+    and place, spans (first, end; may overlap): repeated bytes of other contexts; an
+    end of -1 names a context that the bitmap holds by chance."""
     twice = written(anchors(rows).groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram"), "grams")
-    # the filter lets some anchors through whose gram occurs once: single contexts of their own, which are left out below
-    found = written(contexts(rows, filter_bits(twice)).drop("at"), "contexts")
-    counts = found.groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("n"), F.min("gram").alias("gram"),
-                                           F.min(F.struct(*PLACE, "first")).alias("one"))
-    counts = written(counts, "context-counts")
-    grams = counts.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1")
-    grams = written(grams, "mixed-grams")
-    copies = found.drop("gram").join(counts.where("n > 1").select("c1", "c2"), ["c1", "c2"], "left_semi").select(
-        *PLACE, F.col("first").cast("long").alias("first"), (F.col("last") + LENGTH).cast("long").alias("end"))
-    total, hot = grams.agg(F.sum("contexts"), F.max("contexts")).first()
-    spans = copies
-    if total:
-        usual = grams.where(F.col("contexts") <= BUCKET).select("gram")
-        chosen = counts.join(usual, "gram", "left_semi").select("gram", "n", "one.*")
-        own = contexts(rows, filter_bits(usual), whole=True).join(chosen, ["gram", *PLACE, "first"])
-        buckets = F.pmod(F.xxhash64("gram"), F.lit(math.ceil(total / BUCKET)))
-        spans = spans.unionByName(edge_spans(own.select(buckets.alias("bucket"), *PLACE, "first", "at", "n", "bytes")))
-        if hot > BUCKET:
-            spans = spans.unionByName(counted_windows(rows, grams.where(F.col("contexts") > BUCKET).select("gram")))
-    return spans.groupBy(*PLACE).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
+    grams = bitmap(twice, twice.count())
+    # the bitmap lets some anchors through whose gram occurs once: single contexts of their own
+    counts = written(contexts(rows, grams).groupBy("c1", "c2").agg(
+        F.sum("n").alias("n"), F.min("gram").alias("gram"), F.min(F.struct(*PLACE, "first")).alias("one")
+        ).select("c1", "gram", "n", "one.*"), "context-counts")
+    copied = counts.where("n > 1").select("c1")
+    often = bitmap(copied, copied.count())
+    spans = by_chance(counts.where("n = 1"), often).withColumn("end", F.lit(-1).cast("long"))
+    several = counts.groupBy("gram").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("least")).where("contexts > 1 and least = 1")
+    chosen = written(counts.drop("c1").join(several.drop("least"), "gram"), "mixed-contexts")
+    hot = F.col("contexts") > BUCKET
+    usual, many = (chosen.where(c) for c in (~hot, hot))
+    if total := usual.count():
+        buckets = F.pmod(F.xxhash64("gram"), F.lit(math.ceil(total / BUCKET))).alias("bucket")
+        own = context_bytes(rows, grams, spot_bits(usual, total)).select(buckets, *PLACE, "first", "at", "bytes")
+        spans = spans.unionByName(edge_spans(own.unionByName(usual.select(buckets, *PLACE, "first", "n"), allowMissingColumns=True)))
+    if total := many.count():
+        own = context_bytes(rows, grams, spot_bits(many, total)).drop("gram", "at").join(many.select(*PLACE, "first", "n"), [*PLACE, "first"])
+        spans = spans.unionByName(counted_windows(written(own, "hot-contexts")))
+    return spans.groupBy(*PLACE).agg(F.collect_list(F.struct("first", "end")).alias("spans")), grams, often
 
 
 def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -263,30 +340,41 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     runs: first, end, in bytes) and kept (binary, all bytes outside them).
 
     Matches never cross texts; each place counts on the input as it is, overlaps
-    too, so all occurrences go.  Null and empty texts have no bytes; repeated rows
-    are repeats of each other; null ids and further columns play no part; an empty
-    table gives no rows.
+    too, so all occurrences go.  Null and empty texts have no bytes; texts of any
+    length are read whole; repeated rows are repeats of each other; null ids and
+    further columns play no part; an empty table gives no rows.
     """
     docs = scanned(docs)
     binary = lambda c: F.coalesce(c, F.lit("")).cast("binary").alias("text")
-    spans = repeated_spans(placed(docs, binary(F.col(text))))
+    spans, grams, often = repeated_spans(placed(docs, binary(F.col(text))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = Hasher()
         for batch in batches:
-            kept, runs = [], []
-            for data, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            kept, cuts = [], []
+            for data, given in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                given = [(x["first"], x["end"]) for x in given or []]
+                found = [x for x in given if x[1] >= 0]
+                if len(data) >= LENGTH:
+                    chance = {x[0] for x in given if x[1] < 0}
+                    at, gram, first, last = hasher(data)
+                    for j in np.flatnonzero(probed(gram, grams)).tolist():
+                        f, e = int(first[j]), int(last[j])
+                        c1 = np.frombuffer(digest(data, int(at[j]), f, e), np.int64)[:1]
+                        if f not in chance and probed(c1, often)[0]:
+                            found.append((f, e + LENGTH))
                 merged: list[list[int]] = []
-                for a, b in sorted((x["first"], x["end"]) for x in found or []):
+                for a, b in sorted(found):
                     if merged and a <= merged[-1][1]:
                         merged[-1][1] = max(merged[-1][1], b)
                     else:
                         merged.append([a, b])
                 ends = [0, *(x for m in merged for x in m), len(data)]
                 kept.append(b"".join(data[a:b] for a, b in zip(ends[::2], ends[1::2], strict=True)))
-                runs.append([{"first": a, "end": b} for a, b in merged])
+                cuts.append([{"first": a, "end": b} for a, b in merged])
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), pc.binary_length(batch.column(1)).cast(pa.int64()),
-                pa.array(runs, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
+                pa.array(cuts, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
                 names=["row", "n_bytes", "spans", "kept"])
 
     joined = placed(docs, F.struct("*").alias("row")).join(spans, list(PLACE), "left").select(

@@ -7,10 +7,11 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pantry.llm import chat, decontamination, licenses, near_duplicates, packing, quality, sharding, suffix_dedup, toxicity, warc
+from pantry.llm import chat, common, decontamination, licenses, near_duplicates, packing, quality, sharding, suffix_dedup, toxicity, warc
 
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau".split()
 LONG = " ".join(random.Random(5).choices(WORDS, k=6000))
@@ -188,6 +189,28 @@ def test_suffix_dedup(spark, docs, empty, monkeypatch, bucket):
     assert suffix_dedup.without_repeats(empty).count() == 0
 
 
+def test_suffix_dedup_full_bitmaps(spark, docs, monkeypatch):
+    """Contexts that a full bitmap holds by chance stay, and copies of the whole table go."""
+    monkeypatch.setattr(common, "BITMAP_LOGS", (15, 15))
+    rng = random.Random(7)
+    more = [(200 + i, " ".join(f"w{rng.random()}" for _ in range(400)), "", 0, "") for i in range(60)]
+    given = docs.unionByName(spark.createDataFrame(more + more[:3], docs.schema))
+    rows = [(r["text"] or "").encode() for r in given.select("text").collect()]
+    want = collections.Counter(zip(rows, without_repeats(rows, 200), strict=True))
+    got = suffix_dedup.without_repeats(given).collect()
+    assert collections.Counter(((r["row"]["text"] or "").encode(), (bytes(r["kept"]), len(r["spans"]))) for r in got) == want
+
+
+@pytest.mark.parametrize("bits", [10, 24])
+def test_smallest_in_stretches(monkeypatch, bits):
+    """A text with more places than a key's low bits hold is read in stretches."""
+    monkeypatch.setattr(suffix_dedup, "PLACE_BITS", bits)
+    h = np.random.default_rng(3).integers(0, 2**63, 5000, dtype=np.uint64) & ~np.uint64((1 << 24) - 1)
+    h[1000:2200] = h[7]  # ties go to the last
+    want = [p + 150 - int(np.argmin(h[p:p + 151][::-1])) for p in range(len(h) - 150)]
+    assert suffix_dedup.smallest(h, 151).tolist() == want
+
+
 @pytest.mark.parametrize("short", [False, True])
 def test_decontamination(spark, docs, empty, short):
     texts = [r["text"] for r in docs.collect()]
