@@ -153,9 +153,9 @@ def contexts(rows: DataFrame, grams: np.ndarray) -> DataFrame:
                 seen: dict[bytes, list[int]] = {}
                 for i, text in texts:
                     at, gram, first, last = hasher(text)
-                    for j in np.flatnonzero(probed(gram, grams)).tolist():
-                        f = int(first[j])
-                        seen.setdefault(digest(text, int(at[j]), f, int(last[j])), [0, i, int(gram[j]), f])[0] += 1
+                    maybe = np.flatnonzero(probed(gram, grams))
+                    for g, p, f, e in zip(*(x[maybe].tolist() for x in (gram, at, first, last)), strict=True):
+                        seen.setdefault(digest(text, p, f, e), [0, i, g, f])[0] += 1
                 if seen:
                     n, row, gram, first = (pa.array(x, pa.int64()) for x in zip(*seen.values(), strict=True))
                     pair = np.frombuffer(b"".join(seen), np.int64)
@@ -358,11 +358,11 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
                 if len(data) >= LENGTH:
                     chance = {x[0] for x in given if x[1] < 0}
                     at, gram, first, last = hasher(data)
-                    for j in np.flatnonzero(probed(gram, grams)).tolist():
-                        f, e = int(first[j]), int(last[j])
-                        c1 = np.frombuffer(digest(data, int(at[j]), f, e), np.int64)[:1]
-                        if f not in chance and probed(c1, often)[0]:
-                            found.append((f, e + LENGTH))
+                    maybe = np.flatnonzero(probed(gram, grams))
+                    places = list(zip(at[maybe].tolist(), first[maybe].tolist(), last[maybe].tolist(), strict=True))
+                    keys = np.frombuffer(b"".join(digest(data, *x) for x in places), np.int64)[::2]
+                    found += [(f, e + LENGTH) for (_, f, e), hit in zip(places, probed(keys, often).tolist(), strict=True)
+                              if hit and f not in chance]
                 merged: list[list[int]] = []
                 for a, b in sorted(found):
                     if merged and a <= merged[-1][1]:
