@@ -87,7 +87,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The stages' results are tested against brute-force versions.
+#: SQL can't express the stages; their operators are tested against brute force, one by one.
 ORACLE_SQL = None
 
 
