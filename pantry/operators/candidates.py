@@ -352,7 +352,11 @@ def sample_candidates(users: DataFrame, meal_agg: DataFrame, recent: DataFrame,
     the user: a walk over all numbers that meets none twice.  So k draws, and as
     many more as the user logged recently or as p exceeds n, are enough for k
     meals, and no user meets the whole table.  Own private meals join the draw
-    with hashed places."""
+    with hashed places.
+
+    Users are dealt out before they become k draws each, as a task with many users
+    would make all their draws.  Size estimates leave out that explosion, so the draws
+    are joined by sort-merge: else they would be taken for small and go through the driver."""
     from .ml import dense_index, uniform
 
     public = dense_index(meal_agg.filter(F.col("is_public")).select("meal_id"), ["meal_id"], "_n")
@@ -364,11 +368,13 @@ def sample_candidates(users: DataFrame, meal_agg: DataFrame, recent: DataFrame,
     draws = F.least(F.lit(p), F.coalesce("_logged", F.lit(0)) + F.lit(k + p - n))
     step = F.pmod(F.xxhash64(F.lit(seed), F.col("user_id")), F.lit(p - 1)) + 1
     start = F.pmod(F.xxhash64(F.lit(seed + 1), F.col("user_id")), F.lit(p))
-    walk = us.withColumns({"_a": step, "_b": start, "_draws": draws}).select(
+    # by a hash of the key: by the key itself, rows lie so already and stay in the few tasks that hold them
+    dealt = us.repartition(int(users.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("user_id"))
+    walk = dealt.withColumns({"_a": step, "_b": start, "_draws": draws}).select(
         "user_id", "_a", "_b", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_draws") - 1)).alias("_j"))
     number = ((F.col("_a").cast("decimal(20,0)") * F.col("_j") + F.col("_b")) % F.lit(p)).cast("bigint")
     drawn = walk.select("user_id", number.alias("_n"), ((F.col("_j") + 0.5) / F.lit(float(p))).alias("_place"))
-    drawn = drawn.join(public, "_n").select("user_id", "meal_id", "_place")
+    drawn = drawn.hint("merge").join(public, "_n").select("user_id", "meal_id", "_place")
     own = us.select("user_id").join(meal_agg.filter(~F.coalesce("is_public", F.lit(False))).select("user_id", "meal_id"), "user_id")
     own = own.select("user_id", "meal_id", uniform(seed + 2, F.col("user_id"), F.col("meal_id")).alias("_place"))
     pairs = exclude_recent_meals(drawn.unionByName(own), recent)

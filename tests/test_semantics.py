@@ -262,6 +262,25 @@ def test_pool_holds_public_and_own_meals(spark):
     assert {(r["user_id"], r["meal_id"]): (r["rank"], round(r["score"], 6)) for r in ranked} == want
 
 
+def test_draws_do_not_go_through_the_driver(spark):
+    """The draws are k rows a user, which size estimates of the users don't show."""
+    rows = [(i % 50, i, f"m{i}", i % 4 != 0, 1, *[1.0] * 8) for i in range(400)]
+    meals = spark.createDataFrame(rows, (
+        "user_id int, meal_id int, meal_name string, is_public boolean, n_ingredients int, calories double, protein double, carbs double, "
+        "fat double, saturated_fat double, sugars double, sodium double, dietary_fiber double"))
+    recent = spark.createDataFrame([(1, 1)], "user_id int, meal_id int")
+    drawn = C.sample_candidates(spark.range(50).select(F.col("id").cast("int").alias("user_id")), meals, recent, k=100)
+    assert drawn.count() == 50 * 100 and drawn.collect()
+    lines = drawn._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*|")) for x in lines]
+    for i, x in enumerate(lines):
+        if "BroadcastExchange" in x:
+            below = next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+            assert not any("Generate" in y for y in lines[i:below])
+    generate = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+    assert any("xxhash64" in x and "Exchange hashpartitioning" in x for x in lines[generate:])  # users are dealt out before
+
+
 def test_pool_queries_reach_other_users_meals(spark):
     import __spark_entry__ as E
     from conftest import SF_SMALL
