@@ -113,7 +113,7 @@ def q_label_balance(spark, sf):
 
 @register("time_split", sql=_w(S.split_cte()) + "SELECT user_id, recipe_id, l_orderkey, l_linenumber, l_suppkey, split FROM splits")
 def q_time_split(spark, sf):
-    return split_training(pipeline(spark, sf)).select(*KEYS, "split")
+    return split_training(pipeline(spark, sf), KEYS).select(*KEYS, "split")
 
 
 @register("time_split_raw", sql=with_views(*V, extra=[S.split_cte("interactions")])
@@ -140,7 +140,7 @@ SELECT s.user_id, s.recipe_id, s.l_orderkey, s.l_linenumber, s.l_suppkey, s.spli
   coalesce(voc.idx, -1.0) AS cuisine
 FROM splits s LEFT JOIN voc ON coalesce(s.cuisine, 'unknown') = voc.v""")
 def q_label_encode(spark, sf):
-    sp = split_training(pipeline(spark, sf))
+    sp = split_training(pipeline(spark, sf), [*KEYS, "cuisine"])
     enc = T.label_encode_column(sp, "cuisine", F.col("split") == "train")
     return enc.select(*KEYS, "split", "cuisine")
 

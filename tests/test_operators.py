@@ -178,3 +178,27 @@ def test_null_profile_sampled_mode(spark):
     head = {r.column_name: r for r in Q.null_profile(df, "t", sample_first=10, order_cols=["k"]).collect()}
     assert full["v"].null_rate == 0.75 and full["v"].flagged and not full["v"].enough_rows
     assert head["v"].null_rate == 0.0 and not head["v"].flagged
+
+
+def test_training_rows_are_not_moved_to_be_split(spark):
+    """A row's day is looked up in a broadcast table; only rows of boundary days are sorted."""
+    from pantry.plans.common import pipeline, split_training
+    p = pipeline(spark, SF_SMALL)
+    sp = split_training(p, ["cuisine"])
+    assert "cuisine" in sp.columns and "calories" not in sp.columns
+    again = split_training(p).select(*sp.columns)
+    assert sorted(map(repr, sp.collect())) == sorted(map(repr, again.collect()))
+    above = _plan(again).split("FileScan parquet")[0]  # from the union down to the scan of the days inside one split
+    assert "BroadcastHashJoin" in above and "Exchange hashpartitioning" not in above
+
+
+def test_training_table_columns_keep_their_order(spark):
+    from pantry.operators import training as T
+    from pantry.plans.common import pipeline
+    p = pipeline(spark, SF_SMALL)
+    cols = p.training.columns
+    assert cols[:5] == ["user_id", "recipe_id", "date", "rating", "label"]
+    assert cols[-10:] == p.user_features.columns[1:]
+    old = p.valid.join(T.recipe_features(p.enriched), "recipe_id").join(p.user_features, "user_id")
+    keys = ["user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey", "calories", "daily_calorie_target"]
+    assert old.select(keys).exceptAll(p.training.select(keys)).count() == 0 and old.count() == p.training.count()
