@@ -202,3 +202,14 @@ def test_training_table_columns_keep_their_order(spark):
     old = p.valid.join(T.recipe_features(p.enriched), "recipe_id").join(p.user_features, "user_id")
     keys = ["user_id", "recipe_id", "l_orderkey", "l_linenumber", "l_suppkey", "calories", "daily_calorie_target"]
     assert old.select(keys).exceptAll(p.training.select(keys)).count() == 0 and old.count() == p.training.count()
+
+
+def test_requests_are_dealt_out_before_the_range_join(spark):
+    """All requests in one file part must not mean that one task lists all pairs."""
+    from pyspark.sql import functions as F
+    from pantry.operators import candidates as C
+    req = spark.range(200).selectExpr("id AS request_id", "600 AS calorie_target", "60 AS time_limit").coalesce(1)
+    rec = spark.range(50).selectExpr("id AS recipe_id", "500.0D AS calories", "10 AS minutes")
+    pairs = C.rule_candidates(req, rec)
+    assert pairs.count() == 200 * 50
+    assert pairs.select(F.spark_partition_id()).distinct().count() > 4
