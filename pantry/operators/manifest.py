@@ -49,7 +49,18 @@ def bucket_of(df: DataFrame, keys: Sequence[str], n_buckets: int = N_BUCKETS) ->
 
 def row_digest(cols: Sequence[tuple[str, str]]) -> Column:
     """60 bits of a row's text."""
-    return F.expr(f"CAST(conv(substr(md5({row_text(cols)}), 1, 15), 16, 10) AS DECIMAL(38,0))")
+    return F.expr(f"CAST(conv(substr(md5({row_text(cols)}), 1, 15), 16, 10) AS BIGINT)")
+
+
+#: Sums of digests are kept as three longs, each of so many bits of every digest, exact up to 2^43 rows.
+PART_BITS = 20
+
+
+def digest_sum(c: str) -> Column:
+    """Exact sum of digests as text; no row adds to a wide decimal."""
+    parts = [F.sum(F.shiftright(c, PART_BITS * i).bitwiseAND(F.lit((1 << PART_BITS) - 1))).cast("decimal(20,0)") for i in range(3)]
+    unit = F.lit(1 << PART_BITS).cast("decimal(8,0)")
+    return (((parts[2] * unit + parts[1]) * unit) + parts[0]).cast("decimal(38,0)").cast("string")
 
 
 def _columns(df: DataFrame, leave_out: Sequence[str]) -> list[tuple[str, str]]:
@@ -62,8 +73,10 @@ def bucket_digests(tagged: DataFrame, keys: Sequence[str], n_buckets: int = N_BU
     label also their bounds and sum.  Digests cover all columns but the split's."""
     more = [F.min(date_col).alias("min_date"), F.max(date_col).alias("max_date")] if date_col else []
     more += [F.sum(F.col(label_col).cast("double")).alias("label_sum"), F.count(label_col).alias("n_labels")] if label_col else []
-    return tagged.groupBy(F.col(split_col).alias("split"), bucket_of(tagged, keys, n_buckets).alias("bucket")).agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(row_digest(_columns(tagged, [split_col]))).cast("string").alias("digest"), *more)
+    read = [c for c in (date_col, label_col) if c]
+    told = tagged.select(F.col(split_col).alias("split"), bucket_of(tagged, keys, n_buckets).alias("bucket"),
+                         row_digest(_columns(tagged, [split_col])).alias("_digest"), *dict.fromkeys(read))
+    return told.groupBy("split", "bucket").agg(F.count(F.lit(1)).alias("rows"), digest_sum("_digest").alias("digest"), *more)
 
 
 def manifest_of(buckets: DataFrame, columns: Sequence[str]) -> DataFrame:
