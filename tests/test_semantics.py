@@ -339,3 +339,35 @@ def test_collisions_are_reported(spark):
     found = X.id_collisions(frame, "id", bits=8).collect()
     assert sum(r["n_ids"] for r in found) > 200 and all(r["n_ids"] > 1 and r["first_id"] < r["last_id"] for r in found)
     assert X.id_collisions(frame, "id").collect() == []
+
+
+def test_pool_rows_move_once(spark):
+    """A user's draw is made in the user's row and brings the goals along: the rows of the
+    pool go to the meals' table and nowhere else, whatever their number."""
+    rows = [(i % 50, i, f"m{i}", i % 4 != 0, 1, *[float(i)] * 8) for i in range(400)]
+    meals = spark.createDataFrame(rows, (
+        "user_id int, meal_id int, meal_name string, is_public boolean, n_ingredients int, calories double, protein double, carbs double, "
+        "fat double, saturated_fat double, sugars double, sodium double, dietary_fiber double"))
+    recent = spark.createDataFrame([(u, m) for u in range(50) for m in range(u, 400, 7)], "user_id int, meal_id int")
+    users = spark.range(60).select(F.col("id").cast("int").alias("user_id"))
+    goals = spark.createDataFrame([(1, 1.0, 2.0, 3.0, 4.0)], "user_id int, calories double, protein double, carbs double, fat double")
+    pool = C.pooled_meals(users, meals, recent, k=30, goals=goals)
+    got = pool.collect()
+    assert len(got) == 60 * 30 and len({(r["user_id"], r["meal_id"]) for r in got}) == 60 * 30
+    assert not {(r["user_id"], r["meal_id"]) for r in got} & {tuple(r) for r in recent.collect()}
+    assert all(rows[r["meal_id"]][3] or rows[r["meal_id"]][0] == r["user_id"] for r in got)
+    plain = C.pooled_meals(users, meals, recent, k=30)
+    for f in (C.with_goals, C.meal_feature_vector, C.fallback_rank):
+        assert sorted(map(str, f(pool, None).collect())) == sorted(str(r) for r in f(plain, goals).select(f(pool, None).columns).collect())
+    for f, moves in ((C.with_goals, 1), (C.meal_feature_vector, 1), (C.fallback_rank, 2)):
+        lines = f(pool, None)._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [len(x) - len(x.lstrip(" :+-*|")) for x in lines]
+        i = next(i for i, x in enumerate(lines) if "Generate explode" in x)
+        above = [x for j, x in enumerate(lines[:i]) if depth[j] < depth[i] and all(depth[j] < d for d in depth[j + 1:i + 1])]
+        assert sum("Exchange" in x for x in above) == moves
+
+
+def test_walks_over_many_numbers_do_not_overflow(spark):
+    p = 9_007_199_254_740_881
+    got = spark.range(1).select(C._modular(p)(F.lit(p - 2), F.lit(p - 3)).alias("x"), C._modular(97)(F.lit(95), F.lit(94)).alias("y")).first()
+    assert tuple(got) == (6, 6)
