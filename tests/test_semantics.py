@@ -371,3 +371,32 @@ def test_walks_over_many_numbers_do_not_overflow(spark):
     p = 9_007_199_254_740_881
     got = spark.range(1).select(C._modular(p)(F.lit(p - 2), F.lit(p - 3)).alias("x"), C._modular(97)(F.lit(95), F.lit(94)).alias("y")).first()
     assert tuple(got) == (6, 6)
+
+
+def test_pairs_do_not_move_for_features(spark):
+    """Requests and recipes have their features before they meet, and many recipes meet in
+    blocks: the pairs and their features are the same, and no exchange lies above the pairs' join."""
+    from pantry.functions import exprs as X
+    req = spark.createDataFrame([(i, i % 5 or None, 300 + i, 5 + i % 20, i % 2 == 0, "lunch" if i % 3 else None, None) for i in range(40)], (
+        "request_id int, user_id int, calorie_target int, time_limit int, no_milk boolean, meal_type string, time_of_day string"))
+    rec = spark.createDataFrame([(k, 100.0 + 13.1 * k % 700 if k % 9 else None, k % 25, k % 2, "italian" if k % 4 else None, float("nan") if k % 7 else k / 3)
+                                 for k in range(90)], "recipe_id int, calories double, minutes int, has_milk int, cuisine string, protein_g double")
+    users = spark.createDataFrame([(1, 1500.0, 1), (2, None, 0)], "user_id int, daily_calorie_target double, user_vegan int")
+    old = C.candidate_features(C.rule_candidates(req, rec), users)
+    parts = rec.withColumns(X.whole_parts(rec, "protein_g") | X.whole_parts(rec, "minutes"))
+    new = C.candidate_features(C.rule_candidates(C.request_features(req, users), C.cuisine_one_hots(parts), block_rows=4), None)
+    assert old.count() > 100 and sorted(map(str, old.collect())) == sorted(map(str, new.select(old.columns).collect()))
+    sums = new.groupBy("request_id").agg(X.sum_of_parts(new, "protein_g").alias("a"), F.sum(F.col("protein_g").cast("decimal(28,8)")).alias("b"),
+                                         X.sum_of_parts(new, "minutes").alias("c"), F.sum("minutes").alias("d"))
+    assert sums.where("a = b and c = d").count() == sums.count() > 0
+    lines = new._jdf.queryExecution().executedPlan().toString().splitlines()
+    assert "SortMergeJoin" in "".join(lines)
+    assert not any("Exchange" in x for x in lines[:next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)])
+
+
+def test_parts_keep_large_and_negative_numbers_exact(spark):
+    from pantry.functions import exprs as X
+    df = spark.createDataFrame([(1e17,), (-3.5,), (0.12345678,), (-1e-8,), (None,), (float("nan"),), (123456789.987654,)], "v double")
+    both = df.withColumns(X.whole_parts(df, "v"))
+    got = both.agg(X.sum_of_parts(both, "v"), F.sum(F.coalesce(F.nanvl("v", F.lit(None)), F.lit(0.0)).cast("decimal(28,8)"))).first()
+    assert got[0] == got[1]
