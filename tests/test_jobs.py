@@ -20,3 +20,16 @@ def test_dataset_retrain_drift(spark):
     # the fixture's live JSON carries none of the training features, and a
     # feature without values on one side isn't checked
     assert s.n_features_checked == 0 and s.n_drifted == 0
+
+
+def test_shards_are_written_where_rows_lie(spark, tmp_path):
+    """Wide rows don't move to be sharded: a shard has at most a file from each task, sorted."""
+    rows = spark.range(600).selectExpr("id % 23 - 3 AS user_id", "(id * 37) % 101 AS recipe_id", "id AS v").repartition(3)
+    path = IO.write_shards(rows, str(tmp_path / "s"), 4)
+    back = spark.read.parquet(path).withColumn("f", F.input_file_name())
+    assert back.count() == 600 and back.where("shard != pmod(user_id, 4)").count() == 0
+    assert sorted(map(tuple, back.select("user_id", "recipe_id", "v").collect())) == sorted(map(tuple, rows.collect()))
+    assert back.groupBy("shard").agg(F.countDistinct("f").alias("n")).where("n > 3").count() == 0
+    for (f,) in back.select("f").distinct().collect():
+        one = [tuple(r) for r in spark.read.parquet(f).select("user_id", "recipe_id").collect()]
+        assert one == sorted(one)
