@@ -24,12 +24,13 @@ ROW_BYTES = 64
 
 
 def memory_bucket_bytes(spark: SparkSession) -> int:
-    """A 32nd of an executor's heap (its bucket is held a few times over, and
-    several tasks run at once), 256 MB at most."""
+    """A 128th of an executor's heap, 256 MB at most: a task holds its bucket some eight
+    times over (collected, handed on as bytes, collected, sorted, permuted, as a row and
+    in the writer), and several tasks run at once."""
     said = spark.sparkContext.getConf().get("spark.executor.memory", "1g")
     m = re.fullmatch(r"(\d+)([kmgt]?)b?", said.strip().lower())
     heap = int(m[1]) * {"k": 2**10, "": 2**20, "m": 2**20, "g": 2**30, "t": 2**40}[m[2]] if m else 2**30
-    return min(max(heap // 32, 2**20), 2**28)
+    return min(max(heap // 128, 2**20), 2**28)
 
 
 def bucket_offsets(counts: DataFrame, chunk: int = 1024) -> DataFrame:

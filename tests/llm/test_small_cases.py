@@ -419,3 +419,10 @@ def test_toxicity_scripts(spark, tmp_path, script):
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
     out = toxicity.score(spark.read.parquet(path), spark.createDataFrame(labels, "doc_id long, toxic int")).where("held_out and score >= 0.7")
     assert {r["doc_id"] for r in out.collect()} == want
+
+
+def test_a_bucket_is_a_small_part_of_the_heap(spark):
+    """Tasks hold their bucket some eight times over, several at once: together below a quarter of the heap with four."""
+    heap = 2**30  # no size is set: Spark's default
+    assert spark.sparkContext.getConf().get("spark.executor.memory", "1g") == "1g"
+    assert 4 * 8 * sharding.memory_bucket_bytes(spark) <= heap // 4
